@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, sharding
+from . import chat, packing, sharding, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,8 +65,26 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens."""
+    out = packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 1024)
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op8_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as wavelet matrix files and read back."""
+    files = wavelet.write_shards(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return wavelet.read_shards(files)
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_chat": op1_chat, "op7_sharding": op7_sharding}
+    return {"op1_chat": op1_chat, "op5_packing": op5_packing, "op7_sharding": op7_sharding, "op8_wavelet": op8_wavelet}
 
 
 def oracle_sql() -> dict[str, str]:
