@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, sharding, wavelet
+from . import chat, html, packing, quality, sharding, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +71,19 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's score by pairwise ranking."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    out = docs.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), quality.score(model, F.col("text")).alias("score"))
+    return out.withColumn("predicted", F.when(F.col("score") >= quality.DECISION, 1).otherwise(0))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     out = packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 1024)
@@ -84,7 +97,7 @@ def op8_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_chat": op1_chat, "op5_packing": op5_packing, "op7_sharding": op7_sharding, "op8_wavelet": op8_wavelet}
+    return {"op1_chat": op1_chat, "op4_html": op4_html, "op5_packing": op5_packing, "op7_sharding": op7_sharding, "op8_wavelet": op8_wavelet, "op9_quality": op9_quality}
 
 
 def oracle_sql() -> dict[str, str]:
