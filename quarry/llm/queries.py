@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html, packing, quality, sharding, wavelet
+from . import chat, decontam, html, packing, quality, sharding, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -96,8 +96,16 @@ def op8_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_shards(files)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items that it holds."""
+    found = decontam.matches(F.col("text"), table(spark, sf_dir, "benchmark"))
+    out = table(spark, sf_dir, "documents").select("doc_id", found.alias("m"))
+    items = F.array_sort(F.array_distinct(F.transform("m", lambda m: m["item"])))
+    return out.select("doc_id", (F.size("m") > 0).alias("contaminated"), items.alias("item_ids"), F.aggregate("m", F.lit(0), lambda n, m: n + m["length"]).cast("long").alias("matched_chars"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_chat": op1_chat, "op4_html": op4_html, "op5_packing": op5_packing, "op7_sharding": op7_sharding, "op8_wavelet": op8_wavelet, "op9_quality": op9_quality}
+    return {"op1_chat": op1_chat, "op4_html": op4_html, "op5_packing": op5_packing, "op7_sharding": op7_sharding, "op8_wavelet": op8_wavelet, "op9_quality": op9_quality, "op10_decontamination": op10_decontamination}
 
 
 def oracle_sql() -> dict[str, str]:
