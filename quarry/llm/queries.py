@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, html, packing, quality, sharding, wavelet
+from . import chat, decontam, html, jaccard, packing, quality, sharding, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,11 @@ FROM e GROUP BY conv_id
 """
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share four fifths of their five-word shingles."""
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards 0 to 7 by the weighted hash tree: law ``key``."""
     out = sharding.assign(table(spark, sf_dir, "documents"), root=sharding.tree(8))
@@ -105,7 +110,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_chat": op1_chat, "op4_html": op4_html, "op5_packing": op5_packing, "op7_sharding": op7_sharding, "op8_wavelet": op8_wavelet, "op9_quality": op9_quality, "op10_decontamination": op10_decontamination}
+    return {"op1_chat": op1_chat, "op4_html": op4_html, "op5_packing": op5_packing, "op6_jaccard": op6_jaccard, "op7_sharding": op7_sharding, "op8_wavelet": op8_wavelet, "op9_quality": op9_quality, "op10_decontamination": op10_decontamination}
 
 
 def oracle_sql() -> dict[str, str]:
