@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, html, jaccard, packing, quality, sharding, wavelet
+from . import chat, decontam, html, jaccard, packing, quality, sharding, suffix, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,6 +76,14 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document less the bytes of all repeated 200-byte strings."""
+    out = suffix.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["length"])
+    return out.select("doc_id", size.alias("n_bytes"), gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return html.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
@@ -110,7 +118,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_chat": op1_chat, "op4_html": op4_html, "op5_packing": op5_packing, "op6_jaccard": op6_jaccard, "op7_sharding": op7_sharding, "op8_wavelet": op8_wavelet, "op9_quality": op9_quality, "op10_decontamination": op10_decontamination}
+    return {"op1_chat": op1_chat, "op2_suffix": op2_suffix, "op4_html": op4_html, "op5_packing": op5_packing, "op6_jaccard": op6_jaccard, "op7_sharding": op7_sharding, "op8_wavelet": op8_wavelet, "op9_quality": op9_quality, "op10_decontamination": op10_decontamination}
 
 
 def oracle_sql() -> dict[str, str]:

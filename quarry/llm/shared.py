@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,11 +20,64 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Writes df as Parquet to the shared folder and reads it back: cuts the lineage, survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/quarry-{uuid.uuid4().hex}"
+def materialize(df: DataFrame, release: bool = False) -> DataFrame:
+    """Writes df as Parquet to the shared folder and reads it back: cuts the lineage, survives lost executors.
+
+    release: also lets the driver collect its garbage, on which Spark deletes the shuffle files of jobs that are over.
+    """
+    spark, schema = df.sparkSession, df.schema
+    path = f"{shared_dir(spark)}/quarry-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if release:
+        del df
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
+
+
+class KeyFilter:
+    """A Bloom filter of a column of 64-bit hashes, 8 MB whatever its number of keys, for use where a join would
+    otherwise shuffle the texts of rows that have no partner. It lets all rows with a partner through."""
+
+    BITS = 26
+
+    def __init__(self, hashes: DataFrame) -> None:
+        (name,) = hashes.columns
+        bits = hashes.select(F.explode(F.array(*self._places(F.col(name)))).alias("p")).select(F.shiftright("p", 5).alias("w"), F.expr("shiftleft(1L, cast(p & 31 as int))").alias("m"))
+        words = bits.groupBy("w").agg(F.bit_or("m").alias("m")).toPandas()
+        self.bits = np.zeros(1 << (self.BITS - 5), np.uint32)
+        self.bits[words["w"].to_numpy(np.int64)] = words["m"].to_numpy(np.int64).astype(np.uint32)
+
+    def _places(self, key: Column) -> list[Column]:
+        return [F.shiftrightunsigned(F.xxhash64(key, F.lit(k)), 64 - self.BITS) for k in (1, 2)]
+
+    def may_have(self, key: Column, once: Column | None = None) -> Column:
+        """Whether the filter may hold key. once: of equal values of it, a task lets only the first through."""
+        bits = self.bits
+
+        def hits(p: pa.Array, q: pa.Array) -> np.ndarray:
+            p, q = p.to_numpy(), q.to_numpy()
+            return ((bits[p >> 5] >> (p & 31).astype(np.uint32)) & (bits[q >> 5] >> (q & 31).astype(np.uint32)) & 1).astype(bool)
+
+        if once is None:
+
+            @F.arrow_udf("boolean")
+            def may(p: pa.Array, q: pa.Array) -> pa.Array:
+                return pa.array(hits(p, q))
+
+            return may(*self._places(key))
+        seen: set[int] = set()
+
+        @F.arrow_udf("boolean")
+        def first(p: pa.Array, q: pa.Array, h: pa.Array) -> pa.Array:
+            out = hits(p, q)
+            for i in np.flatnonzero(out).tolist():
+                x = h[i].as_py()
+                out[i] = x not in seen
+                seen.add(x)
+            return pa.array(out)
+
+        return first(*self._places(key), once)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import materialize, partitions
+from .shared import KeyFilter, materialize, partitions
 from .words import U, mix
 
 LEAST, GRAM = 200, 64
@@ -39,8 +39,8 @@ LEAST, GRAM = 200, 64
 FREQUENT, AT_MOST, DEALT = 2048, 100_000, 4096
 #: Different tiles of one gram that are sorted in one task; beyond, windows are counted.
 SORTED = 20_000
-#: Bytes of texts or tiles looked at together, and bits of the filter over text hashes (8 MB).
-TOGETHER, FILTER_BITS = 2 << 20, 26
+#: Bytes of texts or tiles looked at together.
+TOGETHER = 2 << 20
 
 _BYTE = np.random.default_rng(5).integers(0, 2**64, 256, dtype=np.uint64) | U(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -212,7 +212,7 @@ def _met(rows: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(columns[0]), pa.array(columns[1]), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.int32())], names=["kind", "gram", "id", "start", "n"])
 
     dealt = rows.repartition(partitions(rows.sparkSession), "gram", "salt").sortWithinPartitions("gram", "salt", "tile", "id", "start")
-    return materialize(dealt.mapInArrow(run, "kind int, gram long, id long, start int, n int"))
+    return materialize(dealt.mapInArrow(run, "kind int, gram long, id long, start int, n int"), release=True)
 
 
 def intervals(lcp: list[int], least: int) -> Iterator[tuple[int, int, int]]:
@@ -274,29 +274,6 @@ def covered(stretches: list[bytes], starts: list[int], least: int = LEAST) -> li
     return [sorted(x.items()) for x in out]
 
 
-def _bits(ids: DataFrame) -> np.ndarray:
-    """A filter over text hashes: its size is the same for any number of texts."""
-    p = [F.shiftrightunsigned(F.xxhash64("id", F.lit(k)), 64 - FILTER_BITS) for k in (1, 2)]
-    bits = ids.select(F.explode(F.array(*p)).alias("p")).select(F.shiftright("p", 5).alias("w"), F.expr("shiftleft(1L, cast(p & 31 as int))").alias("m"))
-    words = bits.groupBy("w").agg(F.bit_or("m").alias("m")).toPandas()
-    out = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
-    out[words["w"].to_numpy(np.int64)] = words["m"].to_numpy(np.int64).astype(np.uint32)
-    return out
-
-
-def _filtered(df: DataFrame, bits: np.ndarray, inside: bool) -> DataFrame:
-    """The rows of df whose id may be in the filter, or those whose id surely isn't."""
-
-    @F.arrow_udf("boolean")
-    def may(p: pa.Array, q: pa.Array) -> pa.Array:
-        p, q = p.to_numpy(), q.to_numpy()
-        return pa.array(((bits[p >> 5] >> (p & 31).astype(np.uint32) & 1) & (bits[q >> 5] >> (q & 31).astype(np.uint32) & 1)).astype(bool))
-
-    p, q = (F.shiftrightunsigned(F.xxhash64("id", F.lit(k)), 64 - FILTER_BITS) for k in (1, 2))
-    hit = may(p, q)
-    return df.filter(hit if inside else ~hit)
-
-
 def _sorted_tiles(texts: DataFrame, reps: DataFrame, least: int) -> DataFrame:
     """id, start, length covered by maximal repeats among the tiles of each gram."""
     big = reps.groupBy("gram").agg(F.count("*").alias("c")).filter(F.col("c") > SORTED).select("gram", F.lit(True).alias("big"))
@@ -344,7 +321,7 @@ def _sorted_tiles(texts: DataFrame, reps: DataFrame, least: int) -> DataFrame:
                 found[2].append(np.arange(s, s + n, dtype=np.int32))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, t), *x])) for x, t in zip(found, (np.int64, np.int64, np.int32), strict=True)], names=["window", "id", "start"])
 
-    rows = materialize(rows)
+    rows = materialize(rows, release=True)
     few = rows.filter("NOT big").repartition(partitions(rows.sparkSession), "gram").sortWithinPartitions("gram").mapInArrow(scan, spans)
     if big.isEmpty():
         return few
@@ -361,10 +338,10 @@ def repeated(df: DataFrame, text: str = "text", least: int = LEAST) -> DataFrame
     met = _met(_tile_rows(docs, least, _frequent(docs, least)))
     whole = met.filter("kind = 0").select("id", "start", (F.col("n") - 1 + least).alias("length"))
     reps = met.filter("kind = 1")
-    bits = _bits(reps.select("id").distinct())
-    more = _sorted_tiles(_filtered(docs, bits, True), reps, least)
+    has_rep = KeyFilter(reps.select("id").distinct()).may_have(F.col("id"))
+    more = _sorted_tiles(docs.filter(has_rep), reps, least)
     spans = copies.union(whole).union(more)
-    return materialize(spans.groupBy("id").agg(F.collect_list(F.struct("start", "length")).alias("spans")))
+    return materialize(spans.groupBy("id").agg(F.collect_list(F.struct("start", "length")).alias("spans")), release=True)
 
 
 def _united(spans: list[dict]) -> list[tuple[int, int]]:
@@ -383,7 +360,7 @@ def deduplicate(df: DataFrame, text: str = "text", least: int = LEAST) -> DataFr
     Texts without repeats aren't shuffled: a filter tells them apart.
     """
     found = repeated(df, text, least)
-    bits = _bits(found.select("id"))
+    touched = KeyFilter(found.select("id")).may_have(F.col("id"))
     rows = df.withColumn("id", hashed(F.col(text))) if "id" not in df.columns else df.select(F.struct("*").alias("row"), hashed(F.col(text)).alias("id"))
     packed = "id" in df.columns
     own = F.col("row")[text] if packed else F.col(text)
@@ -402,9 +379,9 @@ def deduplicate(df: DataFrame, text: str = "text", least: int = LEAST) -> DataFr
             gone.append([{"start": a, "length": b - a} for a, b in runs])
         return pa.StructArray.from_arrays([pa.array(kept, pa.binary()), pa.array(gone, pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())])))], names=["kept", "removed"])
 
-    hit = _filtered(rows, bits, True).join(found, "id", "left").withColumn("done", cut(raw, F.col("spans")))
+    hit = rows.filter(touched).join(found, "id", "left").withColumn("done", cut(raw, F.col("spans")))
     none = F.array().cast("array<struct<start:int,length:int>>")
-    free = _filtered(rows, bits, False).withColumn("done", F.struct(raw.alias("kept"), none.alias("removed")))
+    free = rows.filter(~touched).withColumn("done", F.struct(raw.alias("kept"), none.alias("removed")))
     names = [F.col("row")[c].alias(c) for c in df.columns] if packed else [F.col(c) for c in df.columns]
     names += [F.col("done.kept").alias("kept"), F.col("done.removed").alias("removed")]
     return hit.select(*names).unionByName(free.select(*names)) if not {"kept", "removed", "row", "done", "spans"} & set(df.columns) else _refuse(df)
