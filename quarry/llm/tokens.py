@@ -12,18 +12,23 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Words that a worker remembers in each of two generations.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: The split pattern of the byte-level vocabulary.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters whose class and lower case no table disputes: ASCII without controls, Latin-1 letters and signs.
 PLAIN = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\xac\xae-\xff]")
-#: Between a letter and a sign (but the apostrophe) the word vocabulary always splits.
+#: Runs of letters stay whole; between a letter and a sign (but the apostrophe) the word vocabulary always splits.
+LETTERS = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+")
+#: Without any of these, each comma and each full stop follows a letter, a digit or white space.
+SIGNS = (*"!\"#$%&'()*+-/:;<=>?@[\\]^_`{|}~", ",,", ",.", ".,", "..")
+OTHER = re.compile(r"[\xa1-\xbf\xd7\xf7]")
 SIGN = re.compile(r"([a-z\xdf-\xf6\xf8-\xff])([!-&(-/:-@\[-`{-~])")
 
 
@@ -35,33 +40,55 @@ def _library(path: str):
     return found
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that a byte-level vocabulary writes for each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class WordTokenizer:
     """For vocabularies whose normalizer lower-cases and whose words hold no white space."""
 
     def __init__(self, path: str) -> None:
         self.library = _library(path)
+        self.merge = self.library.model.tokenize
         self.width = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
+        self.code = struct.Struct(self.width.replace("u2", "H").replace("u4", "I")).pack
+        self.letters = byte_letters()
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def _new(self, word: str) -> bytes:
+        """A word's ids. What normalizer and splitter leave as it is, a run of plain letters, goes straight to the merges."""
+        if (ids := self.older.get(word)) is None:
+            if LETTERS.fullmatch(word):
+                spelt = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+                found = [t.id for t in self.merge(spelt)]
+            else:
+                found = self.library.encode(word, add_special_tokens=False).ids
+            ids = b"".join(map(self.code, found))
+        self.recent[word] = ids
+        return ids
+
     def encode(self, text: str) -> bytes:
         """The ids, little-endian, ``width`` each."""
-        if not PLAIN.search(text):
-            text = SIGN.sub(r"\1 \2", text.lower())
+        if text.isascii() or not PLAIN.search(text):
+            text = text.lower()
+            if any(map(text.__contains__, SIGNS)) or (not text.isascii() and OTHER.search(text)):
+                text = SIGN.sub(r"\1 \2", text)
+            else:
+                text = text.replace(",", " ,").replace(".", " .")
         words = text.replace("\n", " ").split(" ")
-        new = set(words).difference(self.recent)
-        if new:
-            if len(self.recent) + len(new) > REMEMBERED:
-                self.older, self.recent, new = self.recent, {}, set(words)
-            unknown = []
-            for w in new:
-                if (ids := self.older.get(w)) is None:
-                    unknown.append(w)
-                else:
-                    self.recent[w] = ids
-            for w, x in zip(unknown, self.library.encode_batch_fast(unknown, add_special_tokens=False), strict=True):
-                self.recent[w] = np.array(x.ids, self.width).tobytes()
-        return b"".join(map(self.recent.__getitem__, words))
+        if len(self.recent) > REMEMBERED:
+            self.older, self.recent = self.recent, {}
+        ids = list(map(self.recent.get, words))
+        if None in ids:
+            for i, x in enumerate(ids):
+                if x is None:
+                    w = words[i]
+                    ids[i] = self.recent.get(w) or self._new(w)
+        return b"".join(ids)
 
 
 class ByteTokenizer:
@@ -73,8 +100,7 @@ class ByteTokenizer:
         self.library = _library(path)
         with open(path, encoding="utf-8") as f:
             vocab = json.load(f)["model"]["vocab"]
-        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        letters = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(x for x in range(256) if x not in shown)}
+        letters = {c: b for b, c in byte_letters().items()}
         ranks = {bytes(letters[c] for c in k): v for k, v in vocab.items() if all(c in letters for c in k) and k != "<|endoftext|>"}
         self.fast = tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
         self.width = "<u4"

@@ -18,6 +18,7 @@ table gives no files; columns that aren't named are ignored.
 
 from __future__ import annotations
 
+import gc
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -48,12 +49,12 @@ class WaveletMatrix:
     def build(cls, ids: np.ndarray, ends: np.ndarray, bits: int) -> WaveletMatrix:
         planes, now, n = [], ids, len(ids)
         for p in reversed(range(bits)):
-            one = ((now >> p) & 1).astype(bool)
+            one = (now & (1 << p)) != 0
             packed = np.packbits(one, bitorder="little")
             packed = np.concatenate([packed, np.zeros(-len(packed) % (BLOCK // 8) + BLOCK // 8, np.uint8)])
             per = _ONES[packed].reshape(-1, BLOCK // 8).sum(1, dtype=np.uint32)
             before = np.concatenate([[0], np.cumsum(per)[:-1]]).astype("<u4")
-            now = np.concatenate([now[~one], now[one]])
+            now = np.concatenate([np.compress(~one, now), np.compress(one, now)])
             planes.append((n - int(per.sum()), before, packed))
         return cls(n, np.asarray(ends, np.int64), planes)
 
@@ -134,12 +135,12 @@ class WaveletMatrix:
 
     def all(self) -> np.ndarray:
         """All ids in order."""
-        now = np.zeros(self.n, np.uint32)
+        now = np.zeros(self.n, np.uint16 if len(self.planes) <= 16 else np.uint32)
         for p, (zeros, _, packed) in enumerate(reversed(self.planes)):
-            one = np.unpackbits(packed, count=self.n, bitorder="little").astype(bool)
+            one = np.unpackbits(packed, count=self.n, bitorder="little").view(bool)
             up = np.empty_like(now)
-            up[~one] = now[:zeros]
-            up[one] = now[zeros:] | (1 << p)
+            up[np.flatnonzero(~one)] = now[:zeros]
+            up[np.flatnonzero(one)] = now[zeros:] | (1 << p)
             now = up
         return now
 
@@ -152,6 +153,7 @@ def write_shards(df: DataFrame, vocabulary: str, end: int = 2, key: str = "doc_i
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
+        gc.disable()  # nothing here makes cycles; many small objects would set it off again and again
         tok = tokenizer(WordTokenizer, vocabulary)
         bits = max(1, (tok.library.get_vocab_size() - 1).bit_length())
         tail = np.array([end], tok.width).tobytes()
@@ -168,6 +170,7 @@ def write_shards(df: DataFrame, vocabulary: str, end: int = 2, key: str = "doc_i
             return pa.RecordBatch.from_arrays(row, names=["part", "number", "n_tokens", "file", "keys"])
 
         for batch in batches:
+            gc.collect()
             begin = 0
             for i, x in enumerate(batch.column(1)):
                 ids.append(tok.encode(x.as_py() or "") + tail)
@@ -182,6 +185,8 @@ def write_shards(df: DataFrame, vocabulary: str, end: int = 2, key: str = "doc_i
                 keys.append(batch.column(0).slice(begin))
         if ends:
             yield flush()
+        gc.enable()
+        gc.collect()
 
     schema = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("number", T.IntegerType()), T.StructField("n_tokens", T.LongType()), T.StructField("file", T.BinaryType()), T.StructField("keys", T.ArrayType(kind))])
     dealt = df.select(F.col(key).alias("key"), F.col(text).alias("text")).repartitionByRange(partitions(df.sparkSession), "key", F.crc32(F.coalesce("text", F.lit("")))).sortWithinPartitions("key", F.crc32(F.coalesce("text", F.lit(""))), "text")
