@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, html, jaccard, packing, quality, sharding, suffix, wavelet
+from . import ann, chat, decontam, html, jaccard, packing, quality, sharding, suffix, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +84,11 @@ def op2_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", size.alias("n_bytes"), gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth vector."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, "vec_id", "embedding", 5)
+
+
 def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return html.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
@@ -118,7 +123,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_chat": op1_chat, "op2_suffix": op2_suffix, "op4_html": op4_html, "op5_packing": op5_packing, "op6_jaccard": op6_jaccard, "op7_sharding": op7_sharding, "op8_wavelet": op8_wavelet, "op9_quality": op9_quality, "op10_decontamination": op10_decontamination}
+    return {"op1_chat": op1_chat, "op2_suffix": op2_suffix, "op3_ann": op3_ann, "op4_html": op4_html, "op5_packing": op5_packing, "op6_jaccard": op6_jaccard, "op7_sharding": op7_sharding, "op8_wavelet": op8_wavelet, "op9_quality": op9_quality, "op10_decontamination": op10_decontamination}
 
 
 def oracle_sql() -> dict[str, str]:
