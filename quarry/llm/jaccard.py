@@ -9,14 +9,17 @@ Sets just under it enter both, as they may link with larger ones. The order is t
 shingles that many documents have, which come last (a set of bounded size, chosen by counts over all documents; which
 shingles are in it has no influence on the result).
 
-A bucket's members aren't paired with each other but with one leader each (members of similar size, by sorted runs).
-These candidates are verified on whole sets, and verified links are joined to components. Then only members of one
-bucket that are still in different components are paired, if sizes, the triangle inequality through their leader and
-the number of buckets that they share leave a link possible; these are verified too. So no link that joins components
-is missed, and a group of many near copies costs a multiple of its size. Buckets of frequent shingles are dealt out
-over several tasks, with one leader in each and one over the leaders.
-
-Ids of nodes and shingles are 64-bit hashes; sets are verified by their shingles' lower 48 bits, within one pair.
+A bucket's members aren't paired with each other but given to one leader each (members of similar size, by sorted
+runs, each also to the leader before if that one's members may be similar): two members of a bucket that may link
+share a leader. All members of a leader meet once, with
+their whole texts, however many buckets they share, and all their intersections are counted together, by products of
+incidence matrices. What leaves a task are links that join what links join, fewer than members. Leaders of many members
+are copied to several tasks of bounded size; links make components, and only members of such a leader that are still in
+different components meet across tasks: blocks of members of smaller components are compared with all. So no link that
+joins components is missed, and a group of copies that links join costs a multiple of its size. Buckets of
+frequent shingles are dealt out too; their leaders are found by aggregation.
+
+Ids of nodes, keys and shingles are 64-bit hashes.
 
 Defined results: null and empty texts and texts of white space have an empty set, link with nothing and are their own
 component; fewer than five words make one shingle; very long texts are taken whole; repeated rows and texts with equal
@@ -35,20 +38,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import materialize, partitions
+from .shared import KeyFilter, bound_batches, materialize, partitions
 from .words import U, mix, shingle_sets
 
 SHINGLE = 5
 #: A shingle is frequent from this count in prefixes; at most so many, the most frequent first, are put last.
 FREQUENT, AT_MOST = 32, 200_000
-#: Members of a frequent bucket in one task; members verified against one copy of a leader.
-DEALT = 4096
+#: Members of a frequent bucket, or of a leader, in one task.
+DEALT = 1024
 #: Cost of a row that is shuffled, in candidates looked at.
 ROW_COST = 4
 #: Sets below this size link only with equal sets.
 LEAST = 4
-#: Bits of the filter that spares texts of no candidate the shuffle: 8 MB at any size of the input.
-FILTER_BITS = 26
 
 
 def prefix_size(n: int) -> int:
@@ -100,14 +101,15 @@ def nodes(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def frequent(own: DataFrame) -> tuple[dict[int, int], float]:
-    """Counts of the most frequent shingles, and the mean length of the list that a shingle of a prefix is in."""
-    once = own.filter(F.size("prefix") > 0).groupBy("node").agg(F.any_value("prefix").alias("prefix"))
+    """Counts of the most frequent shingles, and the mean length of the list that another shingle of a prefix is in."""
+    once = materialize(own.filter(F.size("prefix") > 0).groupBy("node").agg(F.any_value("prefix").alias("prefix")), release=True)
     counts = once.select(F.explode("prefix").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("c")).filter("c > 1")
-    counts = materialize(counts)
+    counts = materialize(counts, release=True)
     top = counts.filter(F.col("c") >= FREQUENT).orderBy(F.desc("c"), "shingle").limit(AT_MOST).toPandas()
-    rows = own.agg(F.sum(F.size("prefix"))).first()[0] or 0
-    twice, squares = counts.agg(F.sum("c"), F.sum(F.col("c") * F.col("c"))).first()
-    mean = ((rows - (twice or 0)) + (squares or 0)) / rows if rows else 1.0
+    rows = once.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    few = F.when(F.col("c") < FREQUENT, F.col("c"))
+    twice, many, squares = (x or 0 for x in counts.agg(F.sum("c"), F.sum("c") - F.sum(few), F.sum(few * few)).first())
+    mean = (rows - twice + squares) / (rows - many) if rows > many else 1.0
     return dict(zip(top["shingle"].tolist(), top["c"].tolist(), strict=True)), max(1.0, mean)
 
 
@@ -157,7 +159,7 @@ def meetings(places: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None  # the last row: bucket, salt, n, node, leader, told
-        head = (0, 0)  # the leader's n and node
+        head = prior = (0, 0)  # n and node of the leader, and of the one before it in the bucket
         for batch in batches:
             b, t, n, v = (batch.column(c).to_numpy() for c in ("bucket", "salt", "n", "node"))
             if not len(b):
@@ -179,18 +181,20 @@ def meetings(places: DataFrame) -> DataFrame:
                 told[0] = True
             todo = np.flatnonzero(told[:-1])
             if before is None or not before[4]:
-                head = (0, 0)
+                head = prior = (0, 0)
             last_run = -1
             run_id = np.concatenate([[0], np.cumsum(new)])
             if before is not None and before[4]:
                 last_run = 0
             for i in todo.tolist():
-                if run_id[i] != last_run or 4 * n[i] > 5 * head[0]:
-                    head, last_run = (int(n[i]), int(v[i])), run_id[i]
-                out.append((int(b[i]), int(t[i]), head[1], int(v[i]), int(n[i])))
+                if run_id[i] != last_run:
+                    head, prior, last_run = (int(n[i]), int(v[i])), (0, 0), run_id[i]
+                elif 4 * n[i] > 5 * head[0]:
+                    head, prior = (int(n[i]), int(v[i])), head
+                add(out, head, prior, (b[i], t[i], v[i], n[i]))
             open_run = last_run == run_id[-1]
             if not open_run:
-                head = (0, 0)
+                head = prior = (0, 0)
             before = (b[-1], t[-1], n[-1], v[-1], bool(told[-1]) and open_run, bool(told[-1]))
             if told[-1] and not open_run:
                 # It begins a run (or follows rows that weren't told) and leads what comes.
@@ -200,110 +204,144 @@ def meetings(places: DataFrame) -> DataFrame:
         if before is not None and before[5]:
             b, t, n, v = (int(x) for x in before[:4])
             if 4 * n > 5 * head[0]:
-                head = (n, v)
-            yield _rows([(b, t, head[1], v, n)])
+                head, prior = (n, v), head
+            out = []
+            add(out, head, prior, (b, t, v, n))
+            yield _rows(out)
+
+    def add(out: list, head: tuple[int, int], prior: tuple[int, int], row: tuple) -> None:
+        b, t, v, n = map(int, row)
+        out.append((b, t, head[1], v, n))
+        if 16 * n <= 25 * prior[0]:  # it may link with members of the leader before
+            out.append((b, t, prior[1], v, n))
 
     def _rows(out: list[tuple[int, int, int, int, int]]) -> pa.RecordBatch:
         columns = list(zip(*out, strict=True)) or [[]] * 5
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()), strict=True)], names=["bucket", "salt", "leader", "node", "n"])
 
     dealt = places.repartition(partitions(places.sparkSession), "bucket", "salt").sortWithinPartitions("bucket", "salt", "n", "node")
-    return materialize(dealt.mapInArrow(run, "bucket long, salt int, leader long, node long, n int"))
+    return materialize(dealt.mapInArrow(run, "bucket long, salt int, leader long, node long, n int"), release=True)
 
 
-def _filter(ids: DataFrame) -> np.ndarray:
-    """A bit for each of two hashes of each key: 8 MB whatever the number of keys."""
-    place = [F.shiftrightunsigned(F.xxhash64("key", F.lit(k)), 64 - FILTER_BITS) for k in (1, 2)]
-    bits = ids.select(F.explode(F.array(*place)).alias("p")).select(F.shiftright("p", 5).alias("w"), F.expr("shiftleft(1L, cast(p & 31 as int))").alias("m"))
-    words = bits.groupBy("w").agg(F.bit_or("m").alias("m")).toPandas()
-    out = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
-    out[words["w"].to_numpy(np.int64)] = words["m"].to_numpy(np.int64).astype(np.uint32)
-    return out
-
+def _links(df: DataFrame, key: str, text: str, own: DataFrame, asked: DataFrame) -> DataFrame:
+    """a, b: links found within each (leader, salt) of ``asked`` (node, leader, salt, role); written to the shared folder.
 
-def verified(df: DataFrame, key: str, text: str, own: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) with inter, size_a and size_b, counted on whole sets; written to the shared folder."""
-    pairs = materialize(pairs.select("a", "b").distinct())
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    some = own.join(asked, "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("key").isNull().alias("none"), F.col("key").alias("key"))).alias("k")).select(F.col("k.key").alias("key"))
-    bits = _filter(some)
+    The texts of the nodes asked for, and only these, go to their leaders' tasks. Without roles 2 all members are
+    compared with each other; else those of role 2 with those of role 1.
+    """
+    asked = materialize(asked, release=True)
+    some = own.join(asked.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("key").isNull().alias("none"), F.col("key").alias("key"))).alias("k")).select("node", F.xxhash64("k.key").alias("h"))
+    some = materialize(some)
+    docs = df.select(F.xxhash64(F.col(key)).alias("h"), F.col(text).alias("text"))
+    docs = docs.filter(KeyFilter(some.select("h")).may_have(F.col("h"), F.xxhash64("h", "text")))
+    rows = asked.join(some, "node").join(docs, "h").select("node", "leader", "salt", "role", "text")
+    rows = rows.repartition(partitions(df.sparkSession), "leader", "salt").sortWithinPartitions("leader", "salt", "role", "node")
 
-    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            p, q = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            hit = (bits[p >> 5] >> (p & 31).astype(np.uint32) & 1) & (bits[q >> 5] >> (q & 31).astype(np.uint32) & 1)
-            found = shingle_sets(batch.column(2).filter(pa.array(hit.astype(bool))).to_pylist(), SHINGLE)
-            yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in found], pa.int64()), pa.array([_pack(s) for s in found], pa.binary())], names=["node", "shingles"])
-
-    place = [F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(k)), 64 - FILTER_BITS).alias(f"p{k}") for k in (1, 2)]
-    held = df.select(*place, F.col(text).alias("text")).mapInArrow(sets, "node long, shingles binary").dropDuplicates(["node"])
-    each = pairs.groupBy("a").agg(F.ceil(F.count("*") / DEALT).cast("int").alias("salts"))
-    members = pairs.join(each, "a").select(F.col("b").alias("node"), F.col("a").alias("leader"), F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role"))
-    leaders = each.select(F.col("a").alias("node"), F.col("a").alias("leader"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"))
-    rows = members.union(leaders).join(held, "node").repartition(partitions(df.sparkSession), "leader", "salt").sortWithinPartitions("leader", "salt", "role")
-
-    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(0, np.uint64)
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: tuple | None = None
+        members: list[tuple[int, int, np.ndarray]] = []  # node, role, set
         for batch in batches:
-            out = []
-            for node, leader, role, packed in zip(*(batch.column(c).to_pylist() for c in ("node", "leader", "role", "shingles")), strict=True):
-                s = _unpack(packed)
-                if role == 0:
-                    own = s
-                else:
-                    out.append((leader, node, len(np.intersect1d(own, s, assume_unique=True)), len(own), len(s)))
-            columns = list(zip(*out, strict=True)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "inter", "size_a", "size_b"])
-
-    return materialize(rows.select("node", "leader", "role", "shingles").mapInArrow(compare, "a long, b long, inter long, size_a long, size_b long"))
-
-
-def _pack(s: np.ndarray) -> bytes:
-    return np.unique(s & U((1 << 48) - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-
-
-def _unpack(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    return out.view("<u8").ravel()
+            for a in range(0, batch.num_rows, 1000):
+                part = batch.slice(a, 1000)
+                out: list[tuple[int, int]] = []
+                sets = shingle_sets(part.column("text").to_pylist(), SHINGLE)
+                for node, leader, salt, role, s in zip(*(part.column(c).to_pylist() for c in ("node", "leader", "salt", "role")), sets, strict=True):
+                    if (leader, salt) != group:
+                        out += compared(members)
+                        group, members = (leader, salt), []
+                    if node_of(s) == node and not (members and members[-1][:2] == (node, role)):  # not another text under the same key
+                        members.append((node, role, s))
+                yield _rows(out)
+        yield _rows(compared(members))
+
+    def _rows(out: list[tuple[int, int]]) -> pa.RecordBatch:
+        columns = list(zip(*out, strict=True)) or [[], []]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+
+    return materialize(rows.mapInArrow(run, "a long, b long"), release=True)
+
+
+def overlaps(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of all intersections: products of incidence matrices over the shingles that several sets have."""
+    n = len(sets)
+    out = np.zeros((n, n), np.float32)
+    _, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(n), [len(x) for x in sets])
+    rank = np.cumsum(count > 1) - 1
+    kept = count[place] > 1
+    place, owner = rank[place[kept]], owner[kept]
+    order = np.argsort(place, kind="stable")
+    place, owner = place[order], owner[order]
+    for c in range(0, int(place[-1]) + 1 if len(place) else 0, columns):
+        i, j = np.searchsorted(place, [c, c + columns])
+        part = np.zeros((n, columns), np.float32)
+        part[owner[i:j], place[i:j] - c] = 1
+        out += part @ part.T
+    return out
 
 
-LINK = "100 * inter >= 80 * (size_a + size_b - inter)"
+def compared(members: list[tuple[int, int, np.ndarray]]) -> list[tuple[int, int]]:
+    """Links that join all that links join among (node, role, set); with roles 2, links between these and others."""
+    if len(members) < 2:
+        return []
+    sets = [m[2] for m in members]
+    node, role, size = np.array([m[0] for m in members]), np.array([m[1] for m in members]), np.array([len(x) for x in sets])
+    both = overlaps(sets).astype(np.int64)
+    link = 100 * both >= 80 * (size[:, None] + size[None, :] - both)
+    if (role == 2).any():
+        link &= (role == 2)[:, None] ^ (role == 2)[None, :]
+    np.fill_diagonal(link, False)
+    out, left = [], np.ones(len(members), bool)
+    for start in range(len(members)):
+        if left[start]:
+            left[start], todo = False, [start]
+            while todo:
+                i = todo.pop()
+                new = np.flatnonzero(link[i] & left)
+                left[new] = False
+                out += [(int(node[i]), int(node[j])) for j in new]
+                todo += new.tolist()
+    return [(a, b) for a, b in out if a != b]
 
 
 def join(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, n_shingles, component_id, and links to spare: one row a document."""
+    """key, n_shingles and component_id: one row a document."""
+    bound_batches(df.sparkSession)
     own = nodes(df, key, text)
     counts, mean = frequent(own)
     met = meetings(entries(df, text, counts, boundary(mean)))
-    heads = met.filter("salt >= 0 AND leader = node").groupBy("bucket").agg(F.min(F.struct("n", "node")).alias("top"))
-    over = met.filter("salt >= 0 AND leader = node").join(heads, "bucket").filter("node <> top.node AND 5 * top.n >= 4 * n").select(F.col("top.node").alias("a"), F.col("node").alias("b"))
-    stars = met.filter("leader <> node").select(F.col("leader").alias("a"), F.col("node").alias("b")).union(over)
-    first = verified(df, key, text, own, stars)
-    labels = components(first.filter(LINK))
-    # Members of one bucket that are still apart.
-    known = first.select(F.col("a").alias("leader"), F.col("b").alias("node"), (F.col("inter") / (F.col("size_a") + F.col("size_b") - F.col("inter"))).alias("like"))
-    placed = met.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).join(known, ["leader", "node"], "left")
-    placed = materialize(placed.select("bucket", "salt", "leader", "node", "n", "label", F.when(F.col("leader") == F.col("node"), 1.0).otherwise(F.col("like")).alias("like")))
-    apart = placed.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("bucket")
-    placed = placed.join(apart, "bucket")
-    u, v = placed.alias("u"), placed.alias("v")
-    possible = F.expr("u.bucket = v.bucket AND u.label < v.label AND 5 * u.n >= 4 * v.n AND 5 * v.n >= 4 * u.n AND (u.leader <> v.leader OR u.like IS NULL OR v.like IS NULL OR (u.node <> u.leader AND v.node <> v.leader AND abs(u.like - v.like) <= 0.2000001))")
-    small = boundary(mean)
-    shared = u.join(v, possible).groupBy(F.col("u.node").alias("a"), F.col("v.node").alias("b"), F.col("u.n").alias("n"), F.col("v.n").alias("m")).agg(F.count("*").alias("c"))
-    rest = "(n - (n + floor(-4 * n / 5) + 1))", "(m - (m + floor(-4 * m / 5) + 1))"
-    enough = shared.filter(f"least(n, m) <= {small} OR c + greatest({rest[0]}, {rest[1]}) >= ceil(4 * (n + m) / 9)")
-    second = verified(df, key, text, own, enough)
-    links = first.union(second).filter(LINK).select("a", "b")
+    # Frequent buckets: a leader for each class of sizes, which members of the next class have too.
+    often = met.filter("salt >= 0").select("bucket", "node", "n", F.floor(F.log(1.25, "n")).alias("class")).distinct()
+    heads = often.groupBy("bucket", "class").agg(F.min(F.struct("n", "node")).alias("top")).select("bucket", "class", F.col("top.node").alias("leader"))
+    often = often.withColumn("class", F.explode(F.array("class", F.col("class") - 1))).join(heads, ["bucket", "class"]).filter("leader <> node").select("leader", "node")
+    stars = materialize(met.filter("salt < 0 AND leader <> node").select("leader", "node").union(often).distinct(), release=True)
+    each = stars.groupBy("leader").agg(F.ceil(F.count("*") / DEALT).cast("int").alias("salts"))
+    salt = F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt")
+    members = stars.join(each, "leader").select("node", "leader", salt, F.lit(1).alias("role"))
+    leaders = each.select(F.col("leader").alias("node"), "leader", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"))
+    links = _links(df, key, text, own, members.union(leaders))
     labels = components(links)
-    each = own.join(labels, "node", "left").select("key", "n", F.coalesce("label", "node").alias("label"))
-    full = each.filter("n > 0")
+    # Members of one leader that were dealt to different tasks and are still apart.
+    dealt = each.filter("salts > 1")
+    if not dealt.isEmpty():
+        placed = stars.join(dealt, "leader").join(labels, "node", "left").select("node", "leader", "salts", F.coalesce("label", "node").alias("label"))
+        held = placed.groupBy("leader", "label").agg(F.count("*").alias("c")).groupBy("leader").agg(F.max(F.struct("c", "label")).alias("most"), F.count("*").alias("labels"), F.sum("c").alias("all")).filter("labels > 1")
+        placed = placed.join(held.select("leader", F.col("most.label").alias("major"), F.ceil((F.col("all") - F.col("most.c")) / DEALT).cast("int").alias("blocks")), "leader")
+        # Each block of members of smaller components meets each task's members: a task holds two blocks.
+        block = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")
+        every = placed.select("node", "leader", salt, "blocks", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("k")).select("node", "leader", (F.col("salt") * F.col("blocks") + F.col("k")).alias("salt"), F.lit(1).alias("role"))
+        minor = placed.filter("label <> major").select("node", "leader", block.alias("k"), "blocks", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("s")).select("node", "leader", (F.col("s") * F.col("blocks") + F.col("k")).alias("salt"), F.lit(2).alias("role"))
+        links = links.union(_links(df, key, text, own, every.union(minor)))
+        labels = components(links)
+    found = own.join(labels, "node", "left").select("key", "n", F.coalesce("label", "node").alias("label"))
+    full = found.filter("n > 0")
     least = full.groupBy("label").agg(F.min("key").alias("least"))
-    out = full.join(least, "label").select("key", "n", "least").union(each.filter("n = 0").select("key", "n", F.col("key").alias("least")))
+    out = full.join(least, "label").select("key", "n", "least").union(found.filter("n = 0").select("key", "n", F.col("key").alias("least")))
     return out.select(F.col("key").alias(key), F.col("n").cast("long").alias("n_shingles"), F.col("least").alias("component_id"))
 
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of df without all but the smallest key of each component; rows of one key are one document."""
-    stay = join(df, key, text).select(F.col("component_id").alias(key)).distinct()
-    return df.join(stay, df[key].eqNullSafe(stay[key]), "left_semi").dropDuplicates([key])
+    """The rows of df without all but the smallest key of each component. Rows of one key are one document, of which
+    one row stays; rows without a key can't be told apart and stay."""
+    stay = materialize(join(df, key, text).select(F.col("component_id").alias(key)).filter(F.col(key).isNotNull()).distinct(), release=True)
+    return df.join(stay, key, "left_semi").dropDuplicates([key]).unionByName(df.filter(F.col(key).isNull()))

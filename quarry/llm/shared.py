@@ -20,6 +20,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Lowers the rows of an Arrow batch for this session: a batch of many whole texts takes much of a worker's memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+
+
 def materialize(df: DataFrame, release: bool = False) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it back: cuts the lineage, survives lost executors.
 
