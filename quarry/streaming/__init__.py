@@ -1 +1,36 @@
+"""Incremental review state.
 
+The engine's sources are bounded; what grows is the review history. ``fold`` keeps the latest event of each key while
+new events arrive in files, as a Structured Streaming query with an upsert a micro-batch.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from ..operators.review import current
+
+
+def fold(events: DataFrame, keys: list[str], state: str, checkpoint: str) -> StreamingQuery:
+    """Writes the state after each micro-batch to ``state``/version=<batch>; a batch that is run again writes the same
+    version, so nothing is counted twice."""
+
+    def upsert(batch: DataFrame, number: int) -> None:
+        new = current(batch, keys)
+        old = latest(batch.sparkSession, state, number)
+        both = new if old is None else current(old.unionByName(new), keys)
+        both.write.mode("overwrite").parquet(f"{state}/version={number}")
+
+    return events.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def latest(spark: SparkSession, state: str, before: int | None = None) -> DataFrame | None:
+    """The newest version of the state (before a batch), or None."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(state)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return None
+    found = [int(x.getPath().getName().split("=")[1]) for x in system.listStatus(path) if x.getPath().getName().startswith("version=")]
+    found = [v for v in found if before is None or v < before]
+    return spark.read.parquet(f"{state}/version={max(found)}") if found else None
