@@ -90,7 +90,7 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 def fit(sample: np.ndarray, n: int, k: int = 5) -> Index:
     """An index for n vectors whose probes find AIM of the true neighbours in the sample; one bucket for all if none do."""
-    m = max(8, round(np.log2(max(2, n)) - 5))
+    m = 8 + max(0, round((np.log2(max(2, n)) - 16) / 2))
     x = unit(sample)
     asked = x[: min(PILOT, len(x))]
     like = asked @ x.T
