@@ -122,9 +122,61 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (F.size("m") > 0).alias("contaminated"), items.alias("item_ids"), F.aggregate("m", F.lit(0), lambda n, m: n + m["length"]).cast("long").alias("matched_chars"))
 
 
+# What the rules come to on pages that mark their article with the element, free of boilerplate, with plain references.
+OP4_SQL = r"""
+SELECT page_id, url, body AS "text", length(body) AS n_chars FROM (
+    SELECT page_id, url, trim(regexp_replace(replace(replace(replace(replace(replace(
+        regexp_replace(regexp_replace(regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's'), '</?b>', '', 'g'), '<[^>]*>', ' ', 'g'),
+        '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g')) AS body FROM pages)
+"""
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+OP6_SQL = f"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce("text", ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), s AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w
+), x AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS t FROM s
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.t = b.t AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT s.doc_id, len(s.s) AS n_shingles, min(r.b) AS component_id FROM s JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, s.s
+"""
+
+
+def _draw(node: str, weight: float) -> str:
+    return f"-ln((('0x' || substr(md5(doc_id || '|{node}'), 1, 13))::BIGINT + 1) / 4503599627370496.0) / {float(weight)}"
+
+
+def _place(node: sharding.Node) -> str:
+    if not node.children:
+        return str(node.shard)
+    if len(node.children) == 1:
+        return _place(node.children[0])
+    draws = [_draw(c.name, c.weight) for c in node.children]
+    least = f"least({', '.join(draws)})"
+    return "CASE " + " ".join(f"WHEN {d} = {least} THEN {_place(c)}" for d, c in zip(draws, node.children, strict=True)) + " END"
+
+
+# CRC-32 byte by byte, with a table that the query makes itself from the polynomial.
+OP7_SQL = f"""
+WITH RECURSIVE t AS (SELECT i, i AS c, 0 AS k FROM range(256) r(i) UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM t WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM t WHERE k = 8),
+d AS (SELECT doc_id, coalesce("text", '') AS body, hex(encode(coalesce("text", ''))) AS h FROM documents),
+r AS (SELECT doc_id, octet_length(encode(body)) + 1 AS size, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, len(h), 2), lambda i: ('0x' || h[i:i + 1])::BIGINT)),
+    lambda a, b: xor(a >> 8, crc.t[(xor(a, b) & 255) + 1])), 4294967295) AS text_crc32, {_place(sharding.tree(8))} AS shard, {_place(sharding.grown(sharding.tree(8)))} AS grown_shard FROM d, crc)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32) - 1 AS slot, grown_shard FROM r
+"""
+
+
 def queries() -> dict[str, Query]:
     return {"op1_chat": op1_chat, "op2_suffix": op2_suffix, "op3_ann": op3_ann, "op4_html": op4_html, "op5_packing": op5_packing, "op6_jaccard": op6_jaccard, "op7_sharding": op7_sharding, "op8_wavelet": op8_wavelet, "op9_quality": op9_quality, "op10_decontamination": op10_decontamination}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat": OP1_SQL}
+    return {"op1_chat": OP1_SQL, "op4_html": OP4_SQL, "op6_jaccard": OP6_SQL, "op7_sharding": OP7_SQL}
