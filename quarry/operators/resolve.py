@@ -16,10 +16,10 @@ def parsed_vote(reply: Column) -> Column:
     vote = F.from_json(text.named_object(reply), VOTE)
     label, fit = vote["primary_label"], vote["taxonomy_fit"]
     second = F.coalesce(vote["secondary_labels"], F.array().cast("array<string>"))
+    sure = F.coalesce(vote["confidence"], F.lit(0.0))
     known = F.array(*map(F.lit, rules.LABELS))
-    good = fit.isin(*rules.FITS) & (label.isNull() | label.isin(*rules.LABELS)) & F.forall(second, lambda x: F.array_contains(known, x)) & F.coalesce(vote["confidence"].between(0, 1), F.lit(False))
-    good = good & ((fit == "out_of_scope") == label.isNull())
-    return F.when(good, F.struct(label.alias("primary_label"), F.array_sort(F.array_distinct(F.filter(second, lambda x: label.isNull() | (x != label)))).alias("secondary_labels"), fit.alias("taxonomy_fit"), vote["confidence"].alias("confidence"), F.substring(F.coalesce(vote["rationale"], F.lit("")), 1, 1000).alias("rationale")))
+    good = vote.isNotNull() & fit.isin(*rules.FITS) & (label.isNull() | label.isin(*rules.LABELS)) & F.forall(second, lambda x: F.array_contains(known, x)) & sure.between(0, 1)
+    return F.when(good, F.struct(label.alias("primary_label"), F.array_sort(F.array_distinct(F.filter(second, lambda x: label.isNull() | (x != label)))).alias("secondary_labels"), fit.alias("taxonomy_fit"), sure.alias("confidence"), F.substring(F.coalesce(vote["rationale"], F.lit("")), 1, 1000).alias("rationale")))
 
 
 def parsed_quality(reply: Column) -> Column:
