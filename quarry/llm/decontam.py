@@ -27,11 +27,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import bound_batches, trim
+
 Q = 10
 #: Edits as a share of a window, its bytes and step, the share of an item that counts, and q-grams that a short window must share at least.
 EDITS, WINDOW, STEP, COVER, LEAST = 0.08, 100, 50, 0.5, 6
 #: Bytes of items a block, and of texts looked at together.
-BLOCK, TOGETHER = 4 << 20, 2 << 20
+BLOCK, TOGETHER = 4 << 20, 1 << 20
 BAND = 32
 TABLE_BITS = 22
 WORD = re.compile(r"[^\W_]+")
@@ -255,6 +257,7 @@ def blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int = BLOCK)
 
 def matches(text: Column, benchmark: DataFrame, item: str = "item_id", body: str = "text") -> Column:
     """array<struct<item, start, length, edits>>: where a text holds items, in code points of the text."""
+    bound_batches(benchmark.sparkSession)
     kind = benchmark.schema[item].dataType.simpleString()
     row = f"struct<item:{kind},start:int,length:int,edits:int>"
     parts = []
@@ -269,6 +272,7 @@ def _finder(index: Index, kind: str, row: str):
     @F.arrow_udf(f"array<{row}>")
     def found(texts: pa.Array) -> pa.Array:
         hits = search(index, texts.to_pylist())
+        trim()
         columns = list(zip(*(x for h in hits for x in h), strict=True)) or [[], [], [], []]
         fields = pa.StructArray.from_arrays([pa.array(columns[0], item), *(pa.array(c, pa.int32()) for c in columns[1:])], names=["item", "start", "length", "edits"])
         return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(h) for h in hits])]), pa.int32()), fields)

@@ -38,14 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import KeyFilter, bound_batches, materialize, partitions
+from .shared import KeyFilter, bound_batches, materialize, partitions, tidy, trim
 from .words import U, mix, shingle_sets
 
 SHINGLE = 5
 #: A shingle is frequent from this count in prefixes; at most so many, the most frequent first, are put last.
 FREQUENT, AT_MOST = 32, 200_000
 #: Members of a frequent bucket, or of a leader, in one task.
-DEALT = 1024
+DEALT = 512
 #: Cost of a row that is shuffled, in candidates looked at.
 ROW_COST = 4
 #: Sets below this size link only with equal sets.
@@ -95,6 +95,7 @@ def nodes(df: DataFrame, key: str, text: str) -> DataFrame:
         sets = shingle_sets(texts.to_pylist(), SHINGLE)
         heads = [short(s[: prefix_size(len(s))]) if len(s) >= LEAST else np.zeros(0, np.int32) for s in sets]
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(h) for h in heads])]), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *heads])))
+        trim()
         return pa.StructArray.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), lists], names=["node", "n", "prefix"])
 
     return materialize(df.select(F.col(key).alias("key"), described(text).alias("d")).select("key", "d.node", "d.n", "d.prefix"))
@@ -148,7 +149,7 @@ def entries(df: DataFrame, text: str, counts: dict[int, int], small: int) -> Dat
                     columns[3].append(np.full(len(b), node, np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, t), *c])) for c, t in zip(columns, (np.int64, np.int32, np.int32, np.int64), strict=True)], names=["bucket", "salt", "n", "node"])
 
-    return df.select(text).mapInArrow(run, "bucket long, salt int, n int, node long")
+    return df.select(text).mapInArrow(tidy(run), "bucket long, salt int, n int, node long")
 
 
 def meetings(places: DataFrame) -> DataFrame:
@@ -220,7 +221,7 @@ def meetings(places: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()), strict=True)], names=["bucket", "salt", "leader", "node", "n"])
 
     dealt = places.repartition(partitions(places.sparkSession), "bucket", "salt").sortWithinPartitions("bucket", "salt", "n", "node")
-    return materialize(dealt.mapInArrow(run, "bucket long, salt int, leader long, node long, n int"), release=True)
+    return materialize(dealt.mapInArrow(tidy(run), "bucket long, salt int, leader long, node long, n int"), release=True)
 
 
 def _links(df: DataFrame, key: str, text: str, own: DataFrame, asked: DataFrame) -> DataFrame:
@@ -241,8 +242,8 @@ def _links(df: DataFrame, key: str, text: str, own: DataFrame, asked: DataFrame)
         group: tuple | None = None
         members: list[tuple[int, int, np.ndarray]] = []  # node, role, set
         for batch in batches:
-            for a in range(0, batch.num_rows, 1000):
-                part = batch.slice(a, 1000)
+            for a in range(0, batch.num_rows, 64):
+                part = batch.slice(a, 64)
                 out: list[tuple[int, int]] = []
                 sets = shingle_sets(part.column("text").to_pylist(), SHINGLE)
                 for node, leader, salt, role, s in zip(*(part.column(c).to_pylist() for c in ("node", "leader", "salt", "role")), sets, strict=True):
@@ -258,11 +259,25 @@ def _links(df: DataFrame, key: str, text: str, own: DataFrame, asked: DataFrame)
         columns = list(zip(*out, strict=True)) or [[], []]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
 
-    return materialize(rows.mapInArrow(run, "a long, b long"), release=True)
+    return materialize(rows.mapInArrow(tidy(run), "a long, b long"), release=True)
 
 
-def overlaps(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
-    """Sizes of all intersections: products of incidence matrices over the shingles that several sets have."""
+def overlaps(sets: list[np.ndarray], most: int = 400_000) -> np.ndarray:
+    """Sizes of all intersections. Sets are taken in chunks of so many shingles (or one set), two chunks at a time."""
+    size = np.array([len(x) for x in sets])
+    chunk = (np.cumsum(size) - 1) // most
+    places = [np.flatnonzero(chunk == c) for c in np.unique(chunk)]
+    out = np.zeros((len(sets), len(sets)), np.int32)
+    for a, i in enumerate(places):
+        for j in places[a:] if len(places) == 1 else places[a + 1 :]:
+            both = i if i is j else np.concatenate([i, j])
+            out[np.ix_(both, both)] = _overlaps([sets[k] for k in both])
+    np.fill_diagonal(out, size)
+    return out
+
+
+def _overlaps(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Products of incidence matrices over the shingles that several sets have."""
     n = len(sets)
     out = np.zeros((n, n), np.float32)
     _, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -286,7 +301,7 @@ def compared(members: list[tuple[int, int, np.ndarray]]) -> list[tuple[int, int]
         return []
     sets = [m[2] for m in members]
     node, role, size = np.array([m[0] for m in members]), np.array([m[1] for m in members]), np.array([len(x) for x in sets])
-    both = overlaps(sets).astype(np.int64)
+    both = overlaps(sets)
     link = 100 * both >= 80 * (size[:, None] + size[None, :] - both)
     if (role == 2).any():
         link &= (role == 2)[:, None] ^ (role == 2)[None, :]

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import materialize, with_ranks
+from .shared import bound_batches, materialize, tidy, with_ranks
 from .tokens import ByteTokenizer, tokenizer
 
 #: Numbers of groups of large sizes to plan with (the plan with fewest sequences is kept), and the size from which a
@@ -147,6 +147,7 @@ def pieces(n: int, capacity: int) -> list[tuple[int, int]]:
 
 def cut(df: DataFrame, vocabulary: str, capacity: int, end: int, key: str, text: str) -> DataFrame:
     """key, piece, start, length, ids_crc32, written to the shared folder: every text is tokenized once."""
+    bound_batches(df.sparkSession)
     kind = df.schema[key].dataType
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +164,7 @@ def cut(df: DataFrame, vocabulary: str, capacity: int, end: int, key: str, text:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keys, pa.int64())), *(pa.array(c, t) for c, t in zip(out, (pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True))], names=["key", "piece", "start", "length", "ids_crc32"])
 
     schema = T.StructType([T.StructField("key", kind), T.StructField("piece", T.IntegerType()), *(T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32"))])
-    return materialize(df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema))
+    return materialize(df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(tidy(run), schema))
 
 
 def pack(df: DataFrame, vocabulary: str, capacity: int = 1024, end: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -186,4 +187,4 @@ def pack(df: DataFrame, vocabulary: str, capacity: int = 1024, end: int = 2, key
             yield pa.RecordBatch.from_arrays([*columns, pa.array(first[i] + asked["rank"] - rank[i]), pa.array(offset[i])], names=["key", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
     schema = T.StructType([*parts.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return ranked.mapInArrow(run, schema).withColumnRenamed("key", key)
+    return ranked.mapInArrow(tidy(run), schema).withColumnRenamed("key", key)

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import bound_batches
+
 #: Bounds of the fit: labelled rows, and pairs drawn from them.
 FIT_ROWS, PAIRS = 20_000, 60_000
 #: Texts are accepted from this score.
@@ -130,6 +132,7 @@ def held_out(key: Column) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", rows: int = FIT_ROWS) -> Model:
     """Learns from the labelled rows that aren't held out."""
+    bound_batches(docs.sparkSession)
     own = labels.filter(F.col(label).isin(0, 1) & ~held_out(F.col(key))).select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"))
     chosen = own.orderBy(F.xxhash64("key"), "key", "label").limit(rows)
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +22,39 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Lowers the rows of an Arrow batch for this session: a batch of many whole texts takes much of a worker's memory."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= rows:
-        spark.conf.set(name, rows)
+def trim() -> None:
+    """Gives memory that a Python worker has freed back to the system: workers live on and share an executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(run: Callable, every: int = 64) -> Callable:
+    """A function of record batches that trims now and then, and at its end."""
+
+    def wrapped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k, out in enumerate(run(batches), 1):
+            yield out
+            if k % every == 0:
+                trim()
+        gc.collect()
+        trim()
+
+    return wrapped
+
+
+def bound_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+    """Lowers the bytes of an Arrow batch for this session: a batch of many whole texts takes much of a worker's memory."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if as_bytes(spark.conf.get(name)) > size:
+        spark.conf.set(name, size)
+
+
+def as_bytes(text: str) -> int:
+    """A size as a setting gives it."""
+    return int(text) if text.lstrip("-").isdigit() else 1 << 62
 
 
 def materialize(df: DataFrame, release: bool = False) -> DataFrame:

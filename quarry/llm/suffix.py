@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import KeyFilter, materialize, partitions
+from .shared import KeyFilter, bound_batches, materialize, partitions, tidy
 from .words import U, mix
 
 LEAST, GRAM = 200, 64
@@ -40,7 +40,7 @@ FREQUENT, AT_MOST, DEALT = 2048, 100_000, 4096
 #: Different tiles of one gram that are sorted in one task; beyond, windows are counted.
 SORTED = 20_000
 #: Bytes of texts or tiles looked at together.
-TOGETHER = 2 << 20
+TOGETHER = 1 << 20
 
 _BYTE = np.random.default_rng(5).integers(0, 2**64, 256, dtype=np.uint64) | U(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -142,7 +142,7 @@ def _tile_rows(df: DataFrame, least: int, counts: dict[int, int] | None) -> Data
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "salt", "tile", "id", "start", "n"])
 
     schema = "gram long" if counts is None else "gram long, salt int, tile long, id long, start int, n int"
-    return df.select("id", F.col("text").cast("binary").alias("text")).mapInArrow(run, schema)
+    return df.select("id", F.col("text").cast("binary").alias("text")).mapInArrow(tidy(run), schema)
 
 
 def _frequent(df: DataFrame, least: int) -> dict[int, int]:
@@ -212,7 +212,7 @@ def _met(rows: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(columns[0]), pa.array(columns[1]), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.int32())], names=["kind", "gram", "id", "start", "n"])
 
     dealt = rows.repartition(partitions(rows.sparkSession), "gram", "salt").sortWithinPartitions("gram", "salt", "tile", "id", "start")
-    return materialize(dealt.mapInArrow(run, "kind int, gram long, id long, start int, n int"), release=True)
+    return materialize(dealt.mapInArrow(tidy(run), "kind int, gram long, id long, start int, n int"), release=True)
 
 
 def intervals(lcp: list[int], least: int) -> Iterator[tuple[int, int, int]]:
@@ -288,7 +288,7 @@ def _sorted_tiles(texts: DataFrame, reps: DataFrame, least: int) -> DataFrame:
             columns = list(zip(*out, strict=True)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()), strict=True)], names=["gram", "id", "start", "n", "big", "tile"])
 
-    rows = held.mapInArrow(cut, "gram long, id long, start int, n int, big boolean, tile binary")
+    rows = held.mapInArrow(tidy(cut), "gram long, id long, start int, n int, big boolean, tile binary")
     spans = "id long, start int, length int"
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,16 +322,17 @@ def _sorted_tiles(texts: DataFrame, reps: DataFrame, least: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, t), *x])) for x, t in zip(found, (np.int64, np.int64, np.int32), strict=True)], names=["window", "id", "start"])
 
     rows = materialize(rows, release=True)
-    few = rows.filter("NOT big").repartition(partitions(rows.sparkSession), "gram").sortWithinPartitions("gram").mapInArrow(scan, spans)
+    few = rows.filter("NOT big").repartition(partitions(rows.sparkSession), "gram").sortWithinPartitions("gram").mapInArrow(tidy(scan), spans)
     if big.isEmpty():
         return few
-    each = rows.filter("big").mapInArrow(windows, "window long, id long, start int")
+    each = rows.filter("big").mapInArrow(tidy(windows), "window long, id long, start int")
     twice = each.groupBy("window").agg(F.count("*").alias("c")).filter("c > 1").select("window")
     return few.union(each.join(twice, "window").select("id", "start", F.lit(least).alias("length")))
 
 
 def repeated(df: DataFrame, text: str = "text", least: int = LEAST) -> DataFrame:
     """id (hash of the text) and spans (array of start and length, bytes) of every text with repeated bytes."""
+    bound_batches(df.sparkSession)
     docs = df.select(hashed(F.col(text)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     sizes = docs.select("id", F.octet_length("text").alias("size")).filter(F.col("size") >= least)
     copies = sizes.groupBy("id").agg(F.count("*").alias("c"), F.max("size").alias("length")).filter("c > 1").select("id", F.lit(0).alias("start"), "length")

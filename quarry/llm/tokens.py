@@ -9,6 +9,7 @@ on whose classes the two libraries' tables might differ. Strings of special toke
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import re
@@ -97,7 +98,7 @@ class ByteTokenizer:
     def __init__(self, path: str) -> None:
         import tiktoken
 
-        self.library = _library(path)
+        self.path = path
         with open(path, encoding="utf-8") as f:
             vocab = json.load(f)["model"]["vocab"]
         letters = {c: b for b, c in byte_letters().items()}
@@ -105,6 +106,11 @@ class ByteTokenizer:
         self.fast = tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
         self.width = "<u4"
 
+    @functools.cached_property
+    def library(self):
+        """Loaded for the first text that needs it."""
+        return _library(self.path)
+
     def encode(self, text: str) -> bytes:
         """The ids, little-endian, four bytes each."""
         if PLAIN.search(text):

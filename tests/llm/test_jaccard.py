@@ -116,3 +116,13 @@ def test_components(spark):
 def test_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     assert told(queries.op6_jaccard(spark, SF)) == brute(rows)
+
+
+def test_overlaps_in_chunks():
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    sets = [np.unique(rng.integers(0, 300, rng.integers(1, 90)).astype(np.uint64)) for _ in range(23)]
+    want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    for most in (1, 50, 200, 10**6):
+        assert jaccard.overlaps(sets, most).tolist() == want
