@@ -11,7 +11,7 @@ from ..functions.text import percent
 
 
 def levels(spark, name: str, values: list[str]) -> DataFrame:
-    return spark.createDataFrame([(v,) for v in values], f"{name} string")
+    return spark.range(0, 1, 1, 1).select(F.explode(F.array(*map(F.lit, values))).alias(name))  # one partition
 
 
 def cube(df: DataFrame, dims: list[str]) -> DataFrame:
@@ -57,7 +57,8 @@ def coverage(df: DataFrame, by: str, quality: Column, ability: Column, method: C
 def long_summary(cells: DataFrame, by: str, dims: dict[str, list[str]]) -> DataFrame:
     """by, dimension, label, count, percent within (by, dimension): levels without rows have 0."""
     spark = cells.sparkSession
-    grid = spark.createDataFrame([(d, v) for d, values in dims.items() for v in values], "dimension string, label string")
+    pairs = F.explode(F.array(*(F.struct(F.lit(d).alias("dimension"), F.lit(v).alias("label")) for d, values in dims.items() for v in values)))
+    grid = spark.range(0, 1, 1, 1).select(pairs.alias("p")).select("p.*")
     tall = cells.select(by, "count", F.explode(F.array(*(F.struct(F.lit(d).alias("dimension"), F.col(d).alias("label")) for d in dims))).alias("p"))
     sums = tall.groupBy(by, "p.dimension", "p.label").agg(F.sum("count").alias("count"))
     totals = sums.groupBy(by, "dimension").agg(F.sum("count").alias("total"))
