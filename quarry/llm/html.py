@@ -9,7 +9,8 @@ page marks its article, only blocks in it count, and neighbours are looked for w
 Each page is read once, whole, by one regular expression; nothing is shuffled.
 
 Defined results: null, empty and text-less pages give an empty text; very long pages are read whole; repeated rows are
-extracted each; unclosed and stray tags are tolerated; an empty table gives an empty result; columns that aren't named
+extracted each; unclosed and stray tags are tolerated (only a script or style left open after the head takes the rest of the page,
+as in browsers; of other elements whose content is skipped, one left open loses its start tag alone); an empty table gives an empty result; columns that aren't named
 are ignored.
 """
 
@@ -27,8 +28,10 @@ TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 
 # Elements of HTML, and words in class, id and role that name what isn't an article.
-RAW = frozenset("script style title textarea noscript template iframe svg math object select button canvas audio video head".split())
-BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
+RAW = frozenset("script style title textarea noscript template iframe svg math object select button canvas audio video".split())
+CODE = frozenset("script style title textarea".split())  # their text is no markup
+NESTED = frozenset("svg math object template".split())
+BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 OUTSIDE = frozenset("nav footer aside form menu dialog fieldset".split())
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 OUTSIDE_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promotion banner nav navbar navigation menu submenu breadcrumb breadcrumbs sidebar aside footer masthead topbar cookie cookies consent gdpr notice notices notification alert newsletter subscribe subscription signup login share sharing social comment comments commentlist respond disqus reply replies related recommended popup modal overlay pagination pager widget toolbar skip copyright disclaimer form search".split())
@@ -76,6 +79,29 @@ def is_outside(tag: str, raw: str, in_article: bool) -> tuple[bool, bool]:
     return out, marks
 
 
+def ends_of(html: str, tag: str) -> dict[int, int]:
+    """For each start tag of an element of RAW that isn't code: where its end tag begins, if it has one."""
+    ends: dict[int, int] = {}
+    starts: list[int] = []
+    for m in re.compile(rf"<(/?){tag}(?=[\s/>])(?:[^<>]*(/)>)?", re.I).finditer(html):
+        if m[1]:
+            if starts:
+                ends[starts.pop()] = m.start()
+        elif not m[2]:
+            if tag not in NESTED:
+                starts.clear()  # one before it was left open
+            starts.append(m.start())
+    return ends
+
+
+def end_of_code(html: str, tag: str, at: int) -> int:
+    """Where code or a title ends; without its end tag with the head, or else a title at the next tag, code with the page."""
+    stop = re.compile(rf"</{tag}[\s/>]", re.I).search(html, at) or re.compile(r"</head[\s/>]|<body[\s/>]", re.I).search(html, at)
+    if not stop and tag in ("title", "textarea"):
+        stop = re.compile(r"</?[a-zA-Z]").search(html, at)
+    return stop.start() if stop else len(html)
+
+
 def blocks_of(html: str) -> list[Block]:
     """The blocks of a page in order; text is decoded and its white space single."""
     found: list[Block] = []
@@ -83,6 +109,7 @@ def blocks_of(html: str) -> list[Block]:
     linked: list[str] = []
     stack: list[tuple[str, bool, bool, int]] = []  # tag, outside, list item, article
     outside, item, article, articles, link, at = False, False, 0, 0, 0, 0
+    ends: dict[str, dict[int, int]] = {}
 
     def close() -> None:
         nonlocal link
@@ -115,8 +142,12 @@ def blocks_of(html: str) -> list[Block]:
         tag = tag.lower()
         if tag in RAW:
             if not m[1] and not m[3].endswith("/"):
-                stop = re.compile(rf"</{tag}[\s/>]|<body[\s/>]" if tag == "head" else rf"</{tag}[\s/>]", re.I).search(html, at)
-                at = stop.start() if stop else size
+                if tag in CODE:
+                    at = end_of_code(html, tag, at)
+                else:
+                    if tag not in ends:
+                        ends[tag] = ends_of(html, tag)
+                    at = ends[tag].get(m.start(), at)
                 say(" ")
             continue
         if tag == "br":
@@ -125,7 +156,7 @@ def blocks_of(html: str) -> list[Block]:
             link = 0 if m[1] else 1
         elif tag in BLOCKS:
             close()
-            if tag in ("p", "hr"):
+            if tag in ("p", "hr", "head"):
                 continue
             if m[1]:
                 for i in range(len(stack) - 1, -1, -1):

@@ -31,6 +31,24 @@ def test_pages(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<!DOCTYPE html><html><head><title>t</title><article><p>{SAID}</p></article>", SAID),
+        (f"<head><meta charset=utf-8><title>t</title><style>p{{}}</style><p>{SAID}</p>", SAID),
+        (f"<head><title>t<body><p>{SAID}</p></body>", SAID),
+        (f"<title>t<article><p>{SAID}</p></article>", SAID),
+        (f"<head><script>document.write('<body>no')</script></head><p>{SAID}</p>", SAID),
+        *((f"<article><p>{SAID}</p><{tag} class=x><p>{SAID}</p></article><p>", f"{SAID} {SAID}") for tag in ("button", "select", "object", "noscript", "canvas", "svg", "audio", "video", "template", "iframe", "math")),
+        (f"<article><button><p>{SAID}</p><button>no</button><p>{SAID}</p></article>", f"{SAID} {SAID}"),
+        (f"<article><p>{SAID}</p><svg><svg>no</svg>no</svg><select/><p>{SAID}</p><!-- <script> --><script>no</script></article>", f"{SAID} {SAID}"),
+        ("<article>" + "<p>x<svg><button>" * 20000, " ".join("x" * 20000)),
+    ],
+)
+def test_elements_without_end_tags(page, text):
+    assert html.main_text(page) == text
+
+
 def test_extract(spark):
     rows = [(1, "u", "<article><p>x</p></article>", "clash", 9), (1, "u", "<article><p>x</p></article>", "clash", 9), (None, None, None, None, None), (2, "v", "<article>" + "<p>word</p>" * 20000 + "</article>", "", 1)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars long")
