@@ -1,10 +1,11 @@
 """Main text of web pages by two-pass block rules.
 
 A page is cut into blocks at block-level tags. The first pass decides each block on its own: by the element that holds
-it (menus, forms, adverts, comments and the like are out; articles are in), by the share of its characters inside
-links, by its length and by the density of stop words. Short blocks without enough signs stay ambiguous. The second
-pass gives these the label of the nearest decided block (of the two neighbours, the nearer one; text wins a tie). If a
-page marks its article, only blocks in it count, and neighbours are looked for within it.
+it (menus, forms, adverts, comments and the like are out), by the share of its characters inside links, by its length and
+by the density of stop words. Short blocks without enough signs stay ambiguous. The second pass gives these the label of
+the nearest decided block (of the two neighbours, the nearer one; text wins a tie). If the blocks that a page marks as
+its article hold the larger part of its text by these rules, only they count, by milder rules, and neighbours are looked
+for within them. Otherwise the rest is judged too, and marked blocks that aren't links are text besides.
 
 Each page is read once, whole, by one regular expression; nothing is shuffled.
 
@@ -36,7 +37,7 @@ OUTSIDE = frozenset("nav footer aside form menu dialog fieldset".split())
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 OUTSIDE_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promotion banner nav navbar navigation menu submenu breadcrumb breadcrumbs sidebar aside footer masthead topbar cookie cookies consent gdpr notice notices notification alert newsletter subscribe subscription signup login share sharing social comment comments commentlist respond disqus reply replies related recommended popup modal overlay pagination pager widget toolbar skip copyright disclaimer form search".split())
 CANCEL = frozenset("no has with without hide not".split())
-INSIDE_WORDS = frozenset({"article", "articlebody", "post", "entry", "story"})
+INSIDE_NAMES = frozenset("article articlebody article-body article-content article__body post post-body post-content entry entry-content story story-body".split())
 STOP = frozenset(
     "a about after all also an and any are as at be been but by can could did do for from had has have he her his how i if in into is it its just like more most my no not of on one only or other our out over said she so some such than that the their them then there these they this to up was we were what when which who will with would you your "
     "au aux avec ce ces cette dans de des du elle en est et eux il ils je la le les leur lui mais ne nous ou par pas plus pour qu que qui sa se ses son sont sur un une vous "
@@ -75,7 +76,7 @@ def is_outside(tag: str, raw: str, in_article: bool) -> tuple[bool, bool]:
     out |= "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower()
     if words and not CANCEL.intersection(words) and tag != "main":
         out |= not OUTSIDE_WORDS.isdisjoint(words)
-    marks |= role in ("main", "article") or attributes.get("itemprop") == "articleBody" or (tag in ("div", "section") and not INSIDE_WORDS.isdisjoint(words) and not out)
+    marks |= role in ("main", "article") or attributes.get("itemprop") == "articleBody" or (tag in ("div", "section") and bool(words) and not INSIDE_NAMES.isdisjoint(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split()) and not out)
     return out, marks
 
 
@@ -180,8 +181,6 @@ def first_pass(b: Block) -> str:
     density = b.links / len(b.text)
     if b.outside:
         return "bad"
-    if b.article:
-        return "bad" if b.item and density > 0.8 else "good" if len(b.text) >= SHORT and density <= LINKS else ""
     if density > LINKS:
         return "bad"
     if len(b.text) < SHORT:
@@ -209,6 +208,24 @@ def second_pass(blocks: list[Block]) -> None:
         b.label = min(near, after, key=lambda x: (x[0], x[1] != "good"))[1] if near[0] <= len(blocks) or after[0] <= len(blocks) else "good"
 
 
+def marked_pass(b: Block, alone: bool) -> str:
+    """The milder rules for a marked block, where marked blocks count alone and where others count too."""
+    density = b.links / len(b.text)
+    if not alone:
+        return "bad" if density > LINKS else "good"
+    return "bad" if b.item and density > 0.8 else "good" if len(b.text) >= SHORT and density <= LINKS else ""
+
+
+def larger_part(blocks: list[Block]) -> bool:
+    """Whether marked blocks hold the larger part of the text that the first pass calls good; or, if it calls none good,
+    of the long text that it leaves open."""
+    for label in ("good", ""):
+        held = [(len(b.text), b.article > 0) for b in blocks if b.label == label and len(b.text) >= SHORT]
+        if held:
+            return 2 * sum(n for n, marked in held if marked) > sum(n for n, _ in held)
+    return True
+
+
 def main_text(html: str | None) -> str:
     """The article of a page, its blocks joined by one space."""
     blocks = blocks_of(html or "")
@@ -216,10 +233,11 @@ def main_text(html: str | None) -> str:
         b.label = first_pass(b)
     marked = [b for b in blocks if b.article and not b.outside]
     if marked:
-        for b in blocks:
-            if not b.article:
-                b.label = "bad"
-        blocks = marked
+        alone = larger_part(blocks)
+        for b in marked:
+            b.label = marked_pass(b, alone)
+        if alone:
+            blocks = marked
     second_pass(blocks)
     return " ".join(b.text for b in blocks if b.label == "good")
 

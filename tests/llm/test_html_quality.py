@@ -49,6 +49,32 @@ def test_elements_without_end_tags(page, text):
     assert html.main_text(page) == text
 
 
+POLISH = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw, obdarzeni rozumem i sumieniem."
+TEASER = "<article><h2>A title</h2><p>Read more of this story and what it was that they said.</p></article>"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<body><div class='post-meta'>By X, 3 May</div><div class='content'><p>{SAID}</p></div></body>", f"By X, 3 May {SAID}"),
+        (f"<div class='story-card'><p>Ok.</p></div><div id='latestPost'>Old.</div><p>{SAID}</p>", f"Ok. Old. {SAID}"),
+        (f"<div class='content'><p>{SAID}</p><p>{SAID}</p></div><article><p><a href=1>one two three</a></p></article>", f"{SAID} {SAID}"),
+        (f"<div class='text wide Post'><p>{SAID}</p><p>x</p></div><div><p>y</p></div>", f"{SAID} x"),
+        (f"<main><p>{SAID}</p><p>{SAID}</p></main><div><p>{SAID}</p></div>", f"{SAID} {SAID}"),
+        (f"<nav>no</nav><article><p>{POLISH}</p><p>Tak.</p></article><p>{SAID}</p>", f"{POLISH} Tak. {SAID}"),
+        ("<p>" + "漢字仮名" * 80 + "</p><article><p>漢字</p></article>", "漢字仮名" * 80 + " 漢字"),
+    ],
+)
+def test_marks_are_evidence(page, text):
+    assert html.main_text(page) == text
+
+
+def test_teasers_do_not_replace_the_text():
+    assert html.main_text(f"<body><div class='content'><p>{SAID}</p><p>{SAID}</p><p>{SAID}</p></div>{TEASER}{TEASER}</body>").startswith(f"{SAID} {SAID} {SAID}")
+    linked = "<article><h2><a href=1>A title</a></h2><p><a href=1>Read more of this story and what it was that they said.</a></p></article>"
+    assert html.main_text(f"<body><div class='content'><p>{SAID}</p></div>{linked}{linked}</body>") == SAID
+
+
 def test_extract(spark):
     rows = [(1, "u", "<article><p>x</p></article>", "clash", 9), (1, "u", "<article><p>x</p></article>", "clash", 9), (None, None, None, None, None), (2, "v", "<article>" + "<p>word</p>" * 20000 + "</article>", "", 1)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars long")
