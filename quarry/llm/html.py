@@ -45,7 +45,7 @@ STOP = frozenset(
     "al como con del el ella en era es esta este fue ha han hay la las lo los más me mi muy no nos o para pero por que se ser si sin sobre su sus también te un una y ya".split()
 )
 SHORT, LONG = 70, 200
-LOW, HIGH = 0.15, 0.30
+MILD, LOW, HIGH = 0.10, 0.15, 0.30
 LINKS = 0.5
 
 
@@ -176,6 +176,11 @@ def blocks_of(html: str) -> list[Block]:
     return found
 
 
+def stop_words(b: Block) -> float:
+    words = b.text.lower().split()
+    return sum(w in STOP for w in words) / len(words)
+
+
 def first_pass(b: Block) -> str:
     """good, bad or, of short or unclear blocks, an empty string."""
     density = b.links / len(b.text)
@@ -185,8 +190,7 @@ def first_pass(b: Block) -> str:
         return "bad"
     if len(b.text) < SHORT:
         return ""
-    words = b.text.lower().split()
-    stops = sum(w in STOP for w in words) / len(words)
+    stops = stop_words(b)
     if stops >= HIGH or (len(b.text) >= LONG and stops >= LOW):
         return "good"
     return "" if stops >= LOW or (len(b.text) >= LONG and density < 0.2) else "bad"
@@ -208,12 +212,17 @@ def second_pass(blocks: list[Block]) -> None:
         b.label = min(near, after, key=lambda x: (x[0], x[1] != "good"))[1] if near[0] <= len(blocks) or after[0] <= len(blocks) else "good"
 
 
-def marked_pass(b: Block, alone: bool) -> str:
-    """The milder rules for a marked block, where marked blocks count alone and where others count too."""
+def marked_pass(b: Block, alone: bool, known: bool) -> str:
+    """The milder rules for a marked block, where marked blocks count alone and where others count too. Few stop words
+    leave it open if the language is known by other marked blocks; b.label is that of the first pass."""
     density = b.links / len(b.text)
     if not alone:
         return "bad" if density > LINKS else "good"
-    return "bad" if b.item and density > 0.8 else "good" if len(b.text) >= SHORT and density <= LINKS else ""
+    if b.item and density > 0.8:
+        return "bad"
+    if len(b.text) < SHORT or density > LINKS:
+        return ""
+    return "good" if not known or b.label == "good" or stop_words(b) >= MILD else ""
 
 
 def larger_part(blocks: list[Block]) -> bool:
@@ -233,9 +242,9 @@ def main_text(html: str | None) -> str:
         b.label = first_pass(b)
     marked = [b for b in blocks if b.article and not b.outside]
     if marked:
-        alone = larger_part(blocks)
+        alone, known = larger_part(blocks), any(b.label == "good" for b in marked)
         for b in marked:
-            b.label = marked_pass(b, alone)
+            b.label = marked_pass(b, alone, known)
         if alone:
             blocks = marked
     second_pass(blocks)

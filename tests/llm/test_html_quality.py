@@ -75,6 +75,14 @@ def test_teasers_do_not_replace_the_text():
     assert html.main_text(f"<body><div class='content'><p>{SAID}</p></div>{linked}{linked}</body>") == SAID
 
 
+def test_stop_words_decide_in_marked_articles():
+    links = "<ul><li><a href=1>one</a></li><li><a href=2>two</a></li></ul>"
+    tags = "Tags: politics, economy, markets, shares, banks, interest, inflation, employment, wages"
+    assert html.main_text(f"<article><p>{SAID}</p>{links}<p>{tags}</p>{links}</article>") == SAID
+    assert html.main_text(f"<article><p>{SAID}</p><p>{tags}</p>{links}</article>") == f"{SAID} {tags}"
+    assert html.main_text(f"<article><p>{POLISH}</p>{links}<p>{POLISH}</p>{links}</article>") == f"{POLISH} {POLISH}"
+
+
 def test_extract(spark):
     rows = [(1, "u", "<article><p>x</p></article>", "clash", 9), (1, "u", "<article><p>x</p></article>", "clash", 9), (None, None, None, None, None), (2, "v", "<article>" + "<p>word</p>" * 20000 + "</article>", "", 1)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars long")
