@@ -8,11 +8,13 @@ applies them to its own projections sorted by distance. Queries and vectors meet
 vector of a visited bucket is compared with the query in double precision, and the tables' candidates are merged.
 
 Equal vectors are one class that keeps its smallest ids, as many as a result can need; so many copies cost no more than
-one, and no result is lost. Buckets are streamed: the queries of one are held, its vectors pass in chunks.
+one, and no result is lost. Buckets are streamed: the queries of one are held, its vectors pass in chunks, and a chunk
+is compared with a block of queries at a time.
 
 The number of projections follows the number of vectors. The number of probes is fitted on a sample of at most SAMPLE
 vectors (those of smallest hash): the smallest that finds AIM of the sample's true neighbours, for at most PILOT of its
-vectors. All vectors are indexed.
+vectors. Where the most probes don't find as many, there are fewer projections, so larger buckets. All vectors are
+indexed.
 
 Defined results: vectors that are null, of length zero, of another dimension than most, or that hold a null or a
 non-finite component take no part, as queries or candidates; a query has fewer than k neighbours only if fewer are
@@ -37,6 +39,7 @@ TABLES, WIDTH = 12, 2.2
 PROBES = (25, 50, 100, 200, 400, 800)
 SAMPLE, PILOT, AIM = 4096, 200, 0.96
 CHUNK, MERGED = 1024, 400_000
+ASKED = 4096  # queries compared with a chunk at once
 
 
 def perturbations(m: int, most: int) -> list[tuple[int, ...]]:
@@ -89,23 +92,28 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def fit(sample: np.ndarray, n: int, k: int = 5) -> Index:
-    """An index for n vectors whose probes find AIM of the true neighbours in the sample; one bucket for all if none do."""
-    m = 8 + max(0, round((np.log2(max(2, n)) - 16) / 2))
+    """An index for n vectors whose probes find AIM of the true neighbours in the sample, with as many projections as do."""
     x = unit(sample)
     asked = x[: min(PILOT, len(x))]
     like = asked @ x.T
     like[np.arange(len(asked)), np.arange(len(asked))] = -2
     true = np.argsort(-like, 1)[:, : min(k, len(x) - 1)]
-    for probes in PROBES:
-        index = Index.make(x.shape[1], m, probes=probes)
-        hit = np.zeros(true.shape, bool)
-        for t in range(len(index.planes)):
-            own, visited = index.cells(x, t)[0], index.probes(asked, t)
-            for i in range(len(asked)):
-                hit[i] |= np.isin(own[true[i]], visited[i])
-        if hit.size == 0 or hit.mean() >= AIM:
-            return index
-    return Index.make(x.shape[1], 1, width=1e9, tables=1, probes=1)
+    for m in range(8 + max(0, round((np.log2(max(2, n)) - 16) / 2)), 0, -1):
+        for probes in PROBES:
+            index = Index.make(x.shape[1], m, probes=probes)
+            if true.size == 0 or recall(index, x, asked, true) >= AIM:
+                return index
+    return index
+
+
+def recall(index: Index, x: np.ndarray, asked: np.ndarray, true: np.ndarray) -> float:
+    """The share of the true neighbours (places in x) that the index's probes visit."""
+    hit = np.zeros(true.shape, bool)
+    for t in range(len(index.planes)):
+        own, visited = index.cells(x, t)[0], index.probes(asked, t)
+        for i in range(len(asked)):
+            hit[i] |= np.isin(own[true[i]], visited[i])
+    return hit.mean()
 
 
 def usable(vector: Column) -> Column:
@@ -176,20 +184,22 @@ def nearest(df: DataFrame, is_query: Column, key: str, vector: str, k: int = 5)
                     asked, q = np.concatenate(who), np.concatenate(what)
                     for s in range(a, z, CHUNK):
                         x, ids = v[s : min(z, s + CHUNK)], h[s : min(z, s + CHUNK)]
-                        like = (q @ x.T) / (np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(x, axis=1)[None, :])
                         top = min(k + 1, len(ids))
-                        best = np.argpartition(-like, top - 1, 1)[:, :top]
-                        # Others that tie with the last one kept may hold smaller ids.
-                        floor = np.take_along_axis(like, best, 1).min(1)
-                        i, j = np.nonzero(like >= floor[:, None])
-                        held.append((asked[i], ids[j], like[i, j]))
-                        size += len(i)
-                    if size > MERGED:
-                        held = [_best(held, k)]
-                        size = len(held[0][0])
-                        if size > MERGED // 2:
-                            yield _rows(held[0])
-                            held, size = [], 0
+                        for f in range(0, len(q), ASKED):
+                            part = q[f : f + ASKED]
+                            like = (part @ x.T) / (np.linalg.norm(part, axis=1)[:, None] * np.linalg.norm(x, axis=1)[None, :])
+                            best = np.argpartition(-like, top - 1, 1)[:, :top]
+                            # Others that tie with the last one kept may hold smaller ids.
+                            floor = np.take_along_axis(like, best, 1).min(1)
+                            i, j = np.nonzero(like >= floor[:, None])
+                            held.append((asked[f + i], ids[j], like[i, j]))
+                            size += len(i)
+                            if size > MERGED:
+                                held = [_best(held, k)]
+                                size = len(held[0][0])
+                                if size > MERGED // 2:
+                                    yield _rows(held[0])
+                                    held, size = [], 0
         if held:
             yield _rows(_best(held, k))
 

@@ -52,6 +52,26 @@ def test_odd_vectors(spark):
     assert {i: [j for j, _ in x] for i, x in told(ann.nearest(few, F.col("vec_id") % 50 == 0, "vec_id", "embedding")).items()} == {i: [j for j, _ in x] for i, x in brute([x for x in rows if x[0] in (0, 100)] + [(13, base[2])]).items()}
 
 
+def test_many_vectors_are_hashed_too(spark):
+    x = np.array([r.embedding for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("embedding").collect()], float)
+    index = ann.fit(x, 1 << 28)
+    u = ann.unit(x)
+    like = u[:100] @ u.T
+    like[np.arange(100), np.arange(100)] = -2
+    assert len(index.planes) == ann.TABLES and index.width == ann.WIDTH and index.planes.shape[2] > 8
+    assert ann.recall(index, u, u[:100], np.argsort(-like, 1)[:, :5]) >= 0.95
+    assert max(np.unique(index.cells(u, t)[0], return_counts=True)[1].max() for t in range(ann.TABLES)) < len(u) / 10
+
+
+def test_blocks_of_queries(spark, monkeypatch):
+    sf = "/root/testdata/sf0.001"
+    want = told(queries.op3_ann(spark, sf))
+    monkeypatch.setattr(ann, "ASKED", 3)
+    monkeypatch.setattr(ann, "MERGED", 50)
+    got = told(queries.op3_ann(spark, sf))
+    assert {i: [j for j, _ in x] for i, x in got.items()} == {i: [j for j, _ in x] for i, x in want.items()}
+
+
 def test_perturbations_come_in_order():
     m = 5
     sets = ann.perturbations(m, 60)
