@@ -356,7 +356,13 @@ def join(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of df without all but the smallest key of each component. Rows of one key are one document, of which
-    one row stays; rows without a key can't be told apart and stay."""
-    stay = materialize(join(df, key, text).select(F.col("component_id").alias(key)).filter(F.col(key).isNotNull()).distinct(), release=True)
-    return df.join(stay, key, "left_semi").dropDuplicates([key]).unionByName(df.filter(F.col(key).isNull()))
+    """The rows of df without all but the smallest of each component, by key, then by the text's hash. Rows of one key and
+    text are one document, of which the first by its other columns stays; other texts of its key are documents of their
+    own. Rows without a key can't be told apart and stay."""
+    known = df.filter(F.col(key).isNotNull()).select(F.struct("*").alias("row"), F.col(key).alias("key"), F.xxhash64(text).alias("said"))
+    document = F.when(F.col(key).isNotNull(), F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("said")))
+    least = join(df.select(document.alias("document"), F.col(text).alias("text")), "document", "text").select("component_id.*")
+    stay = materialize(least.filter(F.col("key").isNotNull()).distinct(), release=True)
+    others = F.to_json(F.struct(F.lit(0), *(F.col(f"row.`{c}`") for c in df.columns if c not in (key, text))))
+    first = known.join(stay, ["key", "said"], "left_semi").groupBy("key", "said").agg(F.min_by("row", others).alias("row"))
+    return first.select("row.*").unionByName(df.filter(F.col(key).isNull()))

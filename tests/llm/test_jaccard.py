@@ -90,6 +90,15 @@ def test_odd_rows(spark):
     assert kept.columns == df.columns
 
 
+def test_texts_that_share_a_key(spark):
+    a, b, c = ("a b c d e f g h i j k l m n o p q r", "k l m n o p q r s", "t u v w x y z")
+    rows = [(5, a, "x"), (5, b, "y"), (5, c, "x"), (5, b, "x"), (3, a + " s", "x"), (7, b, "a"), (8, "", "x"), (8, "", "x"), (None, c, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, said string")
+    kept = jaccard.keep_one(df)
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(3, a + " s", "x"), (5, b, "x"), (5, c, "x"), (8, "", "x"), (None, c, "x")], key=str)
+    assert kept.dtypes == df.dtypes
+
+
 def test_boundary_and_prefix():
     assert [jaccard.prefix_size(n) for n in (1, 4, 5, 6, 10, 600)] == [1, 1, 2, 2, 3, 121]
     assert jaccard.boundary(1) <= jaccard.boundary(10) <= jaccard.boundary(1000)
