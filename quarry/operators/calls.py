@@ -24,6 +24,24 @@ def offline(payloads: list[str]) -> list[str]:
     return [json.dumps({"quality": "acceptable", "difficulty": "moderate", "reason": "offline"}) for _ in payloads]
 
 
+def payload(model: str, system: str, user: str, most: int, thinking: str | None = None, effort: str | None = None, json_mode: bool = False) -> dict:
+    """One request. An effort turns thinking on where it isn't set; with thinking on there is no temperature."""
+    if effort and thinking == "disabled":
+        raise ValueError("an effort needs thinking")
+    if effort and thinking is None:
+        thinking = "enabled"
+    out: dict = {"model": model, "messages": [{"role": "system", "content": system}, {"role": "user", "content": user}], "max_tokens": most}
+    if thinking != "enabled":
+        out["temperature"] = 0
+    if json_mode:
+        out["response_format"] = {"type": "json_object"}
+    if thinking:
+        out["thinking"] = {"type": thinking}
+    if effort:
+        out["reasoning_effort"] = effort
+    return out
+
+
 def answered(df: DataFrame, client: Client, key: str, payload: str, concurrency: int = 8, batch: int = 8, retries: int = 2, longest_wait: float = 4.0) -> DataFrame:
     """key, reply and error (one of them null), with retries after 1, 2, 4 ... seconds, bounded."""
     kind = df.schema[key].dataType.simpleString()

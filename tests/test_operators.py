@@ -222,6 +222,15 @@ def test_calls(spark, tmp_path):
     assert (spark.read.parquet(str(tmp_path / "good")).count(), spark.read.parquet(str(tmp_path / "bad")).count()) == (2, 1)
 
 
+def test_payload():
+    plain = {"model": "m", "messages": [{"role": "system", "content": "s"}, {"role": "user", "content": "u"}], "max_tokens": 9}
+    assert calls.payload("m", "s", "u", 9) == {**plain, "temperature": 0}
+    assert calls.payload("m", "s", "u", 9, effort="high", json_mode=True) == {**plain, "response_format": {"type": "json_object"}, "thinking": {"type": "enabled"}, "reasoning_effort": "high"}
+    assert calls.payload("m", "s", "u", 9, "disabled") == {**plain, "temperature": 0, "thinking": {"type": "disabled"}}
+    with pytest.raises(ValueError, match="effort"):
+        calls.payload("m", "s", "u", 9, "disabled", "high")
+
+
 def test_latest_cache_line(spark):
     cache = spark.createDataFrame([("t", "m", "v", 1, "x"), ("t", "m", "v", 2, "y"), ("t", "n", "v", 3, "z")], "template_id string, model string, prompt_version string, line int, quality string")
     assert [r.quality for r in cluster.latest_cached(cache, "template_id", "m", "v", "line").collect()] == ["y"]
