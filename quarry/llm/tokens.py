@@ -4,7 +4,9 @@
 are those of its words one after another, so each different word needs the library once and a bounded cache remembers
 the recent ones. ``ByteTokenizer`` uses tiktoken with the ranks that a byte-level vocabulary file of the tokenizers
 library lists (the same merges, four times as fast), and the tokenizers library itself for texts with rare characters,
-on whose classes the two libraries' tables might differ. Strings of special tokens in a text are ordinary text.
+on whose classes the two libraries' tables might differ. It cuts long texts where the vocabulary's pattern always splits,
+at a space between two lower-case letters, so that memory doesn't follow the length of a text of words. Strings of
+special tokens in a text are ordinary text.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 REMEMBERED = 150_000
 #: The split pattern of the byte-level vocabulary.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Characters encoded together, and where a text may be cut after so many.
+TOGETHER, CUT = 1 << 15, re.compile(r"(?<=[a-z])(?= [a-z])")
 #: Characters whose class and lower case no table disputes: ASCII without controls, Latin-1 letters and signs.
 PLAIN = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\xac\xae-\xff]")
 #: Runs of letters stay whole; between a letter and a sign (but the apostrophe) the word vocabulary always splits.
@@ -113,6 +117,13 @@ class ByteTokenizer:
 
     def encode(self, text: str) -> bytes:
         """The ids, little-endian, four bytes each."""
+        parts, at = [], 0
+        while len(text) - at > TOGETHER and (found := CUT.search(text, at + TOGETHER)):
+            parts.append(self._encode(text[at : found.start()]))
+            at = found.start()
+        return b"".join([*parts, self._encode(text[at:] if at else text)])
+
+    def _encode(self, text: str) -> bytes:
         if PLAIN.search(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return np.array(self.fast.encode_ordinary(text), "<u4").tobytes()

@@ -60,6 +60,59 @@ def test_pack(spark, which):
         assert len(held) <= -(-sum(r.length for r in out) // 1024) + 2
 
 
+def histograms():
+    rng = np.random.default_rng(3)
+    yield {}
+    yield {1024: 7}
+    yield {1: 5000}
+    yield dict(Counter(np.clip(rng.lognormal(5.5, 0.9, 5000).astype(int), 1, 1024).tolist()))
+    yield dict(Counter(rng.integers(200, 700, 5000).tolist()))
+    yield dict(Counter(rng.integers(300, 420, 5000).tolist()))
+    yield dict(Counter(rng.choice([340, 341, 342, 513, 511, 171], 5000).tolist()))
+
+
+@pytest.mark.parametrize("h", list(histograms()))
+def test_plan_places_each_piece_once_and_never_beats_or_loses_to_its_bounds(h):
+    made = packing.plan(h, 1024)
+    ranks = defaultdict(list)
+    rooms = defaultdict(list)
+    for size, rank, number, first, offset in made.runs:
+        ranks[size] += range(rank, rank + number)
+        for q in range(first, first + number):
+            rooms[q].append((offset, size))
+    assert {s: sorted(r) for s, r in ranks.items()} == {s: list(range(n)) for s, n in h.items()}
+    for parts in rooms.values():
+        at = 0
+        for offset, size in sorted(parts):
+            assert offset == at
+            at += size
+        assert at <= 1024
+    assert len(rooms) == made.sequences >= -(-sum(s * n for s, n in h.items()) // 1024)
+    assert made.sequences <= packing.plan_grouped(h, 1024, 0).sequences
+
+
+def test_configurations_save_sequences_where_best_fit_wastes_them():
+    h = dict(Counter(np.random.default_rng(3).integers(300, 420, 5000).tolist()))
+    assert packing.plan(h, 1024).sequences < 0.97 * packing.plan_grouped(h, 1024, 0).sequences
+
+
+def test_configurations_cover_the_counts_and_match_brute_force():
+    sizes, counts = [3, 4, 6], [10, 7, 5]
+    found = packing.configurations(sizes, counts, 10)
+    total = sum(use * taken for taken, use in found)
+    assert all(total >= np.array(counts) - 1e-6) and all(taken @ np.array(sizes) <= 10 for taken, _ in found)
+    # Volume 88 of 10: 8.8 at least; {6,4} five times, {3,3,4} twice, {3,3,3} twice is whole and best.
+    assert 8.8 <= sum(use for _, use in found) <= 9.0 + 1e-6
+
+
+def test_long_texts_are_cut_where_the_pattern_splits():
+    tok, lib = ByteTokenizer(public_tokenizers.path("byte_bpe_50k.json")), library("byte_bpe_50k.json")
+    rng = random.Random(5)
+    for alphabet in ("ab  \n'sé.,1", "abc d", "ابت ab", "xyz"):
+        text = "".join(rng.choice(alphabet) for _ in range(70_000))
+        assert np.frombuffer(tok.encode(text), "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize(("low", "high"), [(1, 1024), (300, 900), (1, 40), (1024, 1024)])
 def test_plan_holds_all(low, high):
     rng = random.Random(low)
