@@ -33,7 +33,7 @@ Q = 10
 #: Edits as a share of a window, its bytes and step, the share of an item that counts, and q-grams that a short window must share at least.
 EDITS, WINDOW, STEP, COVER, LEAST = 0.08, 100, 50, 0.5, 6
 #: Bytes of items a block, and of texts looked at together.
-BLOCK, TOGETHER = 4 << 20, 1 << 20
+BLOCK, TOGETHER = 4 << 20, 1 << 18
 BAND = 32
 TABLE_BITS = 22
 WORD = re.compile(r"[^\W_]+")

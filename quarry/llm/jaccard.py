@@ -46,8 +46,10 @@ SHINGLE = 5
 FREQUENT, AT_MOST = 32, 200_000
 #: Members of a frequent bucket, or of a leader, in one task.
 DEALT = 512
-#: Cost of a row that is shuffled, in candidates looked at.
-ROW_COST = 4
+#: Shingles of the members of a leader in one task (or one member, if it has more).
+HELD = 300_000
+#: Cost of a companion met in a bucket, in rows that are shuffled: its text travels to the leader and is compared there.
+MEETING = 12
 #: Sets below this size link only with equal sets.
 LEAST = 4
 
@@ -57,11 +59,12 @@ def prefix_size(n: int) -> int:
 
 
 def boundary(mean_list: float) -> int:
-    """The largest size for which pairs of shingles cost no more than lists."""
-    n = 0
+    """The largest size for which pairs of shingles cost no more than lists: pairs are more rows, but only sets that are
+    nearly alike meet in them; in a list a set meets all companions, mean_list - 1 of them."""
+    n = LEAST
     while True:
         p = prefix_size(n + 1)
-        if (p + 1) * p / 2 * ROW_COST > p * (ROW_COST + mean_list):
+        if (p + 1) * p / 2 > p * (1 + MEETING * (mean_list - 1)):
             return n
         n += 1
 
@@ -262,7 +265,7 @@ def _links(df: DataFrame, key: str, text: str, own: DataFrame, asked: DataFrame)
     return materialize(rows.mapInArrow(tidy(run), "a long, b long"), release=True)
 
 
-def overlaps(sets: list[np.ndarray], most: int = 400_000) -> np.ndarray:
+def overlaps(sets: list[np.ndarray], most: int = 200_000) -> np.ndarray:
     """Sizes of all intersections. Sets are taken in chunks of so many shingles (or one set), two chunks at a time."""
     size = np.array([len(x) for x in sets])
     chunk = (np.cumsum(size) - 1) // most
@@ -328,9 +331,9 @@ def join(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     # Frequent buckets: a leader for each class of sizes, which members of the next class have too.
     often = met.filter("salt >= 0").select("bucket", "node", "n", F.floor(F.log(1.25, "n")).alias("class")).distinct()
     heads = often.groupBy("bucket", "class").agg(F.min(F.struct("n", "node")).alias("top")).select("bucket", "class", F.col("top.node").alias("leader"))
-    often = often.withColumn("class", F.explode(F.array("class", F.col("class") - 1))).join(heads, ["bucket", "class"]).filter("leader <> node").select("leader", "node")
-    stars = materialize(met.filter("salt < 0 AND leader <> node").select("leader", "node").union(often).distinct(), release=True)
-    each = stars.groupBy("leader").agg(F.ceil(F.count("*") / DEALT).cast("int").alias("salts"))
+    often = often.withColumn("class", F.explode(F.array("class", F.col("class") - 1))).join(heads, ["bucket", "class"]).filter("leader <> node").select("leader", "node", "n")
+    stars = materialize(met.filter("salt < 0 AND leader <> node").select("leader", "node", "n").union(often).distinct(), release=True)
+    each = stars.groupBy("leader").agg(F.ceil(F.greatest(F.count("*") / DEALT, F.sum("n") / HELD)).cast("int").alias("salts"))
     salt = F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt")
     members = stars.join(each, "leader").select("node", "leader", salt, F.lit(1).alias("role"))
     leaders = each.select(F.col("leader").alias("node"), "leader", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"))

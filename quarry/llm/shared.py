@@ -45,7 +45,7 @@ def tidy(run: Callable, every: int = 64) -> Callable:
     return wrapped
 
 
-def bound_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+def bound_batches(spark: SparkSession, size: int = 4 << 20) -> None:
     """Lowers the bytes of an Arrow batch for this session: a batch of many whole texts takes much of a worker's memory."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     if as_bytes(spark.conf.get(name)) > size:

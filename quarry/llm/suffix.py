@@ -3,7 +3,8 @@
 A byte is repeated if some string of ``least`` bytes that covers it starts anywhere else in the corpus. Suffixes are
 dealt over the cluster so that equal windows of ``least`` bytes always meet, without shuffling all windows: of the
 64-byte grams in a window the leftmost of smallest hash is its anchor, a function of the window's bytes alone. The
-windows of one anchor lie side by side; they and the bytes that they reach are a tile. Only anchors whose gram occurs
+windows of one anchor lie side by side, at most least - gram + 1 of them; they and the bytes that they reach are a tile,
+of less than twice ``least`` bytes. Only anchors whose gram occurs
 elsewhere matter, tiles that are equal as a whole are known to repeat, and of the rest one copy of each different tile
 goes, with the other tiles of its gram, to one task.
 
@@ -14,9 +15,14 @@ intervals; each left-diverse interval is a maximal repeat with all its occurrenc
 as the deepest interval that holds it.
 
 Hot groups: copies of a whole text take part once a task and are known to repeat; grams that occur often are dealt
-over several tasks; grams with very many different tiles are told window by window, by counts of window hashes.
+over several tasks (a gram that isn't among the AT_MOST most frequent ones has less than 1 / AT_MOST of all rows); grams
+with very many different tiles are told window by window, by counts of two 64-bit hashes of each window.
 
-Texts are known by a 64-bit hash. Defined results: null and empty texts and texts under ``least`` bytes have no
+Texts are known by a 64-bit hash; a second one is held against it, and texts that differ in it take it as their id. So
+texts are told apart by 128 bits, and tiles by the 128 bits of their gram's and their own hash.
+
+``rewritten`` gives text, so it removes whole characters only: a run that begins or ends within a character leaves that
+character as it is. Texts of which nothing but white space is left go. Defined results: null and empty texts and texts under ``least`` bytes have no
 repeats; very long texts are treated whole; equal texts and repeated rows of ``least`` bytes are removed whole, all of
 them; null keys are kept as they are; an empty table gives an empty result; other columns are carried or ignored.
 """
@@ -40,19 +46,20 @@ FREQUENT, AT_MOST, DEALT = 2048, 100_000, 4096
 #: Different tiles of one gram that are sorted in one task; beyond, windows are counted.
 SORTED = 20_000
 #: Bytes of texts or tiles looked at together.
-TOGETHER = 1 << 20
+TOGETHER = 1 << 18
 
 _BYTE = np.random.default_rng(5).integers(0, 2**64, 256, dtype=np.uint64) | U(1)
+_OTHER = np.random.default_rng(6).integers(0, 2**64, 256, dtype=np.uint64) | U(1)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def window_hashes(data: np.ndarray, k: int) -> np.ndarray:
+def window_hashes(data: np.ndarray, k: int, table: np.ndarray = _BYTE) -> np.ndarray:
     """A 64-bit hash of the k bytes at each place, from hashes of half the size."""
     if len(data) < k:
         return np.zeros(0, np.uint64)
     whole, size = None, 0
-    part, n = _BYTE[data], 1
+    part, n = table[data], 1
     while True:
         if k & n:
             whole = part if whole is None else whole[: len(data) - size - n + 1] * U(pow(_BASE, n, 1 << 64)) + part[size : len(data) - n + 1]
@@ -102,8 +109,25 @@ def tiles(texts: list[bytes], least: int = LEAST, gram: int = GRAM) -> dict[str,
     return {"text": text, "start": start - (ends - sizes)[text], "n": count, "gram": hashes[anchor[begins]].view(np.int64), "tile": stretch_hashes(data, start, start + count - 1 + least).view(np.int64)}
 
 
-def hashed(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text, F.lit("")))
+#: Ids shared by different texts that the driver holds at most: at 3e10 texts some 25 are expected.
+CLASHES = 10_000
+
+
+def identified(df: DataFrame, text: Column, least: int) -> tuple[Column, DataFrame]:
+    """An id of each text as a Column, and id, c, length of the texts of ``least`` bytes that occur several times."""
+    said = F.coalesce(text, F.lit(""))
+    first, second = F.xxhash64(said), F.xxhash64(F.lit(1), said)
+    sizes = df.select(first.alias("id"), second.alias("second"), F.octet_length(said).alias("size")).filter(F.col("size") >= least)
+    told = [F.count("*").alias("c"), F.max("size").alias("length")]
+    copies = materialize(sizes.groupBy("id").agg(*told, (F.min("second") != F.max("second")).alias("clash")).filter("c > 1"))
+    clashes = [r["id"] for r in copies.filter("clash").select("id").limit(CLASHES + 1).collect()]
+    if len(clashes) > CLASHES:
+        raise ValueError("too many different texts share a 64-bit hash")
+    if not clashes:
+        return first, copies.select("id", "c", "length")
+    own = F.when(first.isin(clashes), second).otherwise(first)
+    again = sizes.withColumn("id", F.when(F.col("id").isin(clashes), F.col("second")).otherwise(F.col("id")))
+    return own, again.groupBy("id").agg(*told).filter("c > 1")
 
 
 def _tile_rows(df: DataFrame, least: int, counts: dict[int, int] | None) -> DataFrame:
@@ -314,35 +338,37 @@ def _sorted_tiles(texts: DataFrame, reps: DataFrame, least: int) -> DataFrame:
 
     def windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: list[list[np.ndarray]] = [[], [], []]
+            found: list[list[np.ndarray]] = [[], [], [], []]
             for h, s, n, tile in zip(*(batch.column(c).to_pylist() for c in ("id", "start", "n", "tile")), strict=True):
-                found[0].append(window_hashes(np.frombuffer(tile, np.uint8), least).view(np.int64))
-                found[1].append(np.full(n, h, np.int64))
-                found[2].append(np.arange(s, s + n, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, t), *x])) for x, t in zip(found, (np.int64, np.int64, np.int32), strict=True)], names=["window", "id", "start"])
+                raw = np.frombuffer(tile, np.uint8)
+                found[0].append(window_hashes(raw, least).view(np.int64))
+                found[1].append(window_hashes(raw, least, _OTHER).view(np.int64))
+                found[2].append(np.full(n, h, np.int64))
+                found[3].append(np.arange(s, s + n, dtype=np.int32))
+            columns = [pa.array(np.concatenate([np.zeros(0, t), *x])) for x, t in zip(found, (np.int64, np.int64, np.int64, np.int32), strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=["window", "other", "id", "start"])
 
     rows = materialize(rows, release=True)
     few = rows.filter("NOT big").repartition(partitions(rows.sparkSession), "gram").sortWithinPartitions("gram").mapInArrow(tidy(scan), spans)
     if big.isEmpty():
         return few
-    each = rows.filter("big").mapInArrow(tidy(windows), "window long, id long, start int")
-    twice = each.groupBy("window").agg(F.count("*").alias("c")).filter("c > 1").select("window")
-    return few.union(each.join(twice, "window").select("id", "start", F.lit(least).alias("length")))
+    each = rows.filter("big").mapInArrow(tidy(windows), "window long, other long, id long, start int")
+    twice = each.groupBy("window", "other").agg(F.count("*").alias("c")).filter("c > 1").select("window", "other")
+    return few.union(each.join(twice, ["window", "other"]).select("id", "start", F.lit(least).alias("length")))
 
 
-def repeated(df: DataFrame, text: str = "text", least: int = LEAST) -> DataFrame:
-    """id (hash of the text) and spans (array of start and length, bytes) of every text with repeated bytes."""
+def repeated(df: DataFrame, text: str = "text", least: int = LEAST) -> tuple[Column, DataFrame]:
+    """The id of a text as a Column, and id and spans (array of start and length, bytes) of texts with repeated bytes."""
     bound_batches(df.sparkSession)
-    docs = df.select(hashed(F.col(text)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    sizes = docs.select("id", F.octet_length("text").alias("size")).filter(F.col("size") >= least)
-    copies = sizes.groupBy("id").agg(F.count("*").alias("c"), F.max("size").alias("length")).filter("c > 1").select("id", F.lit(0).alias("start"), "length")
+    own, copies = identified(df, F.col(text), least)
+    docs = df.select(own.alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     met = _met(_tile_rows(docs, least, _frequent(docs, least)))
     whole = met.filter("kind = 0").select("id", "start", (F.col("n") - 1 + least).alias("length"))
     reps = met.filter("kind = 1")
     has_rep = KeyFilter(reps.select("id").distinct()).may_have(F.col("id"))
     more = _sorted_tiles(docs.filter(has_rep), reps, least)
-    spans = copies.union(whole).union(more)
-    return materialize(spans.groupBy("id").agg(F.collect_list(F.struct("start", "length")).alias("spans")), release=True)
+    spans = copies.select("id", F.lit(0).alias("start"), "length").union(whole).union(more)
+    return own, materialize(spans.groupBy("id").agg(F.collect_list(F.struct("start", "length")).alias("spans")), release=True)
 
 
 def _united(spans: list[dict]) -> list[tuple[int, int]]:
@@ -355,54 +381,60 @@ def _united(spans: list[dict]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def deduplicate(df: DataFrame, text: str = "text", least: int = LEAST) -> DataFrame:
-    """df with kept (binary: the bytes that aren't repeated) and removed (array of start and length).
+def _whole_characters(text: bytes, a: int, b: int) -> tuple[int, int]:
+    """The run from a to b without characters that it covers in part."""
+    while a < b and text[a] & 0xC0 == 0x80:
+        a += 1
+    while b > a and b < len(text) and text[b] & 0xC0 == 0x80:
+        b -= 1
+    return a, b
 
-    Texts without repeats aren't shuffled: a filter tells them apart.
-    """
-    found = repeated(df, text, least)
-    touched = KeyFilter(found.select("id")).may_have(F.col("id"))
-    rows = df.withColumn("id", hashed(F.col(text))) if "id" not in df.columns else df.select(F.struct("*").alias("row"), hashed(F.col(text)).alias("id"))
-    packed = "id" in df.columns
-    own = F.col("row")[text] if packed else F.col(text)
-    raw = F.coalesce(own, F.lit("")).cast("binary")
 
-    @F.arrow_udf("struct<kept:binary,removed:array<struct<start:int,length:int>>>")
+def _cutter(characters: bool, kept: str):
+    """A UDF of texts (binary) and spans: what is kept, as binary or, less whole characters only, as string; and the runs removed."""
+
+    @F.arrow_udf(f"struct<kept:{kept},removed:array<struct<start:int,length:int>>>")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        kept, gone = [], []
+        rest, gone = [], []
         for t, s in zip(texts.to_pylist(), spans.to_pylist(), strict=True):
             runs = _united(s or [])
+            if characters:
+                runs = [(a, b) for a, b in (_whole_characters(t, *x) for x in runs) if a < b]
             at, parts = 0, []
             for a, b in runs:
                 parts.append(t[at:a])
                 at = b
-            kept.append(b"".join([*parts, t[at:]]))
+            raw = b"".join([*parts, t[at:]])
+            rest.append(raw.decode("utf-8", "replace") if characters else raw)
             gone.append([{"start": a, "length": b - a} for a, b in runs])
-        return pa.StructArray.from_arrays([pa.array(kept, pa.binary()), pa.array(gone, pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())])))], names=["kept", "removed"])
+        columns = [pa.array(rest, pa.string() if characters else pa.binary()), pa.array(gone, pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())])))]
+        return pa.StructArray.from_arrays(columns, names=["kept", "removed"])
+
+    return cut.asNondeterministic()  # else filters behind it would call it once more
+
 
-    hit = rows.filter(touched).join(found, "id", "left").withColumn("done", cut(raw, F.col("spans")))
+def _applied(df: DataFrame, text: str, least: int, characters: bool) -> DataFrame:
+    """row (all columns of df), kept and removed. Texts without repeats aren't shuffled: a filter tells them apart."""
+    own, found = repeated(df, text, least)
+    said = F.coalesce(F.col(text), F.lit(""))
+    kind = "string" if characters else "binary"
+    rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), own.alias("id"), said.cast(kind).alias("raw"))
+    touched = KeyFilter(found.select("id")).may_have(F.col("id"))
+    hit = rows.filter(touched).join(found, "id", "left").select("row", _cutter(characters, kind)(F.col("raw").cast("binary"), F.col("spans")).alias("done"))
     none = F.array().cast("array<struct<start:int,length:int>>")
-    free = rows.filter(~touched).withColumn("done", F.struct(raw.alias("kept"), none.alias("removed")))
-    names = [F.col("row")[c].alias(c) for c in df.columns] if packed else [F.col(c) for c in df.columns]
-    names += [F.col("done.kept").alias("kept"), F.col("done.removed").alias("removed")]
-    return hit.select(*names).unionByName(free.select(*names)) if not {"kept", "removed", "row", "done", "spans"} & set(df.columns) else _refuse(df)
+    free = rows.filter(~touched).select("row", F.col("raw").alias("kept"), none.alias("removed"))
+    return hit.select("row", "done.kept", "done.removed").unionByName(free)
 
 
-def _refuse(df: DataFrame) -> DataFrame:
-    raise ValueError(f"rename these columns first: {sorted({'kept', 'removed', 'row', 'done', 'spans'} & set(df.columns))}")
+def deduplicate(df: DataFrame, text: str = "text", least: int = LEAST) -> DataFrame:
+    """df with kept (binary: the bytes that aren't repeated) and removed (array of start and length)."""
+    if clash := {"kept", "removed"} & set(df.columns):
+        raise ValueError(f"rename these columns first: {sorted(clash)}")
+    return _applied(df, text, least, False).select("row.*", "kept", "removed")
 
 
 def rewritten(df: DataFrame, text: str = "text", least: int = LEAST) -> DataFrame:
-    """df with its texts less all repeated bytes; texts of which nothing is left go. Broken characters at cuts go too."""
-    names = [f.name for f in df.schema.fields]
-    plain = df.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(names)))
-    own = f"c{names.index(text)}"
-
-    @F.arrow_udf("string")
-    def decoded(raw: pa.Array) -> pa.Array:
-        return pa.array([x.decode("utf-8", "ignore") for x in raw.to_pylist()], pa.string())
-
-    out = deduplicate(plain, own, least)
-    new = F.when(F.size("removed") > 0, decoded("kept")).otherwise(F.col(own))
-    out = out.withColumn("said", new).filter((F.size("removed") == 0) | (F.trim("said") != ""))
-    return out.select(*(F.col("said" if c == text else f"c{i}").cast(T.StringType()).alias(c) if c == text else F.col(f"c{i}").alias(c) for i, c in enumerate(names)))
+    """df with its texts less all repeated characters; texts of which nothing but white space is left go."""
+    out = _applied(df, text, least, True).filter((F.size("removed") == 0) | (F.trim("kept") != ""))
+    new = F.when(F.size("removed") > 0, F.col("kept")).otherwise(F.col("row")[text])  # null texts stay null
+    return out.select(*(new.alias(c) if c == text else F.col("row")[c].alias(c) for c in df.columns))

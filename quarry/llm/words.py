@@ -9,7 +9,7 @@ _BYTE = np.random.default_rng(11).integers(0, 2**64, 256, dtype=np.uint64) | U(1
 _K = 0x9E3779B97F4A7C15
 _INVERSE = pow(_K, -1, 1 << 64)
 #: Bytes of texts hashed together.
-TOGETHER = 1 << 20
+TOGETHER = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -103,3 +103,23 @@ def test_query(spark):
         kept = bytes(c for c, x in zip(docs[r.doc_id], m, strict=True) if not x)
         assert (r.n_bytes, r.n_removed, r.n_spans) == (len(m), sum(m), sum(x and not y for x, y in zip(m, b"\0" + m, strict=False)))
         assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()
+
+
+def test_different_texts_of_one_hash_stay_apart(spark, monkeypatch):
+    """With a first hash that can't tell texts apart, the second does."""
+    hashes = suffix.F.xxhash64
+    monkeypatch.setattr(suffix.F, "xxhash64", lambda *c: hashes(*c) if len(c) > 1 else suffix.F.length(c[0]).cast("long"))
+    df = spark.createDataFrame([(1, "a" * 250), (2, "b" * 250), (3, "c" + "d" * 249), (4, "c" + "d" * 249), (5, "e" * 300)], "doc_id long, text string")
+    own, copies = suffix.identified(df, suffix.F.col("text"), 200)
+    assert [r.c for r in copies.collect()] == [2]
+    assert df.select(own.alias("i")).distinct().count() == 4
+
+
+def test_only_whole_characters_go(spark):
+    """Equal bytes that begin or end within a character: é and ê share their first byte, é and ũ their last."""
+    middle = "x" * 205
+    df = spark.createDataFrame([(1, f"aé{middle}éb"), (2, f"cũ{middle}êd"), (3, "clean")], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in suffix.rewritten(df).collect()}
+    assert got == {1: "aééb", 2: "cũêd", 3: "clean"}
+    kept = {r.doc_id: bytes(r.kept) for r in suffix.deduplicate(df).collect()}
+    assert kept[1] == "aé".encode()[:2] + "é".encode()[1:] + b"b"
