@@ -7,33 +7,40 @@ less place in the window) at most e apart. So the q-grams of a text that the ben
 bands of diagonals, bands that reach the count are kept, and each is verified by a banded alignment. An item is in a
 text if matched windows cover at least COVER of it.
 
-The benchmark is read in blocks of bounded size; each block's index goes to the workers with the task, and all blocks
-are looked for in one pass over the texts, without a shuffle.
+Items of fewer than q normalised bytes have no q-gram, and their budget allows no edit: a text holds them if it has their
+words, whole and one after another.
 
-Defined results: null and empty texts and texts without words match nothing; null and empty items, and items of fewer
-than q normalised bytes, are never found; items of the same text are all reported; very long texts are searched whole;
-repeated rows are searched each; an empty benchmark matches nothing; an empty table gives an empty result. ``matches``
-is a column, so other columns of the frame can't clash with it.
+The benchmark is the stated query set and is taken in blocks of bounded size: the driver holds the items and index of
+PASS blocks at a time, which go to the workers with one pass over the texts, without a shuffle; what a pass finds is
+written with the texts before the next. A benchmark of one pass (2 MB of items) needs no such table.
+
+Defined results: null and empty texts and texts without words match nothing; null items and items without words are
+never found; items of the same text are all reported; very long texts are searched whole; repeated rows are searched
+each; an empty benchmark matches nothing; an empty table gives an empty result; items may have any type, null ids too;
+a frame that has a column of the result's name is refused.
 """
 
 from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .shared import bound_batches, trim
+from .shared import bound_batches, materialize, trim
 
 Q = 10
 #: Edits as a share of a window, its bytes and step, the share of an item that counts, and q-grams that a short window must share at least.
 EDITS, WINDOW, STEP, COVER, LEAST = 0.08, 100, 50, 0.5, 6
-#: Bytes of items a block, and of texts looked at together.
-BLOCK, TOGETHER = 4 << 20, 1 << 18
+#: Bytes of items a block, blocks a pass, and bytes of texts looked at together.
+BLOCK, PASS, TOGETHER = 1 << 20, 2, 1 << 18
 BAND = 32
 TABLE_BITS = 22
 WORD = re.compile(r"[^\W_]+")
@@ -71,10 +78,14 @@ class Index:
     def __init__(self, items: list[tuple[object, str]]) -> None:
         self.items: list[tuple[object, int]] = []
         self.segments: list[Segment] = []
+        self.short: defaultdict[bytes, list[Segment]] = defaultdict(list)
         for name, text in items:
             data = normal(text)
             n = len(data)
             if n < Q:
+                if n:
+                    self.short[data].append(Segment(len(self.items), 0, data, 0, 0))
+                    self.items.append((name, n))
                 continue
             starts = [0] if n <= WINDOW + STEP // 2 else [*range(0, n - WINDOW, STEP), n - WINDOW]
             for s in starts:
@@ -88,7 +99,8 @@ class Index:
         segment = np.repeat(np.arange(len(codes)), [len(c) for c in codes]) if codes else np.zeros(0, np.int64)
         place = np.concatenate([np.arange(len(c)) for c in codes]) if codes else np.zeros(0, np.int64)
         order = np.argsort(flat, kind="stable")
-        self.segment, self.place = segment[order], place[order]
+        self.segment, self.place = segment[order].astype(np.int32), place[order].astype(np.int32)
+        self.lengths = sorted({x.count(b" ") + 1 for x in self.short})
         self.codes, self.first = np.unique(flat[order], return_index=True)
         self.count = np.diff([*self.first, len(flat)])
         self._mark()
@@ -107,6 +119,17 @@ class Index:
         self.__dict__.update(state)
         self._mark()
 
+    def exact(self, data: bytes) -> Iterator[tuple[int, int, Segment]]:
+        """(start, end, segment) of each short item among the words of a text."""
+        if not self.short:
+            return
+        words = data.split(b" ")
+        begins = np.cumsum([0, *(len(w) + 1 for w in words)]).tolist()
+        for n in self.lengths:
+            for i in range(len(words) - n + 1):
+                for s in self.short.get(b" ".join(words[i : i + n]) if n > 1 else words[i], ()):
+                    yield begins[i], begins[i + n] - 1, s
+
     def bands(self, data: np.ndarray) -> list[tuple[int, int]]:
         """(segment, lowest diagonal) of each band that holds enough q-grams."""
         if not len(self.codes):
@@ -130,7 +153,7 @@ class Index:
             return []
         n = self.count[which]
         entry = np.repeat(self.first[which] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        segment, diagonal = self.segment[entry], np.repeat(at, n) - self.place[entry] + WINDOW * 4
+        segment, diagonal = self.segment[entry].astype(np.int64), np.repeat(at, n) - self.place[entry] + WINDOW * 4
         edits = np.array([s.edits for s in self.segments], np.int64)[segment]
         band = diagonal // BAND
         also = diagonal - band * BAND <= edits
@@ -172,7 +195,7 @@ def search(index: Index, texts: list[str | None]) -> list[list[tuple[object, int
     data, held, size = [], [], 0
     for i, text in enumerate(texts):
         x = normal(text) if text else b""
-        if len(x) >= Q:
+        if len(x) >= Q or (x and index.short):
             data.append(x)
             held.append((i, size))
             size += len(x) + GAP
@@ -188,6 +211,9 @@ def _search(index: Index, texts: list[str | None], data: list[bytes], held: list
     flat = np.frombuffer((b"\0" * GAP).join(data) + b"\0" * GAP, np.uint8)
     begins = np.array([s for _, s in held])
     found: dict[int, dict[int, list[tuple[int, int, int, Segment]]]] = defaultdict(lambda: defaultdict(list))
+    for k, x in enumerate(data):
+        for a, b, s in index.exact(x):
+            found[k][s.item].append((a, b, 0, s))
     for segment, low in index.bands(flat):
         s = index.segments[segment]
         # A band may reach into two texts that lie next to each other.
@@ -243,33 +269,65 @@ def _places(text: str):
     return span
 
 
-def blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int = BLOCK) -> list[Index]:
-    """The benchmark's indexes, each of about block_bytes of items at most."""
+def blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int | None = None) -> Iterator[Index]:
+    """The benchmark's indexes one after another, each of about block_bytes of items."""
+    size = block_bytes or BLOCK
     rows = benchmark.select(F.col(item).alias("item"), F.col(text).alias("text")).filter(F.col("text").isNotNull())
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-total // block_bytes)
-    out = []
+    n = -(-total // size)
+    if n > 1:
+        rows = rows.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n)).cast("int"))
+        rows = materialize(rows.repartitionByRange("block").sortWithinPartitions("block"))  # so a block is few row groups
     for k in range(n):
-        own = rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).orderBy("item", "text").collect()
-        out.append(Index([(r["item"], r["text"]) for r in own]))
-    return out
+        own = (rows.filter(F.col("block") == k) if n > 1 else rows).orderBy("item", "text").collect()
+        yield Index([(r["item"], r["text"]) for r in own])
+
+
+def _row(benchmark: DataFrame, item: str) -> T.ArrayType:
+    fields = [T.StructField("item", benchmark.schema[item].dataType), *(T.StructField(c, T.IntegerType()) for c in ("start", "length", "edits"))]
+    return T.ArrayType(T.StructType(fields))
 
 
 def matches(text: Column, benchmark: DataFrame, item: str = "item_id", body: str = "text") -> Column:
-    """array<struct<item, start, length, edits>>: where a text holds items, in code points of the text."""
+    """array<struct<item, start, length, edits>>: where a text holds items, in code points of the text. The driver holds
+    the whole benchmark's index; ``matched`` does not."""
+    bound_batches(benchmark.sparkSession)
+    row = _row(benchmark, item)
+    parts = [_finder(index, row)(text) for index in blocks(benchmark, item, body)]
+    return F.array_sort(F.concat(*parts)) if parts else F.array().cast(row)
+
+
+def matched(df: DataFrame, benchmark: DataFrame, text: str = "text", name: str = "matches", item: str = "item_id", body: str = "text") -> DataFrame:
+    """df with ``name``: where each text holds items, as ``matches`` has it."""
+    if name in df.columns:
+        raise ValueError(f"rename this column first: {name}")
+    row = _row(benchmark, item)
+    out = df
+    for k, finders in enumerate(_passes(benchmark, item, body)):
+        before = [F.col(name)] if k else []
+        if k:
+            out = materialize(out, release=True)
+        out = out.withColumn(name, F.concat(*before, *(f(F.col(text)) for f in finders)))
+    return out.withColumn(name, F.array_sort(name) if name in out.columns else F.array().cast(row))
+
+
+def _passes(benchmark: DataFrame, item: str, body: str) -> Iterator[list]:
+    """UDFs that find the items of PASS blocks at a time."""
     bound_batches(benchmark.sparkSession)
-    kind = benchmark.schema[item].dataType.simpleString()
-    row = f"struct<item:{kind},start:int,length:int,edits:int>"
-    parts = []
+    row, held = _row(benchmark, item), []
     for index in blocks(benchmark, item, body):
-        parts.append(_finder(index, kind, row)(text))
-    return F.array_sort(F.concat(*parts)) if parts else F.array().cast(f"array<{row}>")
+        held.append(_finder(index, row))
+        if len(held) == PASS:
+            yield held
+            held = []
+    if held:
+        yield held
 
 
-def _finder(index: Index, kind: str, row: str):
-    item = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}.get(kind)
+def _finder(index: Index, row: T.ArrayType):
+    item = to_arrow_type(row.elementType["item"].dataType)
 
-    @F.arrow_udf(f"array<{row}>")
+    @F.arrow_udf(row)
     def found(texts: pa.Array) -> pa.Array:
         hits = search(index, texts.to_pylist())
         trim()
@@ -281,5 +339,10 @@ def _finder(index: Index, kind: str, row: str):
 
 
 def decontaminate(df: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of df whose text holds no item."""
-    return df.filter(F.size(matches(F.col(text), benchmark)) == 0)
+    """The rows of df whose text holds no item. Each pass reads what the one before it kept."""
+    out = df
+    for k, finders in enumerate(_passes(benchmark, "item_id", "text")):
+        if k:
+            out = materialize(out, release=True)
+        out = out.filter(F.size(F.concat(*(f(F.col(text)) for f in finders))) == 0)
+    return out

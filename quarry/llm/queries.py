@@ -116,8 +116,7 @@ def op8_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the benchmark items that it holds."""
-    found = decontam.matches(F.col("text"), table(spark, sf_dir, "benchmark"))
-    out = table(spark, sf_dir, "documents").select("doc_id", found.alias("m"))
+    out = decontam.matched(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), name="m")
     items = F.array_sort(F.array_distinct(F.transform("m", lambda m: m["item"])))
     return out.select("doc_id", (F.size("m") > 0).alias("contaminated"), items.alias("item_ids"), F.aggregate("m", F.lit(0), lambda n, m: n + m["length"]).cast("long").alias("matched_chars"))
 

@@ -46,13 +46,14 @@ def brute(items, text):
             if distance(s.data, data) <= s.edits:
                 cover.setdefault(s.item, set()).update(range(s.start, s.start + len(s.data)))
         found |= {index.items[i][0] for i, c in cover.items() if len(c) / index.items[i][1] >= decontam.COVER}
+    found |= {i for i, x in items if 0 < len(decontam.normal(x)) < decontam.Q and b" " + decontam.normal(x) + b" " in b" " + data + b" "}
     return found
 
 
 def test_against_every_alignment():
     rng = random.Random(3)
-    items = [(i, words(rng, rng.choice([2, 6, 15, 30, 60]))) for i in range(12)] + [(90, ""), (91, "tiny"), (92, "A same one, twice told here"), (93, "a SAME one twice told, here!")]
-    texts: list[str | None] = [None, "", "...", words(rng, 300), "x" * 500, "tiny", "word " * 300]
+    items = [(i, words(rng, rng.choice([2, 6, 15, 30, 60]))) for i in range(12)] + [(90, ""), (91, "tiny"), (94, "so  it-is"), (95, "é"), (92, "A same one, twice told here"), (93, "a SAME one twice told, here!")]
+    texts: list[str | None] = [None, "", "...", words(rng, 300), "x" * 500, "tiny", "x tiny one y", "tinyx so it is", "soit is", "a é, b", "word " * 300]
     for _, x in items:
         for n in (0, 2, 6, 12, 25):
             texts.append(words(rng, rng.randint(0, 20)) + " " + edited(rng, x, n if len(x) > n else 0) + "\n" + words(rng, 5))
@@ -75,10 +76,16 @@ def test_spans_hold_the_item():
 
 @pytest.mark.parametrize("block", [1 << 22, 300])
 def test_table(spark, block, monkeypatch):
-    monkeypatch.setattr(decontam.blocks, "__defaults__", (block,))
+    monkeypatch.setattr(decontam, "BLOCK", block)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     got = {r.doc_id: {m.item for m in r.m} for r in docs.select("doc_id", decontam.matches(F.col("text"), spark.read.parquet(f"{SF}/benchmark.parquet")).alias("m")).collect()}
+    if block == 300:  # in many passes
+        bench = spark.read.parquet(f"{SF}/benchmark.parquet").limit(9)
+        own = {r.item_id for r in bench.collect()}
+        some = decontam.matched(docs, bench).collect()
+        assert {r.doc_id: {m.item for m in r.matches} for r in some} == {d: m & own for d, m in got.items()}
+        assert {r.doc_id for r in decontam.decontaminate(docs, bench).collect()} == {d for d, m in got.items() if not m & own}
     whole = {r.doc_id: {i for i, x in items if decontam.normal(x) in decontam.normal(r.text)} for r in docs.collect()}
     assert sum(map(bool, whole.values())) > 0
     assert got == whole
@@ -97,3 +104,13 @@ def test_query(spark):
     out = queries.op10_decontamination(spark, SF)
     assert out.count() == 200
     assert out.filter("contaminated").count() > 0
+
+
+def test_items_of_other_types(spark):
+    docs = spark.createDataFrame([(1, "a short one and a longer item of the benchmark here")], "doc_id long, text string")
+    for kind in ("decimal(10,2)", "binary", "smallint", "date", "string"):
+        bench = spark.range(1).select(F.lit("2020-01-01" if kind == "date" else "7").cast("string").cast(kind).alias("item_id"), F.lit("a longer item of the benchmark").alias("text"))
+        (row,) = decontam.matched(docs, bench).collect()
+        assert [m.item for m in row.matches] == [bench.first().item_id]
+    with pytest.raises(ValueError):
+        decontam.matched(docs.withColumn("matches", F.lit(1)), bench)
