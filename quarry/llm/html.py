@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"<]*\"|'[^'<]*'|[^>\"'])*+|[^>]*)>", re.S)
+WORD = re.compile(r"[^\W\d_]+")
+ANCHOR = re.compile(r"<(/?)a(?=[\s/>])", re.I)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 
 # Elements of HTML, and words in class, id and role that name what isn't an article.
@@ -36,6 +38,8 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
 OUTSIDE = frozenset("nav footer aside form menu dialog fieldset".split())
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 OUTSIDE_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promotion banner nav navbar navigation menu submenu breadcrumb breadcrumbs sidebar aside footer masthead topbar cookie cookies consent gdpr notice notices notification alert newsletter subscribe subscription signup login share sharing social comment comments commentlist respond disqus reply replies related recommended popup modal overlay pagination pager widget toolbar skip copyright disclaimer form search".split())
+ADVERT_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsense adsbygoogle sponsor sponsored sponsors promo promotion".split())
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CANCEL = frozenset("no has with without hide not".split())
 INSIDE_NAMES = frozenset("article articlebody article-body article-content article__body post post-body post-content entry entry-content story story-body".split())
 STOP = frozenset(
@@ -45,8 +49,10 @@ STOP = frozenset(
     "al como con del el ella en era es esta este fue ha han hay la las lo los más me mi muy no nos o para pero por que se ser si sin sobre su sus también te un una y ya".split()
 )
 SHORT, LONG = 70, 200
-MILD, LOW, HIGH = 0.10, 0.15, 0.30
-LINKS = 0.5
+MILD, LOW = 0.10, 0.20
+FEW_LINKS, LINKS = 0.2, 0.5
+#: A list item that is a link of fewer words is a menu's entry; a longer one is open.
+ENTRY = 4
 
 
 @dataclass
@@ -64,16 +70,31 @@ def words_of(attributes: dict[str, str]) -> list[str]:
     return re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", said).lower()) if said.strip() else []
 
 
+def attributes_of(raw: str) -> dict[str, str]:
+    return {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(raw)} if raw.strip(" /") else {}
+
+
+def is_hidden(attributes: dict[str, str]) -> bool:
+    return "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower()
+
+
+def is_muted(raw: str) -> bool:
+    """Whether an inline element isn't shown, or is an advert. Other words name too much that is text, as in code."""
+    attributes = attributes_of(raw)
+    words = words_of(attributes)
+    return is_hidden(attributes) or (not ADVERT_WORDS.isdisjoint(words) and CANCEL.isdisjoint(words))
+
+
 def is_outside(tag: str, raw: str, in_article: bool) -> tuple[bool, bool]:
     """Whether an element is boilerplate, and whether it marks an article."""
     marks = tag in ("article", "main")
     if tag in ("html", "body"):
         return False, False
-    attributes = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(raw)} if raw.strip(" /") else {}
+    attributes = attributes_of(raw)
     words = words_of(attributes)
     role = attributes.get("role", "").lower()
     out = tag in OUTSIDE or (tag == "header" and not in_article) or role in OUTSIDE_ROLES
-    out |= "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower()
+    out |= is_hidden(attributes)
     if words and not CANCEL.intersection(words) and tag != "main":
         out |= not OUTSIDE_WORDS.isdisjoint(words)
     marks |= role in ("main", "article") or attributes.get("itemprop") == "articleBody" or (tag in ("div", "section") and bool(words) and not INSIDE_NAMES.isdisjoint(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split()) and not out)
@@ -108,8 +129,10 @@ def blocks_of(html: str) -> list[Block]:
     found: list[Block] = []
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool, int]] = []  # tag, outside, list item, article
-    outside, item, article, articles, link, at = False, False, 0, 0, 0, 0
+    plain = ("", False, False, 0, False)
+    stack: list[tuple[str, bool, bool, int, bool]] = []  # tag, outside, muted, article, list item
+    _, outside, muted, article, item = plain
+    articles, link, at = 0, "", 0
     ends: dict[str, dict[int, int]] = {}
 
     def close() -> None:
@@ -121,12 +144,14 @@ def blocks_of(html: str) -> list[Block]:
                 found.append(Block(text, len(" ".join(unescape("".join(linked)).split())), outside, article, item))
             parts.clear()
             linked.clear()
-        link = 0
+        if link == "open":
+            link = ""
 
     def say(text: str) -> None:
-        parts.append(text)
-        if link:
-            linked.append(text)
+        if not muted:
+            parts.append(text)
+            if link:
+                linked.append(text)
 
     size = len(html)
     while at < size:
@@ -154,11 +179,16 @@ def blocks_of(html: str) -> list[Block]:
         if tag == "br":
             say(" ")
         elif tag == "a":
-            link = 0 if m[1] else 1
+            # A link may hold whole blocks; one without an end tag ends with its block.
+            near = None if m[1] else ANCHOR.search(html, at)
+            link = "" if m[1] or "href" not in m[3].lower() else "closed" if near and near[1] else "open"
         elif tag in BLOCKS:
             close()
-            if tag in ("p", "hr", "head"):
+            if tag in ("hr", "head"):
                 continue
+            while stack and (stack[-1][0] not in BLOCKS or (stack[-1][0] == "p" and (tag != "p" or not m[1]))):
+                stack.pop()  # a block ends the inline elements and the paragraph before it
+            _, outside, muted, article, item = stack[-1] if stack else plain
             if m[1]:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == tag:
@@ -170,15 +200,23 @@ def blocks_of(html: str) -> list[Block]:
                 if marks and not article and not out:
                     articles += 1
                     inner = articles
-                stack.append((tag, outside or out, item or tag == "li", inner))
-            _, outside, item, article = stack[-1] if stack else ("", False, False, 0)
+                stack.append((tag, outside or out, muted, inner, item or tag == "li"))
+            _, outside, muted, article, item = stack[-1] if stack else plain
+        elif m[1]:
+            if muted and stack and stack[-1][0] == tag:
+                stack.pop()
+                _, outside, muted, article, item = stack[-1] if stack else plain
+        elif muted or (tag not in VOID and m[3] and is_muted(m[3])):
+            if tag not in VOID:
+                stack.append((tag, outside, True, article, item))
+                muted = True
     close()
     return found
 
 
 def stop_words(b: Block) -> float:
-    words = b.text.lower().split()
-    return sum(w in STOP for w in words) / len(words)
+    words = WORD.findall(b.text.lower())
+    return sum(w in STOP for w in words) / max(1, len(words))
 
 
 def first_pass(b: Block) -> str:
@@ -191,9 +229,11 @@ def first_pass(b: Block) -> str:
     if len(b.text) < SHORT:
         return ""
     stops = stop_words(b)
-    if stops >= HIGH or (len(b.text) >= LONG and stops >= LOW):
+    if stops >= (MILD if len(b.text) >= LONG else LOW):
         return "good"
-    return "" if stops >= LOW or (len(b.text) >= LONG and density < 0.2) else "bad"
+    if len(b.text) >= LONG and density < FEW_LINKS:
+        return "good"  # another language, or a table
+    return "" if stops >= MILD or density < FEW_LINKS else "bad"
 
 
 def second_pass(blocks: list[Block]) -> None:
@@ -218,7 +258,7 @@ def marked_pass(b: Block, alone: bool, known: bool) -> str:
     density = b.links / len(b.text)
     if not alone:
         return "bad" if density > LINKS else "good"
-    if b.item and density > 0.8:
+    if b.item and density > 0.8 and len(b.text.split()) < ENTRY:
         return "bad"
     if len(b.text) < SHORT or density > LINKS:
         return ""

@@ -131,3 +131,35 @@ def test_newton_matches_plain_descent():
     w = quality.bradley_terry(x, better, worse)
     d = x[better] - x[worse]
     assert np.abs(d.T @ (1 - 1 / (1 + np.exp(-d @ w))) - w).max() < 1e-4
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<article><p>{SAID}</p><ul><li><a href=1>See the full linked reference list here</a></li></ul><p>{SAID}</p></article>", f"{SAID} See the full linked reference list here {SAID}"),
+        (f"<p>{SAID}</p><a href=1><h3>Read this other story of ours now</h3></a><a href=2><h3>And this one as well</h3></a><p>{SAID}</p>", f"{SAID} {SAID}"),
+        (f"<p>{SAID}</p><p><a href=1>never closed<p>{SAID}</p>", f"{SAID} {SAID}"),
+        (f"<p>{SAID}</p><p><a name=x>{SAID}</p>", f"{SAID} {SAID}"),
+        (f"<article><p>{SAID}</p><p class='advert'>Buy this now</p><p hidden>no</p><p>Fine.</p></article>", f"{SAID} Fine."),
+        (f"<article><p class=ad>no<p>{SAID}</p><div><p class=ad>no</div>Fine.</article>", f"{SAID} Fine."),
+        (f"<article><p>{SAID}<span class='sponsored'>no <b>no</b></span>!<i hidden>no</i> Ok<span style='display: none'>no</p><p>Fine.</p></article>", f"{SAID}! Ok Fine."),
+        (f"<article><p>{SAID} <span class=comment># code</span><img hidden> x</p></article>", f"{SAID} # code x"),
+    ],
+)
+def test_links_and_marks_of_paragraphs(page, text):
+    assert html.main_text(page) == text
+
+
+def test_density_decides_on_unmarked_pages(spark):
+    """The table's pages with their article's marks taken away: rules of density and neighbours alone find nearly all
+    of the text, and nothing else."""
+    found = lost = more = same = 0
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    for page in pages:
+        marked = html.main_text(page)
+        plain = html.main_text(re.sub(r"<(/?)article\b", r"<\1div", page or ""))
+        a, b = marked.split(" "), plain.split(" ")
+        both = sum(min(a.count(w), n) for w, n in zip(*np.unique(b, return_counts=True), strict=True))
+        found, lost, more, same = found + both, lost + len(a) - both, more + len(b) - both, same + (marked == plain)
+    assert lost < 0.03 * found
+    assert more < 0.001 * found
