@@ -66,7 +66,11 @@ def mask_scalars(text: Column) -> Column:
 
 def structure(answer: Column) -> Column:
     """The form of a training answer."""
-    said = fold_series(answer)
+    return bind(fold_series(answer), lambda said: _structure(said, answer))
+
+
+def _structure(said: Column, answer: Column) -> Column:
+    """said: the folded answer."""
     low = F.lower(said)
     has = lambda tag: F.contains(low, F.lit(tag))
     return (
@@ -126,10 +130,13 @@ def _json(text: Column) -> Column:
 
 def template(question: Column, answer: Column) -> Column:
     """question_template, answer_structure, representative_answer_template, template_id, input_hash."""
-    asked = mask_scalars(fold_series(question))
-    said = fold_series(answer)
+    folded = F.struct(mask_scalars(fold_series(question)).alias("asked"), fold_series(answer).alias("said"))
+    formed = bind(folded, lambda x: F.struct(x["asked"].alias("asked"), x["said"].alias("said"), _structure(x["said"], answer).alias("form")))
+    return bind(formed, lambda x: _template(x["asked"], x["said"], x["form"]))
+
+
+def _template(asked: Column, said: Column, form: Column) -> Column:
     shown = F.when(said.rlike(CHOICE), "<label>").otherwise(mask_scalars(F.regexp_replace(said, TAGGED_CHOICE, "<answer><label></answer>")))
-    form = structure(answer)
     key = F.concat(F.lit('{"answer_structure":'), _json(form), F.lit(',"question_template":'), _json(asked), F.lit("}"))
     digest = F.sha2(key, 256)
     return F.struct(asked.alias("question_template"), form.alias("answer_structure"), shown.alias("representative_answer_template"), F.substring(digest, 1, 24).alias("template_id"), digest.alias("input_hash"))
@@ -208,6 +215,13 @@ def nonnegative(text: Column) -> Column:
     return F.when(said.rlike(r"^[0-9]+$"), said.try_cast("long"))
 
 
+def read_object(text: Column, shape: str) -> Column:
+    """The struct that stands between the outermost braces of a reply; null if anything else stands there too. In
+    brackets the JSON reader doesn't overlook what follows the first object."""
+    found = F.from_json(F.concat(F.lit("["), named_object(text), F.lit("]")), f"array<{shape}>")
+    return F.when(F.size(found) == 1, F.get(found, F.lit(0)))
+
+
 def named_object(text: Column) -> Column:
     """What stands between the outermost braces of a model's reply, without its fence."""
     return F.nullif(F.regexp_extract(text, r"(?s)\{.*\}", 0), F.lit(""))

@@ -16,6 +16,7 @@ QUESTION = ("question", "query", "prompt", "input")
 ANSWER = ("answer", "output", "response", "target", "label")
 SERIES = ("input_ts", "timeseries", "time_series", "series", "ts_data", "data_points", "time_series_data")
 CONTEXT = ("meta_info", "context", "context_text", "description")
+EMBEDDED_CONTEXT = ("context", "context_text", "meta_info", "description")
 COMBINED = ("text", "qa", "question_answer", "formatted_text")
 PAIRS = ("qa_list", "qa_pair", "qa")
 NOT_TRAIN = ("test", "val", "valid", "validation", "dev")
@@ -115,7 +116,7 @@ def converted(df: DataFrame, adapter: str, options: Options = Options()) -> Data
 
     question = QUESTION + (("instruction",) if embedded else ())
     series = SERIES if embedded else SERIES[:4]
-    out = df.withColumn("sample", sample(field(df, question), field(df, ANSWER), field(df, series), field(df, CONTEXT), field(df, PAIRS), asked, told))
+    out = df.withColumn("sample", sample(field(df, question), field(df, ANSWER), field(df, series), field(df, EMBEDDED_CONTEXT if embedded else CONTEXT), field(df, PAIRS), asked, told))
     return out.withColumn("sample", F.col("sample").withField("reason", F.coalesce("sample.reason", invalid_reason(F.col("sample"), options.most_series))))
 
 
@@ -137,6 +138,14 @@ def first_of_each(df: DataFrame, key: Column, order: list[Column]) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter("_r = 1").drop("_r")
 
 
+def value_histogram(df: DataFrame, names: tuple[str, ...] = ("task", "type")) -> DataFrame:
+    """field, value, rows: how many converted rows have each task and type, most first."""
+    own = {n: field(df, (n,)) for n in names}
+    pairs = F.explode(F.array(*(F.struct(F.lit(n).alias("field"), c.alias("value")) for n, c in own.items())))
+    out = df.filter("sample.reason IS NULL").select(pairs.alias("p")).filter("p.value IS NOT NULL")
+    return out.groupBy("p.field", "p.value").agg(F.count("*").alias("rows")).orderBy("field", F.desc("rows"), "value")
+
+
 def conversion_report(df: DataFrame) -> DataFrame:
     """Counts of rows by reason (null: written), with series and lengths of what was written."""
     sizes = F.transform("sample.timeseries", lambda s: F.size(s))

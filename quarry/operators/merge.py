@@ -35,11 +35,22 @@ def matched(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return direct.unionByName(found.select(*direct.columns))
 
 
+def numbered(rows: DataFrame, name: str, block: int = 1 << 16) -> DataFrame:
+    """rows with the number (from 1) of each within its source, in order of source_index. Numbered within blocks of
+    indexes and shifted by the counts of the blocks before, so no source is gathered in one task."""
+    own = rows.withColumn("_block", F.floor(F.col("source_index") / block))
+    counts = own.groupBy("source", "_block").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("source").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    shift = counts.select("source", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    within = Window.partitionBy("source", "_block").orderBy("source_index")
+    out = own.withColumn("_k", F.row_number().over(within)).join(shift, ["source", "_block"])
+    return out.withColumn(name, F.col("_k") + F.col("_shift")).drop("_block", "_k", "_shift")
+
+
 def aligned(clean: DataFrame, raw: DataFrame) -> DataFrame:
     """The k-th clean row (source, source_index, canonical) with the k-th valid raw row's label; other content fails."""
-    nth = Window.partitionBy("source").orderBy("source_index")
-    a = clean.withColumn("k", F.row_number().over(nth))
-    b = raw.filter("valid").withColumn("k", F.row_number().over(nth)).select("source", "k", F.col("source_index").alias("label_index"), F.col("canonical").alias("raw_canonical"))
+    a = numbered(clean, "k")
+    b = numbered(raw.filter("valid"), "k").select("source", "k", F.col("source_index").alias("label_index"), F.col("canonical").alias("raw_canonical"))
     out = a.join(b, ["source", "k"], "full_outer")
     wrong = F.when(~F.col("canonical").eqNullSafe(F.col("raw_canonical")), F.raise_error(F.concat(F.lit("clean and raw rows differ at "), F.col("source"), F.lit(":"), F.col("k").cast("string"))))
     return out.filter(F.coalesce(wrong.cast("boolean"), F.lit(True))).drop("k", "raw_canonical").withColumn("join_method", F.lit("taxonomy_clean_sequence"))

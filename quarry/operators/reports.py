@@ -33,6 +33,23 @@ def zero_filled(cells: DataFrame, domains: dict[str, list[str]], within: str) ->
     return out.select(*dims, n.alias("count"), percent(n, F.col("total")).alias("percent_all"), percent(n, F.coalesce("part", F.lit(0))).alias("percent_within"))
 
 
+def rolled_up(cells: DataFrame, by: str, dim: str) -> DataFrame:
+    """Counts by ``by`` and one dimension, over all levels of the others."""
+    return cells.groupBy(by, dim).agg(F.sum("count").alias("count"))
+
+
+def membership(flags: Column, flag: str) -> Column:
+    """Whether a row carries a flag."""
+    return F.coalesce(F.array_contains(flags, flag), F.lit(False))
+
+
+def status_table(df: DataFrame, group: Column, status: Column) -> DataFrame:
+    """Rows of each status by group, with percents of the group."""
+    counts = df.groupBy(group.alias("dataset_group"), F.coalesce(status, F.lit("missing")).alias("status")).agg(F.count("*").alias("count"))
+    total = counts.groupBy("dataset_group").agg(F.sum("count").alias("total"))
+    return counts.join(total, "dataset_group").select("dataset_group", "status", "count", percent(F.col("count"), F.col("total")).alias("percent"))
+
+
 def marginals(cells: DataFrame, dims: list[str]) -> DataFrame:
     """dimension, value, count for each dimension on its own, in one pass over the cells."""
     pairs = F.explode(F.array(*(F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in dims)))
@@ -74,8 +91,9 @@ def wide_summary(cells: DataFrame, by: str, dim: str, values: list[str]) -> Data
 
 
 def distribution(df: DataFrame, group: Column, label: Column, accepted: Column, labels: list[str]) -> DataFrame:
-    """Accepted rows of each label by group, zero-filled, with percents of the group's accepted rows."""
-    own = df.select(group.alias("dataset_group"), F.when(accepted, label).alias("label"))
+    """Accepted rows of each label by group, zero-filled, with percents of the group's accepted rows of these labels.
+    Other labels count nowhere; a group that has only such rows is listed with zeros."""
+    own = df.select(group.alias("dataset_group"), F.when(accepted & label.isin(*labels), label).alias("label"))
     counts = own.filter(F.col("label").isNotNull()).groupBy("dataset_group", "label").agg(F.count("*").alias("n"))
     totals = counts.groupBy("dataset_group").agg(F.sum("n").alias("total"))
     grid = own.select("dataset_group").distinct().crossJoin(levels(df.sparkSession, "label", labels))

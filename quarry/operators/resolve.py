@@ -8,23 +8,23 @@ from pyspark.sql import functions as F
 from ..functions import rules, text
 
 AGREEMENT = 0.85
-VOTE = "struct<primary_label:string,secondary_labels:array<string>,taxonomy_fit:string,confidence:double,rationale:string>"
+VOTE = "struct<primary_label:string,secondary_labels:array<string>,taxonomy_fit:string,confidence:string,rationale:string>"
 
 
 def parsed_vote(reply: Column) -> Column:
     """A model's reply as a vote, or null where it isn't a valid one: labels, fit and confidence are checked."""
-    vote = F.from_json(text.named_object(reply), VOTE)
+    vote = text.read_object(reply, VOTE)
     label, fit = vote["primary_label"], vote["taxonomy_fit"]
     second = F.coalesce(vote["secondary_labels"], F.array().cast("array<string>"))
-    sure = F.coalesce(vote["confidence"], F.lit(0.0))
+    sure = F.when(vote["confidence"].isNull(), 0.0).otherwise(vote["confidence"].try_cast("double"))
     known = F.array(*map(F.lit, rules.LABELS))
-    good = vote.isNotNull() & fit.isin(*rules.FITS) & (label.isNull() | label.isin(*rules.LABELS)) & F.forall(second, lambda x: F.array_contains(known, x)) & sure.between(0, 1)
+    good = vote.isNotNull() & fit.isin(*rules.FITS) & (label.isNull() | label.isin(*rules.LABELS)) & F.forall(second, lambda x: F.array_contains(known, x)) & F.coalesce(sure.between(0, 1), F.lit(False))
     return F.when(good, F.struct(label.alias("primary_label"), F.array_sort(F.array_distinct(F.filter(second, lambda x: label.isNull() | (x != label)))).alias("secondary_labels"), fit.alias("taxonomy_fit"), sure.alias("confidence"), F.substring(F.coalesce(vote["rationale"], F.lit("")), 1, 1000).alias("rationale")))
 
 
 def parsed_quality(reply: Column) -> Column:
     """A model's reply as quality, difficulty and reason (500 characters), or null."""
-    said = F.from_json(text.named_object(reply), "struct<quality:string,difficulty:string,reason:string>")
+    said = text.read_object(reply, "struct<quality:string,difficulty:string,reason:string>")
     good = said["quality"].isin(*QUALITY) & said["difficulty"].isin(*DIFFICULTY) & (F.trim(F.coalesce(said["reason"], F.lit(""))) != "")
     return F.when(good, F.struct(said["quality"].alias("quality"), said["difficulty"].alias("difficulty"), F.substring(text.compact(said["reason"]), 1, 500).alias("reason")))
 
@@ -43,6 +43,31 @@ def human_labels(sheet: DataFrame) -> DataFrame:
     return rows.select("cluster_id", label.alias("primary_label"), F.array_sort(F.array_distinct(F.filter(second, lambda x: label.isNull() | (x != label)))).alias("secondary_labels"), F.col("fit").alias("taxonomy_fit"))
 
 
+def human_records(rows: DataFrame) -> DataFrame:
+    """Human labels that come as records (JSON lines): cluster_id, primary_label, secondary_labels, taxonomy_fit."""
+    kind = {"secondary_labels": "array<string>"}
+    col = lambda c: F.col(c).cast(kind.get(c, "string")) if c in rows.columns else F.lit(None).cast(kind.get(c, "string"))
+    out = rows.select(F.col("cluster_id").cast("string").alias("cluster_id"), col("primary_label").alias("primary_label"), F.coalesce(col("secondary_labels"), F.array().cast("array<string>")).alias("secondary_labels"), col("taxonomy_fit").alias("taxonomy_fit"))
+    return _refused(out, F.col("primary_label").isNotNull() & ~F.col("primary_label").isin(*rules.LABELS), "invalid human primary_label: ", F.col("primary_label"))
+
+
+def read_votes(rows: DataFrame, vote: str = "vote", place: str = "seen") -> DataFrame:
+    """Vote records (cluster_id, vote as JSON text, place) as rows for ``tally``; a record whose vote isn't valid fails."""
+    found = rows.select(F.col("cluster_id"), F.col(place).alias("seen"), F.col(vote).alias("raw"), parsed_vote(F.col(vote)).alias("v"))
+    return _refused(found, F.col("v").isNull(), "invalid vote: ", F.col("raw")).select("cluster_id", "seen", "v.*")
+
+
+def one_each(votes: DataFrame, what: str = "authoritative votes") -> DataFrame:
+    """votes; a cluster with several of them fails."""
+    names = [c for c in votes.columns if c != "cluster_id"]
+    out = votes.groupBy("cluster_id").agg(F.count("*").alias("_n"), F.any_value(F.struct(*names)).alias("_v"))
+    return _refused(out, F.col("_n") > 1, f"{what} must be one a cluster: ", F.col("cluster_id").cast("string")).select("cluster_id", "_v.*")
+
+
+def _refused(df: DataFrame, wrong: Column, message: str, value: Column) -> DataFrame:
+    return df.filter(F.coalesce(F.when(wrong, F.raise_error(F.concat(F.lit(message), F.coalesce(value, F.lit(""))))).cast("boolean"), F.lit(True)))
+
+
 def tally(votes: DataFrame) -> DataFrame:
     """Votes (cluster_id, seen, primary_label, secondary_labels, taxonomy_fit, confidence) by cluster: the winner by
     count and then by first appearance, and what those that agree with it say."""
@@ -59,7 +84,9 @@ def tally(votes: DataFrame) -> DataFrame:
 
 def resolve(labelled: DataFrame, human: DataFrame, authoritative: DataFrame, tallied: DataFrame) -> DataFrame:
     """labelled with ``final``: human, then accepted rules, then the authoritative model, then consensus, then one vote
-    that agrees with the rules; else human review. A winner may be no label, which excludes."""
+    that agrees with the rules; else human review. A winner may be no label, which excludes. Several human labels or
+    several authoritative votes of one cluster fail."""
+    authoritative, human = one_each(authoritative), one_each(human, "human labels")
     pack = lambda df, name: df.select("cluster_id", F.struct(*(c for c in df.columns if c != "cluster_id")).alias(name))
     rows = labelled.join(pack(human, "h"), "cluster_id", "left").join(pack(authoritative, "a"), "cluster_id", "left").join(pack(tallied, "t"), "cluster_id", "left")
 

@@ -35,6 +35,8 @@ def convert_files(spark: SparkSession, inputs: list[str], adapter: str, out: str
     good = done.filter("sample.reason IS NULL").withColumn("sample_sha256", convert.sample_digest(F.col("sample")))
     if dedup:
         good = convert.first_of_each(good, F.col("sample_sha256"), [F.col("_file"), F.col("_row")])
+    good.write.parquet(f"{out}/kept")
+    good = spark.read.parquet(f"{out}/kept")
     good.select("sample.input", "sample.timeseries", "sample.output").write.json(f"{out}/samples")
     good.select("sample_sha256", "source_file", F.size("sample.timeseries").alias("series_count"), F.transform("sample.timeseries", lambda s: F.size(s)).alias("series_lengths"), "sample.used_missing_mask").write.json(f"{out}/audit")
     seen = rows.count()
@@ -91,7 +93,8 @@ def resolve_votes(labelled: DataFrame, sheet: DataFrame, authoritative: DataFram
 
 def merged_report(rows: DataFrame, quality: DataFrame, out: str, abilities: list[str]) -> None:
     """The cube of ability, quality and difficulty with coverage by source, as CSV; rows outside the levels count only in totals."""
-    both = merge.with_quality(rows, quality, ["source", "line_number"])
+    merge.with_quality(rows, quality, ["source", "line_number"]).select("source", "ability_bucket", "quality", "difficulty", "join_method").write.parquet(f"{out}/joined")
+    both = rows.sparkSession.read.parquet(f"{out}/joined")
     cells = reports.cube(both, ["ability_bucket", "quality", "difficulty"])
     domains = {"ability_bucket": [*abilities, merge.UNMAPPED], "quality": list(resolve.QUALITY), "difficulty": list(resolve.DIFFICULTY)}
     reports.zero_filled(cells, domains, "ability_bucket").coalesce(1).write.csv(f"{out}/ability_quality_difficulty", header=True)

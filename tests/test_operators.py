@@ -10,7 +10,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 from quarry.functions import rules, series, text
-from quarry.operators import calls, cluster, convert, evaluate, merge, resolve, review, selection
+from quarry.operators import calls, cluster, convert, evaluate, merge, reports, resolve, review, selection
 from quarry.plans import pipelines, queries
 from quarry.sources import readers
 from quarry.streaming import fold, latest
@@ -235,3 +235,56 @@ def test_latest_cache_line(spark):
     cache = spark.createDataFrame([("t", "m", "v", 1, "x"), ("t", "m", "v", 2, "y"), ("t", "n", "v", 3, "z")], "template_id string, model string, prompt_version string, line int, quality string")
     assert [r.quality for r in cluster.latest_cached(cache, "template_id", "m", "v", "line").collect()] == ["y"]
     assert selection.capped(cache, ["template_id"], "line", 0).count() == 3
+
+
+def test_replies_with_other_text_are_no_votes(spark):
+    good = '{"primary_label": "AD", "taxonomy_fit": "exact", "confidence": "0.9"}'
+    for reply, confidence in ((good, 0.9), (f"Sure: ```json\n{good}\n```", 0.9), (good + " and {x}", None), (good + good, None), (good.replace('"0.9"', '"much"'), None), (good.replace('"0.9"', "1.5"), None)):
+        vote = spark.range(1).select(resolve.parsed_vote(F.lit(reply)).alias("v")).first().v
+        assert (vote and vote.confidence) == confidence, reply
+
+
+def test_json_lines_are_strict(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"a": 1}\n\n{"a": 2, "b": "x"}\n')
+    assert sorted(r.a for r in readers.read(spark, str(tmp_path / "a.jsonl")).collect()) == [1, 2]
+    for k, line in enumerate(("[1]", "{broken", '{"a": 1} x', "3")):
+        (tmp_path / f"b{k}.jsonl").write_text('{"a": 1}\n' + line + "\n")
+        with pytest.raises(Exception):  # noqa: B017, PT011  Spark's or the reader's own
+            readers.read(spark, str(tmp_path / f"b{k}.jsonl")).collect()
+
+
+def test_several_authoritative_votes_fail(spark):
+    empty = spark.createDataFrame([], "cluster_id string, primary_label string, secondary_labels array<string>, taxonomy_fit string")
+    rows = spark.createDataFrame([("c", "what")], "cluster_id string, input string").select("cluster_id", rules.decide(F.lit(""), F.lit(""), F.col("input")).alias("provisional"))
+    vote = spark.createDataFrame([("c", 1, "AD", [], "exact", 0.9)], "cluster_id string, seen int, primary_label string, secondary_labels array<string>, taxonomy_fit string, confidence double")
+    once = resolve.resolve(rows, empty, vote.drop("seen"), resolve.tally(vote))
+    assert once.first().final.method == "authoritative_model"
+    with pytest.raises(Exception, match="one a cluster"):
+        resolve.resolve(rows, empty, vote.union(vote).drop("seen"), resolve.tally(vote)).collect()
+    told = resolve.read_votes(spark.createDataFrame([("c", '{"primary_label": "AD", "taxonomy_fit": "exact"}', 1)], "cluster_id string, vote string, seen int"))
+    assert told.first().primary_label == "AD"
+    with pytest.raises(Exception, match="invalid vote"):
+        resolve.read_votes(spark.createDataFrame([("c", "{}", 1)], "cluster_id string, vote string, seen int")).collect()
+    with pytest.raises(Exception, match="invalid human"):
+        resolve.human_records(spark.createDataFrame([("c", "no such")], "cluster_id string, primary_label string")).collect()
+
+
+def test_distribution_counts_listed_labels_only(spark):
+    df = spark.createDataFrame([("g", "A", True), ("g", "other", True), ("g", "A", False), ("h", "other", True)], "g string, l string, ok boolean")
+    got = {(r.dataset_group, r.label): (r["count"], r.percent) for r in reports.distribution(df, F.col("g"), F.col("l"), F.col("ok"), ["A", "B"]).collect()}
+    assert got == {("g", "A"): (1, 100.0), ("g", "B"): (0, 0.0), ("h", "A"): (0, 0.0), ("h", "B"): (0, 0.0)}
+
+
+def test_context_order_of_the_adapters(spark):
+    df = spark.createDataFrame([("q [1,2,3,4]", "a", "meta", "ctx", "[1,2,3,4]")], "question string, answer string, meta_info string, context string, input_ts string")
+    assert convert.converted(df, "embedded").first().sample.input.startswith("Context information: ctx")
+    assert convert.converted(df, "primary").first().sample.input.startswith("Context information: meta")
+
+
+def test_numbering_in_blocks(spark):
+    rows = spark.range(1000).select((F.col("id") % 3).cast("string").alias("source"), (F.col("id") * 7).alias("source_index"))
+    got = sorted((r.source, r.source_index, r.k) for r in merge.numbered(rows, "k", 50).collect())
+    seen = {}
+    for source, _, k in got:
+        seen[source] = seen.get(source, 0) + 1
+        assert k == seen[source]
