@@ -222,6 +222,12 @@ def read_object(text: Column, shape: str) -> Column:
     return F.when(F.size(found) == 1, F.get(found, F.lit(0)))
 
 
+def read_map(text: Column) -> Column:
+    """The object between a reply's outermost braces as a map of strings, under the same rule."""
+    found = F.from_json(F.concat(F.lit("["), named_object(text), F.lit("]")), "array<map<string,string>>")
+    return F.when(F.size(found) == 1, F.get(found, F.lit(0)))
+
+
 def named_object(text: Column) -> Column:
     """What stands between the outermost braces of a model's reply, without its fence."""
     return F.nullif(F.regexp_extract(text, r"(?s)\{.*\}", 0), F.lit(""))

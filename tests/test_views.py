@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 from quarry.operators import resolve, views
+from quarry.sources import results
 
 
 def test_choices(spark):
@@ -20,13 +21,17 @@ def test_views(spark):
     assert (r.input, r.output, r.category, r.timeseries) == ("q", "B", "perception", [])
 
 
-def test_identity():
-    root = "/r"
-    assert views.result_identity("/r/m1/perception/generated_answer.json", root) == ("perception", "m1", "m1")
-    assert views.result_identity("/r/event_forecast_org/model-8b/x.json", root) == ("event_prediction", "org/model-8b", ".")
-    assert views.result_identity("/r/perception/x.json", root) == ("perception", "r", ".")
-    assert views.result_identity("/r/other/x.json", root) is None
-    assert views.result_identity("/r/a/causal_reasoning_m/x.json", root, "given") == ("causal_reasoning", "given", "a")
+def test_identity(spark):
+    def told(path, model=None):
+        return spark.range(1).select(results.identity(F.lit(path), "/r", model).alias("i")).first().i
+
+    assert told("/r/m1/perception/generated_answer.json") == ("perception", "m1", "m1")
+    assert told("/r/event_forecast_org/model-8b/x.json") == ("event_prediction", "org/model-8b", ".")
+    assert told("/r/perception/x.json") == ("perception", "r", ".")
+    assert told("/r/other/x.json") is None
+    assert told("/r/a/causal_reasoning_m/x.json", "given") == ("causal_reasoning", "given", "a")
+    assert told("file:///r/perception/causal_reasoning/x.json") == ("causal_reasoning", "perception", "perception")
+    assert told("/elsewhere/m/perception/x.json") == ("perception", "m", "/elsewhere/m")
 
 
 def test_small_views(spark):
