@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import decontam, jaccard, packing, quality, suffix
 from quarry.llm.queries import table, vocabulary
-from quarry.llm.shared import materialize
+from quarry.llm.shared import clean, materialize
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +22,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts less the bytes of all 200-byte strings that occur more than once; emptied documents go."""
+    """Texts less the characters of all 200-byte strings that occur more than once; documents of which nothing but white
+    space is left go."""
     out = suffix.rewritten(docs)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
@@ -55,4 +56,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = materialize(docs, release=True)
+            clean(spark, but=docs)
     return docs

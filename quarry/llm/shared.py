@@ -57,14 +57,23 @@ def as_bytes(text: str) -> int:
     return int(text) if text.lstrip("-").isdigit() else 1 << 62
 
 
+#: Files of an intermediate table: so many a core, or a file for so many shuffle partitions, whichever is more.
+A_CORE, A_FILE = 3, 8
+#: Folders that this process has made for intermediate tables.
+_made: list[str] = []
+
+
 def materialize(df: DataFrame, release: bool = False) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it back: cuts the lineage, survives lost executors.
 
-    release: also lets the driver collect its garbage, on which Spark deletes the shuffle files of jobs that are over.
+    Partitions are written one after another to fewer files, since a table of many small partitions costs more in files
+    than in data. release: also lets the driver collect its garbage, on which Spark deletes the shuffle files of jobs
+    that are over.
     """
     spark, schema = df.sparkSession, df.schema
     path = f"{shared_dir(spark)}/quarry-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    _made.append(path)
+    df.coalesce(max(A_CORE * spark.sparkContext.defaultParallelism, partitions(spark) // A_FILE)).write.parquet(path)
     if release:
         del df
         gc.collect()
@@ -72,6 +81,18 @@ def materialize(df: DataFrame, release: bool = False) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def clean(spark: SparkSession, but: DataFrame | None = None) -> None:
+    """Deletes the intermediate tables that this process has made, less those that ``but`` reads. What was returned
+    lazily before can't be read any more."""
+    kept = {f.rsplit("/", 1)[0].split(":", 1)[-1].lstrip("/") for f in but.inputFiles()} if but is not None else set()
+    jvm = spark.sparkContext._jvm
+    for path in list(_made):
+        if path.split(":", 1)[-1].lstrip("/") not in kept:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+            _made.remove(path)
+
+
 class KeyFilter:
     """A Bloom filter of a column of 64-bit hashes, 8 MB whatever its number of keys, for use where a join would
     otherwise shuffle the texts of rows that have no partner. It lets all rows with a partner through."""

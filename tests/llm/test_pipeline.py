@@ -8,13 +8,25 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline  # noqa: E402
-from quarry.llm import decontam  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+from quarry.llm import decontam, shared  # noqa: E402
 
 from tests.llm import test_jaccard, test_suffix  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
 
+def less_whole_characters(text, mask):
+    """The characters of which not all bytes are masked."""
+    out, at = [], 0
+    for c in text.decode():
+        n = len(c.encode())
+        if not all(mask[at : at + n]):
+            out.append(c)
+        at += n
+    return "".join(out)
+
+
 def test_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, names = docs.columns, [n for n, _ in corpus_pipeline.STAGES]
@@ -35,7 +47,7 @@ def test_stages(spark, tmp_path):
     assert {r.doc_id for r in second.collect()} == {c for _, _, c in test_jaccard.brute(rows)}
     rows = {r.doc_id: (r.text or "").encode() for r in second.collect()}
     masks = dict(zip(rows, test_suffix.brute(list(rows.values()), 200), strict=True))
-    want = {d: bytes(c for c, m in zip(t, masks[d], strict=True) if not m).decode("utf-8", "ignore") for d, t in rows.items()}
+    want = {d: less_whole_characters(t, masks[d]) for d, t in rows.items()}
     got = {r.doc_id: r.text for r in third.collect()}
     assert got == {d: t for d, t in want.items() if not any(masks[d]) or t.strip(" ")}
     assert all(r.n_chars == len(r.text) for r in third.collect())
@@ -47,4 +59,26 @@ def test_stages(spark, tmp_path):
 
 
 def test_run(spark):
-    assert corpus_pipeline.run(spark, SF).count() > 0
+    before = list(shared._made)
+    out = corpus_pipeline.run(spark, SF)
+    assert out.count() > 0
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = path("/").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert before == [] or not any(system.exists(path(x)) for x in before)  # earlier stages' tables are gone
+    assert all(system.exists(path(x)) for x in shared._made)
+
+
+def test_odd_tables(spark, tmp_path):
+    """Null keys and texts, repeated rows, extra columns with clashing names, and no rows at all."""
+    said = "The committee met again on Tuesday to discuss the plan, and most of its members agreed that more time was needed for the work. "
+    rows = [(None, said + "a", "en", "s", 1, 5), (1, None, "en", "s", None, 5), (2, "", None, None, 0, 5), (3, said * 400, "en", "s", 9, 5), (4, said + "b c d e f", "en", "s", 9, 5), (4, said + "b c d e f", "en", "s", 9, 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, node int")
+    df = df.withColumns({"id": F.lit(1), "h": F.lit("x"), "rank": F.lit(2), "kept": F.lit("k"), "matches": F.lit(0), "row": F.lit(1), "_range": F.lit(3)})
+    for which, docs in (("odd", df), ("empty", df.limit(0))):
+        columns = docs.columns
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            stage(spark, docs, SF).write.parquet(out := str(tmp_path / f"{which}{k}"))
+            docs = spark.read.parquet(out)
+            if k < 4:
+                assert docs.columns == columns
+        assert (docs.count() == 0) == (which == "empty")
