@@ -9,17 +9,20 @@ vector of a visited bucket is compared with the query in double precision, and t
 
 Equal vectors are one class that keeps its smallest ids, as many as a result can need; so many copies cost no more than
 one, and no result is lost. Buckets are streamed: the queries of one are held, its vectors pass in chunks, and a chunk
-is compared with a block of queries at a time.
+is compared with a block of queries at a time. A bucket of more than DEALT vectors or HELD queries is dealt over several
+tasks, each of which holds one part of its queries and sees one part of its vectors. What travels to the buckets are the
+vectors themselves (in the element type of the column), once a table, and not pairs of ids: where neighbours are hard to
+tell from others, candidates are far more than vectors.
 
-The number of projections follows the number of vectors. The number of probes is fitted on a sample of at most SAMPLE
-vectors (those of smallest hash): the smallest that finds AIM of the sample's true neighbours, for at most PILOT of its
-vectors. Where the most probes don't find as many, there are fewer projections, so larger buckets. All vectors are
-indexed.
+The numbers of projections and probes are fitted on a sample of at most SAMPLE vectors (those of smallest hash): of those
+that find AIM of the sample's true neighbours, for at most PILOT of its vectors, the ones that cost least, by the share of
+vectors visited, the number of vectors and the number of probes. Where PROBES probes don't find as many, there are fewer
+projections, so larger buckets. All vectors are indexed. ``visited`` tells the share of vectors that queries visit.
 
 Defined results: vectors that are null, of length zero, of another dimension than most, or that hold a null or a
 non-finite component take no part, as queries or candidates; a query has fewer than k neighbours only if fewer are
 found; ties go to the smaller id; a null id takes no part; repeated rows of one id count once; an empty table gives an
-empty result; columns that aren't named are ignored.
+empty result; columns that aren't named are ignored. Ids may be of any type that has an order.
 """
 
 from __future__ import annotations
@@ -36,9 +39,12 @@ from pyspark.sql import functions as F
 from .shared import materialize, partitions
 
 TABLES, WIDTH = 12, 2.2
-PROBES = (25, 50, 100, 200, 400, 800)
-SAMPLE, PILOT, AIM = 4096, 200, 0.96
+#: Probes a table at most, and the cost of a probe in vectors compared.
+PROBES, PROBE = 800, 8
+SAMPLE, PILOT, AIM = 4096, 200, 0.965
 CHUNK, MERGED = 1024, 400_000
+#: Vectors and queries of a bucket in one task.
+DEALT, HELD = 1 << 17, 1 << 15
 ASKED = 4096  # queries compared with a chunk at once
 
 
@@ -69,7 +75,7 @@ class Index:
     order: list[tuple[int, ...]]
 
     @classmethod
-    def make(cls, dimension: int, m: int, width: float = WIDTH, tables: int = TABLES, probes: int = PROBES[0], seed: int = 1) -> Index:
+    def make(cls, dimension: int, m: int, width: float = WIDTH, tables: int = TABLES, probes: int = 25, seed: int = 1) -> Index:
         rng = np.random.default_rng(seed)
         return cls(rng.normal(size=(tables, dimension, m)), rng.uniform(0, width, (tables, m)), rng.integers(1, 2**62, (tables, m)) | 1, width, perturbations(m, probes))
 
@@ -98,22 +104,53 @@ def fit(sample: np.ndarray, n: int, k: int = 5) -> Index:
     like = asked @ x.T
     like[np.arange(len(asked)), np.arange(len(asked))] = -2
     true = np.argsort(-like, 1)[:, : min(k, len(x) - 1)]
-    for m in range(8 + max(0, round((np.log2(max(2, n)) - 16) / 2)), 0, -1):
-        for probes in PROBES:
-            index = Index.make(x.shape[1], m, probes=probes)
-            if true.size == 0 or recall(index, x, asked, true) >= AIM:
-                return index
-    return index
+    if not true.size:
+        return Index.make(x.shape[1], 8, probes=1)
+    middle = 8 + max(0, round((np.log2(max(2, n)) - 16) / 2))
+    best: tuple[float, Index] | None = None
+    for m in range(middle + 8, 0, -2):
+        index = Index.make(x.shape[1], m, probes=PROBES)
+        rank = np.sort(_needed(index, x, asked, true), axis=None)[int(np.ceil(AIM * true.size)) - 1]
+        if rank >= len(index.order):
+            continue  # too many projections: even the most probes miss the aim
+        index.order = index.order[: int(rank) + 1]
+        cost = _seen(index, x, asked).mean() * n + PROBE * len(index.order) * len(index.planes)
+        if best is None or cost < best[0]:
+            best = (cost, index)
+        elif m < middle:
+            break
+    return best[1] if best is not None else Index.make(x.shape[1], 1, probes=PROBES)
+
+
+def _needed(index: Index, x: np.ndarray, asked: np.ndarray, true: np.ndarray) -> np.ndarray:
+    """For each true neighbour the rank of the first probe that visits it in some table (the number of probes, if none)."""
+    out = np.full(true.shape, len(index.order))
+    for t in range(len(index.planes)):
+        own, visits = index.cells(x, t)[0], index.probes(asked, t)
+        same = own[true][:, :, None] == visits[:, None, :]
+        out = np.minimum(out, np.where(same.any(2), same.argmax(2), len(index.order)))
+    return out
 
 
-def recall(index: Index, x: np.ndarray, asked: np.ndarray, true: np.ndarray) -> float:
-    """The share of the true neighbours (places in x) that the index's probes visit."""
-    hit = np.zeros(true.shape, bool)
+def _seen(index: Index, x: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Which vectors (columns) each query (row) visits."""
+    seen = np.zeros((len(asked), len(x)), bool)
     for t in range(len(index.planes)):
         own, visited = index.cells(x, t)[0], index.probes(asked, t)
         for i in range(len(asked)):
-            hit[i] |= np.isin(own[true[i]], visited[i])
-    return hit.mean()
+            seen[i] |= np.isin(own, visited[i])
+    return seen
+
+
+def recall(index: Index, x: np.ndarray, asked: np.ndarray, true: np.ndarray) -> float:
+    """The share of the true neighbours (places in x) that the index's probes visit."""
+    return float(np.take_along_axis(_seen(index, x, asked), true, 1).mean())
+
+
+def visited(index: Index, sample: np.ndarray) -> float:
+    """The share of a sample's vectors that its first PILOT ones visit."""
+    x = unit(sample)
+    return float(_seen(index, x, x[: min(PILOT, len(x))]).mean())
 
 
 def usable(vector: Column) -> Column:
@@ -123,14 +160,15 @@ def usable(vector: Column) -> Column:
 
 def nearest(df: DataFrame, is_query: Column, key: str, vector: str, k: int = 5) -> DataFrame:
     """query_id, rank (from 1), key, score: the k nearest found of each query, without itself."""
-    double = F.col(vector).cast("array<double>")
-    rows = df.select(F.col(key).cast("long").alias("id"), double.alias("v"), is_query.alias("q")).filter(F.col("id").isNotNull() & usable(F.col("v")))
+    single = df.schema[vector].dataType.simpleString() == "array<float>"
+    real = np.dtype(np.float32 if single else np.float64)
+    rows = df.select(F.col(key).alias("id"), F.col(vector).cast("array<float>" if single else "array<double>").alias("v"), is_query.alias("q")).filter(F.col("id").isNotNull() & usable(F.col("v")))
     sizes = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
     if not sizes:
-        return df.select(F.lit(0).cast("long").alias("query_id"), F.lit(0).alias("rank"), F.lit(0).cast("long").alias(key), F.lit(0.0).alias("score")).limit(0)
+        return df.select(F.col(key).alias("query_id"), F.lit(0).alias("rank"), F.col(key), F.lit(0.0).alias("score")).limit(0)
     dimension, n = sizes[0]["d"], sizes[0]["n"]
     rows = rows.filter(F.size("v") == dimension).withColumn("h", F.xxhash64("v"))
-    sample = np.array([r["v"] for r in rows.select("h", "v").orderBy("h").limit(SAMPLE).select("v").distinct().toPandas().to_dict("records")])
+    sample = np.array([r["v"] for r in rows.select("h", "v").orderBy("h").limit(SAMPLE).select("v").distinct().toPandas().to_dict("records")], np.float64)
     index = fit(sample, n, k)
     # A class keeps k + 1 ids: all that results can need, a query's own left out.
     ranked = rows.select("h", "id", "v").dropDuplicates(["h", "id"]).withColumn("r", F.row_number().over(Window.partitionBy("h").orderBy("id"))).filter(F.col("r") <= k + 1)
@@ -141,16 +179,19 @@ def nearest(df: DataFrame, is_query: Column, key: str, vector: str, k: int = 5)
     def matrix(column: pa.Array) -> np.ndarray:
         return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension)
 
-    def spread(role: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def spread(role: int, batches: Iterable[pa.RecordBatch], told: bool = True) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, CHUNK):
                 part = batch.slice(a, CHUNK)
                 x = matrix(part.column("v"))
-                u = unit(x)
+                u = unit(x.astype(np.float64))
                 h = part.column("h").to_numpy()
                 for t in range(len(index.planes)):
                     buckets = index.probes(u, t) if role == 0 else index.cells(u, t)[0][:, None]
                     wide = buckets.shape[1]
+                    if not told:
+                        yield pa.RecordBatch.from_arrays([pa.array(buckets.ravel()), pa.array(np.full(wide * len(x), role, np.int32))], names=["bucket", "role"])
+                        continue
                     raw = pa.array([v.tobytes() for v in x], pa.binary()).take(pa.array(np.repeat(np.arange(len(x)), wide)))
                     yield pa.RecordBatch.from_arrays([pa.array(buckets.ravel()), pa.array(np.full(wide * len(x), role, np.int32)), pa.array(np.repeat(h, wide)), raw], names=["bucket", "role", "h", "v"])
 
@@ -161,22 +202,36 @@ def nearest(df: DataFrame, is_query: Column, key: str, vector: str, k: int = 5)
         return spread(1, batches)
 
     schema = "bucket long, role int, h long, v binary"
-    both = asked.mapInArrow(visits, schema).union(classes.select("h", "v").mapInArrow(places, schema))
-    both = both.repartition(partitions(df.sparkSession), "bucket").sortWithinPartitions("bucket", "role", "h")
+    vectors = classes.select("h", "v")
+    # Buckets that one task can't take; there are none unless vectors crowd.
+    counted = asked.mapInArrow(lambda b: spread(0, b, False), "bucket long, role int").union(vectors.mapInArrow(lambda b: spread(1, b, False), "bucket long, role int"))
+    sizes = counted.groupBy("bucket").agg(F.count_if(F.col("role") == 1).alias("nv"), F.count_if(F.col("role") == 0).alias("nq"))
+    hot = materialize(sizes.filter((F.col("nq") > 0) & ((F.col("nv") > DEALT) | (F.col("nq") > HELD))).select("bucket", F.ceil(F.col("nv") / DEALT).cast("int").alias("sv"), F.ceil(F.col("nq") / HELD).cast("int").alias("sq")))
+    asks, places_ = asked.mapInArrow(visits, schema), vectors.mapInArrow(places, schema)
+    if hot.isEmpty():
+        both = asks.union(places_).withColumn("salt", F.lit(0))
+    else:
+        dealt = lambda name: F.pmod(F.xxhash64("h", F.lit(3)), F.coalesce(name, F.lit(1))).cast("int")
+        every = lambda name: F.explode(F.sequence(F.lit(0), F.coalesce(name, F.lit(1)) - 1))
+        width = F.coalesce("sv", F.lit(1))
+        asks = asks.join(hot, "bucket", "left").withColumn("k", every("sv")).withColumn("salt", dealt("sq") * width + F.col("k"))
+        places_ = places_.join(hot, "bucket", "left").withColumn("k", every("sq")).withColumn("salt", F.col("k") * width + dealt("sv"))
+        both = asks.union(places_).select("bucket", "salt", "role", "h", "v")
+    both = both.repartition(partitions(df.sparkSession), "bucket", "salt").sortWithinPartitions("bucket", "salt", "role", "h")
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, who, what = None, [], []  # the open bucket's queries
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         size = 0
         for batch in batches:
-            b, role, h = (batch.column(c).to_numpy() for c in ("bucket", "role", "h"))
+            b, salt, role, h = (batch.column(c).to_numpy() for c in ("bucket", "salt", "role", "h"))
             if not len(b):
                 continue
-            v = np.frombuffer(b"".join(batch.column("v").to_pylist()), np.float64).reshape(-1, dimension)
-            edges = np.flatnonzero(np.concatenate([[True], (b[1:] != b[:-1]) | (role[1:] != role[:-1]), [True]]))
+            v = np.frombuffer(b"".join(batch.column("v").to_pylist()), real).reshape(-1, dimension).astype(np.float64)
+            edges = np.flatnonzero(np.concatenate([[True], (b[1:] != b[:-1]) | (salt[1:] != salt[:-1]) | (role[1:] != role[:-1]), [True]]))
             for a, z in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                if b[a] != bucket:
-                    bucket, who, what = b[a], [], []
+                if (b[a], salt[a]) != bucket:
+                    bucket, who, what = (b[a], salt[a]), [], []
                 if role[a] == 0:
                     who.append(h[a:z])
                     what.append(v[a:z])

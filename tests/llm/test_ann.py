@@ -80,3 +80,35 @@ def test_perturbations_come_in_order():
     assert all(a <= b + 1e-12 for a, b in zip(totals, totals[1:], strict=False))
     assert len(set(sets)) == len(sets) == 60
     assert all(2 * m + 1 - j not in s for s in sets for j in s)
+
+
+def clustered(n, seed=0):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(n // 20, 32))
+    return (centres[rng.integers(0, len(centres), n)] + 0.25 * rng.normal(size=(n, 32))).astype(np.float32)
+
+
+def test_clustered_vectors_are_told_by_few_visits(spark):
+    x = clustered(4000).astype(float)
+    index = ann.fit(x, 1 << 20)
+    assert ann.visited(index, x) < 0.1
+    u = ann.unit(x)
+    like = u[:100] @ u.T
+    like[np.arange(100), np.arange(100)] = -2
+    assert ann.recall(index, u, u[:100], np.argsort(-like, 1)[:, :5]) >= 0.95
+
+
+@pytest.mark.parametrize(("dealt", "held"), [(1 << 17, 1 << 15), (7, 2)])
+def test_string_keys_and_dealt_buckets(spark, dealt, held, monkeypatch):
+    monkeypatch.setattr(ann, "DEALT", dealt)
+    monkeypatch.setattr(ann, "HELD", held)
+    x = clustered(400, 1)
+    df = spark.createDataFrame([(f"v{i:03}", v.tolist()) for i, v in enumerate(x)], "vec_id string, embedding array<float>")
+    out = ann.nearest(df, F.col("vec_id").endswith("0"), "vec_id", "embedding", 3).collect()
+    rows = x.astype(float)
+    good = 0
+    for i in range(0, 400, 10):
+        like = sorted((-float(rows[i] @ w / (np.linalg.norm(rows[i]) * np.linalg.norm(w))), f"v{j:03}") for j, w in enumerate(rows) if j != i)[:3]
+        good += len({v for _, v in like} & {r.vec_id for r in out if r.query_id == f"v{i:03}"})
+    assert good >= 0.9 * 120
+    assert len(out) == len({(r.query_id, r.vec_id) for r in out}) == 120
