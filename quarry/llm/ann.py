@@ -206,7 +206,7 @@ def nearest(df: DataFrame, is_query: Column, key: str, vector: str, k: int = 5)
     # Buckets that one task can't take; there are none unless vectors crowd.
     counted = asked.mapInArrow(lambda b: spread(0, b, False), "bucket long, role int").union(vectors.mapInArrow(lambda b: spread(1, b, False), "bucket long, role int"))
     sizes = counted.groupBy("bucket").agg(F.count_if(F.col("role") == 1).alias("nv"), F.count_if(F.col("role") == 0).alias("nq"))
-    hot = materialize(sizes.filter((F.col("nq") > 0) & ((F.col("nv") > DEALT) | (F.col("nq") > HELD))).select("bucket", F.ceil(F.col("nv") / DEALT).cast("int").alias("sv"), F.ceil(F.col("nq") / HELD).cast("int").alias("sq")))
+    hot = materialize(sizes.filter((F.col("nq") > 0) & ((F.col("nv") > DEALT) | (F.col("nq") > HELD))).select("bucket", F.ceil(F.col("nv") / DEALT).cast("int").alias("sv"), F.ceil(F.col("nq") / HELD).cast("int").alias("sq")), few=True)
     asks, places_ = asked.mapInArrow(visits, schema), vectors.mapInArrow(places, schema)
     if hot.isEmpty():
         both = asks.union(places_).withColumn("salt", F.lit(0))

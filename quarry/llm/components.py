@@ -19,17 +19,17 @@ def components(edges: DataFrame) -> DataFrame:
     left = edges.filter("a <> b").select("a", "b").distinct()
     while True:
         both = left.union(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        to = materialize(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("to")))
+        to = materialize(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("to")), few=True)
         follow = to.alias("x").join(to.alias("y"), F.col("x.to") == F.col("y.a"))
-        to = materialize(follow.select(F.col("x.a").alias("a"), F.col("y.to").alias("to")))
+        to = materialize(follow.select(F.col("x.a").alias("a"), F.col("y.to").alias("to")), few=True)
         if to.isEmpty():
             break
         maps.append(to)
         left = left.join(to, "a").select(F.col("to").alias("p"), "b").join(to.withColumnRenamed("a", "b"), "b").select(F.col("p").alias("a"), F.col("to").alias("b")).filter("a <> b").distinct()
-        left = materialize(left)
+        left = materialize(left, few=True)
     if not maps:
         return edges.select(F.col("a").alias("node"), F.col("a").alias("label")).limit(0)
     out = maps[0].select(F.col("a").alias("node"), F.col("to").alias("label"))
     for to in maps[1:]:
         out = out.join(to, out["label"] == to["a"], "left").select("node", F.coalesce("to", "label").alias("label"))
-    return materialize(out)
+    return materialize(out, few=True)

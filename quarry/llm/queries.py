@@ -110,8 +110,9 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as wavelet matrix files and read back."""
-    files = wavelet.write_shards(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
-    return wavelet.read_shards(files)
+    docs = table(spark, sf_dir, "documents")
+    files = wavelet.write_shards(docs, vocabulary("word_bpe_49k.json"))
+    return wavelet.read_shards(files, kind=docs.schema["doc_id"].dataType)
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

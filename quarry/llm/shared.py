@@ -57,23 +57,25 @@ def as_bytes(text: str) -> int:
     return int(text) if text.lstrip("-").isdigit() else 1 << 62
 
 
-#: Files of an intermediate table: so many a core, or a file for so many shuffle partitions, whichever is more.
+#: Files of a small intermediate table: so many a core, or a file for so many shuffle partitions, whichever is more.
 A_CORE, A_FILE = 3, 8
 #: Folders that this process has made for intermediate tables.
 _made: list[str] = []
 
 
-def materialize(df: DataFrame, release: bool = False) -> DataFrame:
+def materialize(df: DataFrame, release: bool = False, few: bool = False) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it back: cuts the lineage, survives lost executors.
 
-    Partitions are written one after another to fewer files, since a table of many small partitions costs more in files
-    than in data. release: also lets the driver collect its garbage, on which Spark deletes the shuffle files of jobs
-    that are over.
+    few: for a table far smaller than the input; its partitions are written one after another to fewer files (where
+    rows know their partition's number it mustn't be set). release: also lets the driver collect its garbage, on which
+    Spark deletes the shuffle files of jobs that are over.
     """
     spark, schema = df.sparkSession, df.schema
     path = f"{shared_dir(spark)}/quarry-{uuid.uuid4().hex}"
     _made.append(path)
-    df.coalesce(max(A_CORE * spark.sparkContext.defaultParallelism, partitions(spark) // A_FILE)).write.parquet(path)
+    if few:
+        df = df.coalesce(max(A_CORE * spark.sparkContext.defaultParallelism, partitions(spark) // A_FILE))
+    df.write.parquet(path)
     if release:
         del df
         gc.collect()

@@ -165,3 +165,34 @@ def test_files(spark, which):
 def test_queries_run(spark):
     assert queries.op5_packing(spark, SF).count() >= 200
     assert queries.op8_wavelet(spark, SF).count() == 200
+
+
+def test_queries_inflate_parts_of_a_file(monkeypatch):
+    ids = np.random.default_rng(1).integers(0, 300, 400_000).astype("<u2")
+    data = wavelet.WaveletMatrix.build(ids, np.array([1000, 400_000]), 9, wavelet.pa.array(["a", None])).to_bytes()
+    inflated = []
+    inflate = wavelet._inflate
+    monkeypatch.setattr(wavelet, "_inflate", lambda x: inflated.append(len(x)) or inflate(x))
+    m = wavelet.WaveletMatrix.from_bytes(data)
+    assert m.keys.to_pylist() == ["a", None] and m.ends.tolist() == [1000, 400_000]
+    assert [m.access(i) for i in (0, 7, 399_999)] == ids[[0, 7, 399_999]].tolist()
+    assert sum(inflated) < len(data) / 2
+    places = np.array([0, 1, 511, 512, 513, 1000, 300_000, 400_000])
+    for t in (0, 5, 299, 511, 512):
+        assert m.ranks(t, places).tolist() == [int((ids[:i] == t).sum()) for i in places]
+        assert m.rank(t, 300_000) == int((ids[:300_000] == t).sum())
+    assert m.select(5, 10) == int(np.flatnonzero(ids == 5)[10])
+
+
+def test_files_alone_hold_the_keys(spark):
+    df = spark.createDataFrame([("b", "two words # #", 1), (None, "x", 2), ("a", None, 3)], "name string, text string, key int")
+    files = wavelet.write_shards(df, public_tokenizers.path("word_bpe_49k.json"), key="name")
+    assert files.columns == ["part", "number", "n_tokens", "file"]
+    out = wavelet.read_shards(files, "name", kind=df.schema["name"].dataType).orderBy("start").collect()
+    assert [r.name for r in out] == [None, "a", "b"]
+    lib = library("word_bpe_49k.json")
+    for r, text in zip(out, ["x", "", "two words # #"], strict=True):
+        ids = [*lib.encode(text, add_special_tokens=False).ids, 2]
+        assert (r.n_tokens, r.end_ids) == (len(ids), ids.count(2))
+    with pytest.raises(ValueError):
+        wavelet.read_shards(files, "start")
