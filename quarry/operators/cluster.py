@@ -45,9 +45,11 @@ def clusters(labelled: DataFrame, source_order: Column) -> DataFrame:
     return out.select("cluster_id", "member_count", "f.*")
 
 
-def review_queue(clusters_: DataFrame) -> DataFrame:
-    """Clusters whose first member is up for review, largest first. A cluster whose first member was accepted never is."""
-    return clusters_.filter("provisional.status = 'review'").orderBy(F.desc("member_count"), "cluster_id")
+def review_queue(clusters_: DataFrame, limit: int = 0) -> DataFrame:
+    """Clusters whose first member is up for review, largest first (the first so many, if limited). A cluster whose first
+    member was accepted never is."""
+    out = clusters_.filter("provisional.status = 'review'").orderBy(F.desc("member_count"), "cluster_id")
+    return out.limit(limit) if limit else out
 
 
 def rule_counters(labelled: DataFrame) -> DataFrame:

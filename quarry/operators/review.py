@@ -33,6 +33,15 @@ def append(events: DataFrame, path: str, change: DataFrame, keys: list[str], exp
     new.withColumn("revision", F.col("_last") + 1).drop("_last", "_expected").write.mode("append").parquet(path)
 
 
+def delete(events: DataFrame, path: str, keys: DataFrame, names: list[str], expected: Column) -> None:
+    """Appends tombstones (verdict null) for keys that have a review; a key without one raises KeyError."""
+    state = current(events, names, deleted=F.col("verdict").isNull())
+    if not keys.join(state, names, "left_anti").isEmpty():
+        raise KeyError("no review to delete")
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema.fields if f.name not in (*names, "revision")]
+    append(events, path, keys.select(*names, *blank), names, expected)
+
+
 def stale(state: DataFrame, records: DataFrame, keys: list[str]) -> DataFrame:
     """state with ``stale``: the record's hash or its data's signature is no longer the reviewed one."""
     now = records.select(*keys, F.col("record_hash").alias("_h"), F.col("signature").alias("_s"))

@@ -37,6 +37,26 @@ def cap_report(df: DataFrame, cluster: list[str], most: int) -> DataFrame:
     return out.withColumn("filtered", F.col("candidates") - F.col("selected"))
 
 
+def cap_report_by(df: DataFrame, cluster: list[str], most: int, by: str) -> DataFrame:
+    """Candidates, selected and filtered rows of a cap by source or label; a cluster may have rows of several labels, so
+    what is selected is told by rank within the cluster (``rank``, from 1, as ``ranked`` gives it)."""
+    kept = F.col("rank") <= most if most > 0 else F.lit(True)
+    out = df.groupBy(by).agg(F.count("*").alias("candidates"), F.count_if(kept).alias("selected"))
+    return out.withColumn("filtered", F.col("candidates") - F.col("selected"))
+
+
+def ranked(df: DataFrame, cluster: list[str], key: str, seed: int = SEED) -> DataFrame:
+    """df with each row's rank in its cluster, by the order in which a cap takes rows."""
+    return df.withColumn("rank", F.row_number().over(Window.partitionBy(*cluster).orderBy(score(F.col(key), seed), key)))
+
+
+def only(df: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of df whose keys were chosen."""
+    return df.join(chosen.select(*keys).distinct(), keys, "left_semi")
+
+
 def write_buckets(df: DataFrame, label: Column, path: str, order: list[str]) -> None:
-    """One folder a label, source order kept within its files; a folder that holds data is refused."""
-    df.withColumn("primary_label", label).repartition("primary_label", F.pmod(F.hash(*order), F.lit(64))).sortWithinPartitions("primary_label", *order).write.mode("errorifexists").partitionBy("primary_label").json(path)
+    """One folder a label; its files, one after another by name, keep the order of the sources. Rows are dealt by ranges of
+    (label, order), so a large label is many files. A folder that holds data is refused."""
+    labelled = df.withColumn("primary_label", label)
+    labelled.repartitionByRange("primary_label", *order).sortWithinPartitions("primary_label", *order).write.mode("errorifexists").partitionBy("primary_label").json(path)

@@ -4,19 +4,19 @@ from __future__ import annotations
 
 import json
 import time
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.series import Options
-from ..operators import cluster, convert, merge, reports, resolve, selection
-from ..sources import readers
+from ..operators import cluster, convert, merge, reports, resolve, selection, views
+from ..sources import files, readers
 
 
-def convert_files(spark: SparkSession, inputs: list[str], adapter: str, out: str, options: Options = Options(), train_only: bool = True, dedup: bool = True) -> dict:  # noqa: B008
+def convert_files(spark: SparkSession, inputs: list[str], adapter: str, out: str, options: Options = Options(), train_only: bool = True, dedup: bool = True, limit: int = 0, preview: int = 0) -> dict:  # noqa: B008
     """Converts files to samples, audit rows and a manifest under ``out``. Files of other splits and contaminated folders
-    aren't opened; contaminated rows go before they are parsed."""
+    aren't opened; contaminated rows go before they are parsed. limit: the first so many samples in the order of files and
+    rows; preview: so many of them, shortened, in what is returned."""
     paths = readers.discover(spark, inputs)
     names = spark.createDataFrame([(p,) for p in paths], "path string")
     wanted = names.filter(~convert.is_contaminated_file(F.col("path")) & (convert.is_training_file(F.col("path")) if train_only else F.lit(True)))
@@ -35,24 +35,33 @@ def convert_files(spark: SparkSession, inputs: list[str], adapter: str, out: str
     good = done.filter("sample.reason IS NULL").withColumn("sample_sha256", convert.sample_digest(F.col("sample")))
     if dedup:
         good = convert.first_of_each(good, F.col("sample_sha256"), [F.col("_file"), F.col("_row")])
+    if limit:
+        good = good.orderBy("_file", "_row").limit(limit)
     good.write.parquet(f"{out}/kept")
     good = spark.read.parquet(f"{out}/kept")
     good.select("sample.input", "sample.timeseries", "sample.output").write.json(f"{out}/samples")
     good.select("sample_sha256", "source_file", F.size("sample.timeseries").alias("series_count"), F.transform("sample.timeseries", lambda s: F.size(s)).alias("series_lengths"), "sample.used_missing_mask").write.json(f"{out}/audit")
     seen = rows.count()
     manifest = {"files": kept, "rows_seen": seen, "rows_filtered_contamination": seen - done.count(), "rows_written": good.count(), "reasons": {str(r.reason): r["rows"] for r in convert.conversion_report(done).collect()}}
-    write_manifest(f"{out}/manifest.json", manifest)
+    manifest["values"] = [r.asDict() for r in convert.value_histogram(done).limit(1000).collect()]
+    if preview:
+        manifest["preview"] = [r.asDict() for r in views.preview(good.orderBy("_file", "_row").select("sample.input", "sample.timeseries", "sample.output"), preview).collect()]
+    write_manifest(spark, f"{out}/manifest.json", manifest)
     return manifest
 
 
-def prepare(spark: SparkSession, sources: list[readers.Source], out: str) -> None:
-    """Validates registered sources, labels by rules, and writes labels, quarantine, clusters and the review queue."""
+def prepare(spark: SparkSession, sources: list[readers.Source], out: str, limit: int = 0) -> None:
+    """Validates registered sources, labels by rules, and writes labels, quarantine, clusters and the review queue. An audit
+    must tell of each line that isn't blank, and of no other. limit: the first so many valid rows of all sources."""
     good, bad = [], []
     for k, s in enumerate(sources):
         valid, wrong = readers.validated(spark, s.path)
         if s.audit:
-            audit = spark.read.json(s.audit).select(F.col("sample_index").alias("source_index"), F.col("task").cast("string").alias("task"))
-            valid = valid.join(audit, "source_index", "left")
+            audit = readers.read_jsonl(spark, s.audit)
+            task = F.col("task").cast("string") if "task" in audit.columns else F.lit(None).cast("string")
+            audit = audit.select(F.col("sample_index").cast("long").alias("source_index"), task.alias("task"))
+            lines = valid.select("source_index").union(wrong.select("source_index"))
+            valid = valid.join(merge.zipped(lines, audit, ["source_index"], f"audit of {s.name}"), "source_index")
         else:
             valid = valid.withColumn("task", F.lit(None).cast("string"))
         tags = {"source": F.lit(s.name), "split": F.lit(s.split), "source_order": F.lit(k)}
@@ -61,12 +70,16 @@ def prepare(spark: SparkSession, sources: list[readers.Source], out: str) -> Non
     rows, wrong = good[0], bad[0]
     for g, b in zip(good[1:], bad[1:], strict=True):
         rows, wrong = rows.unionByName(g), wrong.unionByName(b)
+    if limit:
+        rows = rows.orderBy("source_order", "source_index").limit(limit)
     cluster.provisional(rows).write.parquet(f"{out}/provisional")
     labelled = spark.read.parquet(f"{out}/provisional")
     wrong.write.json(f"{out}/invalid")
     cluster.clusters(labelled, F.col("source_order")).write.parquet(f"{out}/clusters")
     cluster.review_queue(spark.read.parquet(f"{out}/clusters")).write.json(f"{out}/review")
-    write_manifest(f"{out}/manifest.json", {"counters": [r.asDict() for r in cluster.rule_counters(labelled).orderBy("kind", "value").collect()]})
+    counters = [r.asDict() for r in cluster.rule_counters(labelled).orderBy("kind", "value").collect()]
+    counters += [{"kind": "invalid", "value": r.source, "rows": r["count"]} for r in spark.read.json(f"{out}/invalid").groupBy("source").count().orderBy("source").collect()] if not wrong.isEmpty() else []
+    write_manifest(spark, f"{out}/manifest.json", {"counters": counters})
 
 
 def review_sheet(queue: DataFrame, path: str) -> None:
@@ -76,13 +89,20 @@ def review_sheet(queue: DataFrame, path: str) -> None:
     queue.select("cluster_id", "source", "member_count", "template", F.substring("input", 1, 12000).alias("input"), F.substring("output", 1, 3000).alias("output"), p["primary_label"].alias("rule_primary"), F.concat_ws(",", p["secondary_labels"]).alias("rule_secondary"), p["taxonomy_fit"].alias("rule_fit"), p["confidence"].alias("rule_confidence"), F.concat_ws("; ", p["evidence"]).alias("rule_evidence")).withColumns(blank).write.csv(path, header=True, quoteAll=True)
 
 
-def materialize_buckets(rows: DataFrame, out: str, most: int = 0, scope: tuple[str, ...] = (), seed: int = selection.SEED) -> DataFrame:
-    """Writes eligible rows by label; a cap holds for the sources in scope (all, if none). Returns the cap's report."""
+def materialize_buckets(rows: DataFrame, out: str, most: int = 0, scope: tuple[str, ...] = (), seed: int = selection.SEED, samples: DataFrame | None = None) -> DataFrame:
+    """Writes eligible rows by label; a cap holds for the sources in scope (all, if none). Returns the cap's report.
+
+    rows: final labels with source, source_index, split, cluster_id, sample_id. samples: the sources' valid rows (source,
+    source_index and what is to be written); they must be the labels' rows, one for one.
+    """
+    if samples is not None:
+        rows = merge.zipped(rows, samples, ["source", "source_index"], "final labels and sources")
     own = rows.filter(selection.eligible(F.col("final"), F.col("split")))
     inside = F.col("source").isin(*scope) if scope else F.lit(True)
-    chosen = selection.capped(own.filter(inside), ["cluster_id"], "sample_id", most, seed).unionByName(own.filter(~inside))
-    selection.write_buckets(chosen, F.col("final.primary_label"), out, ["source", "source_index"])
-    return selection.cap_report(own.filter(inside), ["cluster_id"], most)
+    candidates = own.filter(inside)
+    chosen = selection.only(candidates, selection.capped(candidates.select("cluster_id", "sample_id"), ["cluster_id"], "sample_id", most, seed), ["sample_id"])
+    selection.write_buckets(chosen.unionByName(own.filter(~inside)), F.col("final.primary_label"), out, ["source", "source_index"])
+    return selection.cap_report(candidates, ["cluster_id"], most)
 
 
 def resolve_votes(labelled: DataFrame, sheet: DataFrame, authoritative: DataFrame, votes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -91,6 +111,44 @@ def resolve_votes(labelled: DataFrame, sheet: DataFrame, authoritative: DataFram
     return out, out.filter("final.status = 'human_review'").select("cluster_id").distinct()
 
 
+def resolve_files(labelled: DataFrame, human: DataFrame, authoritative: DataFrame, votes: DataFrame, queue: DataFrame, out: str) -> dict:
+    """Writes final labels and the rows of the review queue that are left for people; returns counts and the queue's coverage.
+
+    human: labels as ``resolve.human_labels`` or ``human_records`` gives them; votes as ``resolve.read_votes`` does.
+    """
+    spark = labelled.sparkSession
+    final = resolve.resolve(labelled, human, authoritative, resolve.tally(votes))
+    final.write.mode("errorifexists").parquet(f"{out}/final")
+    final = spark.read.parquet(f"{out}/final")
+    open_ = final.filter("final.status = 'human_review'").select("cluster_id").distinct()
+    selection.only(queue, open_, ["cluster_id"]).write.json(f"{out}/human_review")
+    pairs = F.explode(F.array(F.col("final.status"), F.coalesce("final.primary_label", F.lit("NONE"))))
+    counts = {r.v: r["count"] for r in final.select(pairs.alias("v")).groupBy("v").count().orderBy("v").collect()}
+    told = {"counts": counts, "unresolved_clusters": open_.count(), "coverage": resolve.coverage(queue, votes).first().asDict()}
+    write_manifest(spark, f"{out}/manifest.json", told)
+    return told
+
+
+def distribution_report(rows: DataFrame, group: dict[str, str], labels: list[str], out: str, splits: tuple[str, ...] = ()) -> dict:
+    """The label distribution of accepted rows by dataset group, and the statuses of all rows: Markdown, CSV and JSON.
+
+    rows: source, split and final. group: prefixes of sources and their groups' names; splits: those that count (all, if none).
+    """
+    spark = rows.sparkSession
+    own = rows.filter(F.col("split").isin(*splits)) if splits else rows
+    by = reports.dataset_group(F.col("source"), group)
+    table = reports.distribution(own, by, F.col("final.primary_label"), F.col("final.status") == "accepted", labels)
+    states = reports.status_table(own, by, F.col("final.status"))
+    table.coalesce(1).write.csv(f"{out}/distribution", header=True)  # a row a group and label
+    sources = own.select(by.alias("dataset_group"), "source").distinct().orderBy("dataset_group", "source").collect()  # a row a source
+    told = {"sources": {}, "distribution": [r.asDict() for r in table.orderBy("dataset_group", "label").collect()], "statuses": [r.asDict() for r in states.orderBy("dataset_group", "status").collect()]}
+    for r in sources:
+        told["sources"].setdefault(r.dataset_group, []).append(r.source)
+    files.write_text(spark, f"{out}/distribution.json", json.dumps(told, ensure_ascii=False, indent=2, sort_keys=True))
+    files.write_text(spark, f"{out}/distribution.md", [reports.markdown(table.orderBy("dataset_group", "label"), "Labels"), "\n", reports.markdown(states.orderBy("dataset_group", "status"), "Statuses")])
+    return told
+
+
 def merged_report(rows: DataFrame, quality: DataFrame, out: str, abilities: list[str]) -> None:
     """The cube of ability, quality and difficulty with coverage by source, as CSV; rows outside the levels count only in totals."""
     merge.with_quality(rows, quality, ["source", "line_number"]).select("source", "ability_bucket", "quality", "difficulty", "join_method").write.parquet(f"{out}/joined")
@@ -102,25 +160,35 @@ def merged_report(rows: DataFrame, quality: DataFrame, out: str, abilities: list
     reports.ability_summary(cells, "ability_bucket", F.col("quality").isin("good", "excellent"), F.col("difficulty").isin("hard", "very_hard")).coalesce(1).write.csv(f"{out}/ability_summary", header=True)
 
 
-def signature(path: str) -> str:
-    """path:size:mtime of a local file: what a cached result was made from."""
-    s = Path(path).stat()
-    return f"{path}:{s.st_size}:{s.st_mtime_ns}"
-
-
-def up_to_date(manifest: str, inputs: list[str]) -> bool:
+def up_to_date(spark: SparkSession, manifest: str, inputs: list[str]) -> bool:
     """Whether a manifest names the inputs' present signatures and its outputs are there."""
     try:
-        found = json.loads(Path(manifest).read_text(encoding="utf-8"))
-    except (OSError, ValueError):
+        found = json.loads(files.read_text(spark, manifest)) if files.exists(spark, manifest) else {}
+    except ValueError:
         return False
-    return found.get("signatures") == [signature(p) for p in inputs] and all(Path(p).exists() for p in found.get("outputs", []))
-
-
-def write_manifest(path: str, content: dict) -> None:
-    """Written aside and renamed, so that no half a file is ever seen."""
-    place = Path(path.removeprefix("file://"))
-    place.parent.mkdir(parents=True, exist_ok=True)
-    aside = place.with_suffix(".tmp")
-    aside.write_text(json.dumps(content | {"written_at": int(time.time())}, ensure_ascii=False, indent=2, sort_keys=True), encoding="utf-8")
-    aside.replace(place)
+    now = [files.signature(spark, p) if files.exists(spark, p) else None for p in inputs]
+    return found.get("signatures") == now and all(files.exists(spark, p) for p in found.get("outputs", []))
+
+
+def write_manifest(spark: SparkSession, path: str, content: dict) -> None:
+    """Written aside and renamed, on the store of the path."""
+    files.write_text(spark, path, json.dumps(content | {"written_at": int(time.time())}, ensure_ascii=False, indent=2, sort_keys=True, default=str))
+
+
+def versioned(spark: SparkSession, root: str, inputs: list[str], make) -> DataFrame:
+    """A table derived from files, made anew only if their signatures changed.
+
+    make() gives the DataFrame; it is written as the next version under root, and the manifest, which names the current
+    version, is replaced when that is done: a reader sees either version, whole. The version before it stays readable,
+    earlier ones go.
+    """
+    place = f"{root}/manifest.json"
+    if not up_to_date(spark, place, inputs):
+        have = [int(n.removeprefix("v")) for n in files.listed(spark, root) if n.startswith("v")]
+        now = max(have, default=0) + 1
+        make().write.mode("overwrite").parquet(f"{root}/v{now}")
+        write_manifest(spark, place, {"signatures": [files.signature(spark, p) for p in inputs], "outputs": [f"{root}/v{now}"]})
+        for old in have:
+            if old < now - 1:
+                files.delete(spark, f"{root}/v{old}")
+    return spark.read.parquet(json.loads(files.read_text(spark, place))["outputs"][0])

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import files
+
 FORMATS = ("csv", "json", "jsonl", "parquet")
 
 
@@ -117,17 +118,38 @@ class Source:
     audit: str | None = None
 
 
-def registry(path: str) -> list[Source]:
-    """Sources of a JSON file: unique names, existing paths, relative to the file."""
-    base = Path(path).resolve().parent
-    found = json.loads(Path(path).read_text(encoding="utf-8"))
+def registry(path: str, spark: SparkSession | None = None) -> list[Source]:
+    """Sources of a JSON file: unique names, existing paths, relative to the file. With a session on any store."""
+    spark = spark or SparkSession.active()
+    base = path.rsplit("/", 1)[0] if "/" in path else "."
+    found = json.loads(files.read_text(spark, path))
     out = []
     for x in found["sources"] if isinstance(found, dict) else found:
-        place = Path(x["path"])
-        place = place if place.is_absolute() else base / place
-        if not place.exists():
-            raise FileNotFoundError(place)
-        out.append(Source(x["name"], str(place), x.get("split", "train"), x.get("audit")))
+        places = {}
+        for name in ("path", "audit"):
+            if x.get(name):
+                places[name] = x[name] if x[name].startswith("/") or "://" in x[name] else f"{base}/{x[name]}"
+                if not files.exists(spark, places[name]):
+                    raise FileNotFoundError(places[name])
+        out.append(Source(x["name"], places["path"], x.get("split", "train"), places.get("audit")))
     if len({s.name for s in out}) != len(out):
         raise ValueError("source names must be unique")
     return out
+
+
+def benchmark_files(spark: SparkSession, roots: list[str], tasks: dict[str, tuple[str, str]]) -> dict[str, tuple[str, str]]:
+    """{task: (path, group)} under the first of the roots that is a folder: at the task's usual place, or any file of its name.
+
+    tasks: {task: (relative path, group)}. Roots come in order of precedence: a user's choice first, then usual places.
+    """
+    root = next((r for r in roots if files.is_dir(spark, r)), None)
+    if root is None:
+        return {}
+    stems = {f.rsplit("/", 1)[1].removesuffix(".jsonl"): f for f in discover(spark, [root]) if f.endswith(".jsonl")}
+    out = {}
+    for task, (relative, group) in tasks.items():
+        usual = f"{root.rstrip('/')}/{relative}"
+        place = usual if files.exists(spark, usual) else stems.get(task)
+        if place:
+            out[task] = (place, group)
+    return out

@@ -124,8 +124,8 @@ class Import:
     ignored: list[str]
 
 
-def import_results(spark: SparkSession, root: str, gold: DataFrame, work: str, model: str | None = None) -> Import:
-    """All results under a folder, scored against gold (dataset, idx, output).
+def import_results(spark: SparkSession, root: str, gold: DataFrame, work: str, model: str | None = None, prefix: str = "bench_") -> Import:
+    """All results under a folder, scored against gold (dataset, idx, output); a dataset is the prefix and its task.
 
     A run is a (model, scope, prompt mode); its id is a hash of root, model and mode, so an import that is repeated
     takes the place of the earlier one (``evaluate.replaced``). The first answer to an index counts, a different second
@@ -145,7 +145,7 @@ def import_results(spark: SparkSession, root: str, gold: DataFrame, work: str, m
     raw = raw.withColumn("of", identity(F.col("file"), root, model))
     top = root.rstrip("/")
     run_root = F.when(F.col("of.scope") == ".", F.lit(top)).when(F.col("of.scope").startswith("/"), F.col("of.scope")).otherwise(F.concat(F.lit(top + "/"), F.col("of.scope")))
-    tagged = {"model_name": F.col("of.model_name"), "root_path": run_root, "dataset": F.concat(F.lit("tsrbench_"), F.col("of.task"))}
+    tagged = {"model_name": F.col("of.model_name"), "root_path": run_root, "dataset": F.concat(F.lit(prefix), F.col("of.task"))}
     broken = raw.filter("error IS NOT NULL").withColumns(tagged).select("model_name", "root_path", "dataset", F.lit("file_error").alias("type"), "file", "item", F.col("error").alias("value"))
     said = fields(raw.filter("raw IS NOT NULL").drop("error").withColumns(tagged))
     said = said.withColumn("run_id", F.substring(F.sha2(F.concat_ws("\n", "root_path", "model_name", "prompt_mode"), 256), 1, 24)).drop("of")

@@ -11,7 +11,7 @@ from quarry.sources import files, offsets, results
 
 @pytest.fixture
 def gold(spark):
-    rows = [("tsrbench_perception", i, x) for i, x in enumerate(["A", "<answer>B</answer>", "C", "D"])] + [("tsrbench_causal_reasoning", 0, "A")]
+    rows = [("bench_perception", i, x) for i, x in enumerate(["A", "<answer>B</answer>", "C", "D"])] + [("bench_causal_reasoning", 0, "A")]
     return spark.createDataFrame(rows, "dataset string, idx long, output string")
 
 
@@ -53,9 +53,9 @@ def test_import(spark, tmp_path, gold):
     r = runs["m1", "unknown"]
     assert (r.expected_rows, r.matched_rows, r.missing_rows, r.correct_rows, r.incorrect_rows, r.unparsed_rows, r.error_rows, r.status, r.files) == (5, 5, 0, 2, 0, 1, 2, "partial", 4)
     answers = {(a.dataset, a.line_index): a for a in got.answers.filter(f"run_id = '{r.run_id}'").collect()}
-    assert answers["tsrbench_perception", 0].correctness == "correct"
-    assert (answers["tsrbench_perception", 1].generation_status, answers["tsrbench_perception", 1].error) == ("error", "conflicting duplicate answers")
-    assert answers["tsrbench_perception", 3].num_tokens == 7
+    assert answers["bench_perception", 0].correctness == "correct"
+    assert (answers["bench_perception", 1].generation_status, answers["bench_perception", 1].error) == ("error", "conflicting duplicate answers")
+    assert answers["bench_perception", 3].num_tokens == 7
     kinds = sorted(d.type for d in got.diagnostics.filter("model_name = 'm1'").collect())
     assert kinds == ["dataset_missing", "duplicate_index", "duplicate_index_conflict", "index_out_of_range", "invalid_index", "invalid_index", "invalid_index"]
     assert [d.type for d in got.diagnostics.filter("model_name <> 'm1'").collect()] == ["dataset_missing"] or [d.type for d in got.diagnostics.filter("root_path LIKE '%m2_x%'").collect()] == ["file_error"]
