@@ -242,7 +242,13 @@ def channel_statistics(spark, sf_dir):
     return rows.select("vec_id", "s.length", *(F.round(f"s.{c}", 9).alias(c) for c in ("min", "max", "mean", "std", "first", "last")))
 
 
-@query()
+@query("""WITH RECURSIVE x AS (SELECT vec_id, list_transform(embedding, lambda v: v::DOUBLE) AS e, len(embedding) AS n, (len(embedding) - 2) / 14.0 AS step FROM embeddings),
+r AS (SELECT vec_id, e, n, step, 0 AS k, 0::BIGINT AS last, [e[1]] AS points FROM x
+UNION ALL SELECT vec_id, e, n, step, k + 1, best.i, list_append(points, e[best.i + 1]) FROM (
+    SELECT *, list_reduce(list_transform(range(lo, greatest(lo + 1, least(hi, n - 1))), lambda i: {'a': abs((last - hi) * (e[i + 1] - e[last + 1]) - (last - i) * (mean - e[last + 1])), 'i': i}), lambda p, q: CASE WHEN q.a > p.a THEN q ELSE p END) AS best
+    FROM (SELECT *, list_sum(e[hi + 1:hi2]) / (hi2 - hi) AS mean FROM (
+        SELECT *, floor(k * step)::BIGINT + 1 AS lo, floor((k + 1) * step)::BIGINT + 1 AS hi, least(floor((k + 2) * step)::BIGINT + 1, n) AS hi2 FROM r WHERE k < 14))))
+SELECT vec_id, list_append(points, e[n]) AS points FROM r WHERE k = 14""")
 def downsampled_series(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", series.downsampled(F.col("embedding"), 16).alias("points"))
 
@@ -351,9 +357,16 @@ def scaled_series(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", F.round(F.aggregate(z, F.lit(0.0), lambda s, v: s + F.abs(v)), 6).alias("total"))
 
 
+def _load() -> None:
+    """The other module of queries registers its own here."""
+    from . import more_queries  # noqa: F401
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(SQL)

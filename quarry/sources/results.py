@@ -53,9 +53,9 @@ def identity(path: Column, root: str, model: str | None = None) -> Column:
     return F.when(at.isNotNull(), told(folders, at))
 
 
-def result_files(spark: SparkSession, root: str, model: str | None = None) -> DataFrame:
+def result_files(spark: SparkSession, root: str, model: str | None = None, names: str = NAMES) -> DataFrame:
     """file, size, modified and identity of all result files under a folder (or of one file). No content is read."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", NAMES).load(root)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", names).load(root)
     return found.select(F.col("path").alias("file"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"), identity(F.col("path"), root, model).alias("of"))
 
 
@@ -124,14 +124,14 @@ class Import:
     ignored: list[str]
 
 
-def import_results(spark: SparkSession, root: str, gold: DataFrame, work: str, model: str | None = None, prefix: str = "bench_") -> Import:
+def import_results(spark: SparkSession, root: str, gold: DataFrame, work: str, model: str | None = None, prefix: str = "bench_", names: str = NAMES) -> Import:
     """All results under a folder, scored against gold (dataset, idx, output); a dataset is the prefix and its task.
 
     A run is a (model, scope, prompt mode); its id is a hash of root, model and mode, so an import that is repeated
     takes the place of the earlier one (``evaluate.replaced``). The first answer to an index counts, a different second
     one makes it an error. work: a new folder for the scored rows, which are made once.
     """
-    found = result_files(spark, root, model).collect()  # one row a file
+    found = result_files(spark, root, model, names).collect()  # one row a file
     if not found:
         raise FileNotFoundError(f"no result files under {root}")
     ignored = sorted(r.file for r in found if r.of is None)
