@@ -68,10 +68,8 @@ def taxonomy(spark: SparkSession) -> DataFrame:
 
 
 def has_any(text: Column, patterns: tuple[str, ...]) -> Column:
-    out = text.rlike(f"(?Uis){patterns[0]}")
-    for p in patterns[1:]:
-        out = out | text.rlike(f"(?Uis){p}")
-    return out
+    """Whether any pattern is found: all of them as one pattern, so a text is gone through once."""
+    return text.rlike("(?Uis)" + "|".join(f"(?:{p})" for p in patterns))
 
 
 def decide(source: Column, task: Column, prompt: Column) -> Column:
@@ -79,8 +77,13 @@ def decide(source: Column, task: Column, prompt: Column) -> Column:
 
     Null prompts match no rule. Rows of any number are decided independently of each other, in one projection.
     """
-    text = F.lower(F.coalesce(prompt, F.lit("")))
     said = F.lower(F.trim(F.coalesce(task, F.lit(""))))
+    asked = F.coalesce(prompt, F.lit(""))
+    # Texts are made once, however many patterns look at them.
+    return bind(F.struct(asked.alias("asked"), F.lower(asked).alias("text"), said.alias("said")), lambda x: _decide(source, x["said"], x["asked"], x["text"]))
+
+
+def _decide(source: Column, said: Column, asked: Column, text: Column) -> Column:
     hits: list[Column] = []
 
     def hit(when: Column, order: int, label: str, score: float, reason: str) -> None:
@@ -95,7 +98,7 @@ def decide(source: Column, task: Column, prompt: Column) -> Column:
     for i, (label, score, reason, patterns) in enumerate(KEYWORDS):
         hit(has_any(text, patterns), len(PRIORS) + i, label, score, reason)
     best = lambda found: F.transform(F.array_distinct(F.transform(found, lambda h: h["label"])), lambda x: F.struct((-F.array_max(F.transform(F.filter(found, lambda h: h["label"] == x), lambda h: h["score"]))).alias("minus"), x.alias("label")))
-    several = question_count(F.coalesce(prompt, F.lit(""))) > 1
+    several = question_count(asked) > 1
     return bind(F.array_compact(F.array(*hits)), lambda found: bind(F.array_sort(best(found)), lambda ranked: _decision(found, ranked, forced, several, said)))
 
 
