@@ -180,7 +180,7 @@ def answer_class(output: Column) -> Column:
 def choice(text: Column) -> Column:
     """The letter A to G that an answer names, or null: a JSON or literal dictionary's answer, else four patterns."""
     said = F.regexp_replace(strip(text), r"(?Ui)^```(?:json|python)?\s*|\s*```$", "")
-    dictionary = F.when(said.rlike(r"(?Us)^\{.*\}$"), F.upper(F.nullif(F.regexp_extract(F.coalesce(F.nullif(F.get_json_object(said, "$.answer"), F.lit("")), F.regexp_extract(said, r"(?U)'answer'\s*:\s*'([^']*)'", 1)), r"(?i)[A-G]", 0), F.lit(""))))
+    dictionary = F.when(said.rlike(r"(?Us)^\{.*\}$"), F.upper(F.nullif(F.regexp_extract(F.coalesce(F.nullif(F.get_json_object(said, "$.answer"), F.lit("")), F.regexp_extract(said, r"(?U)['\"]answer['\"]\s*:\s*['\"]([^'\"]*)['\"]", 1)), r"(?i)[A-G]", 0), F.lit(""))))
     found = [F.upper(F.nullif(F.regexp_extract(said, p, 1), F.lit(""))) for p in CHOICE_PATTERNS]
     return F.when(said != "", F.coalesce(dictionary, *found))
 

@@ -42,8 +42,12 @@ def payload(model: str, system: str, user: str, most: int, thinking: str | None
     return out
 
 
-def answered(df: DataFrame, client: Client, key: str, payload: str, concurrency: int = 8, batch: int = 8, retries: int = 2, longest_wait: float = 4.0) -> DataFrame:
-    """key, reply and error (one of them null), with retries after 1, 2, 4 ... seconds, bounded."""
+def answered(df: DataFrame, client: Client, key: str, payload: str, concurrency: int = 8, batch: int = 8, retries: int = 2, longest_wait: float = 4.0, details: bool = False) -> DataFrame:
+    """key, reply and error (one of them null), with retries after 1, 2, 4 ... seconds, bounded.
+
+    A client may reply by a dictionary of content, reasoning and usage. With details there are also reasoned (whether the
+    model gave its reasoning, which itself is never kept) and usage (JSON).
+    """
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,11 +69,23 @@ def answered(df: DataFrame, client: Client, key: str, payload: str, concurrency:
                         break
                     if k < retries:
                         time.sleep(min(2.0**k, longest_wait))
-                reply = [None if isinstance(r, Exception) else r for r in got]
+                told = [r if isinstance(r, dict) else {"content": r} for r in got]
+                reply = [None if isinstance(r, Exception) else t.get("content") for r, t in zip(got, told, strict=True)]
                 error = [str(r) if isinstance(r, Exception) else None for r in got]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(reply, pa.string()), pa.array(error, pa.string())], names=[key, "reply", "error"])
+                columns = [part.column(0), pa.array(reply, pa.string()), pa.array(error, pa.string())]
+                if details:
+                    columns.append(pa.array([bool(t.get("reasoning")) for t in told], pa.bool_()))
+                    columns.append(pa.array([json.dumps(t["usage"], sort_keys=True) if t.get("usage") else None for t in told], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=[key, "reply", "error", *(["reasoned", "usage"] if details else [])])
+
+    more = ", reasoned boolean, usage string" if details else ""
+    return df.select(key, payload).repartition(concurrency, key).mapInArrow(run, f"{key} {kind}, reply string, error string{more}")
+
 
-    return df.select(key, payload).repartition(concurrency, key).mapInArrow(run, f"{key} {kind}, reply string, error string")
+def token_usage(replies: DataFrame) -> DataFrame:
+    """Tokens by kind over all replies (of ``answered`` with details)."""
+    pairs = F.explode(F.map_entries(F.from_json("usage", "map<string,long>")))
+    return replies.select(pairs.alias("u")).groupBy(F.col("u.key").alias("kind")).agg(F.sum("u.value").alias("tokens"))
 
 
 def resumed(df: DataFrame, cache: DataFrame, client: Client, key: str, payload: str, **options) -> DataFrame:

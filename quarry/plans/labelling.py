@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..operators import calls, cluster, prompts, resolve
 from ..sources import files
+from ..sources.readers import strict_json
 
 
 @dataclass(frozen=True)
@@ -28,6 +29,18 @@ class Labels:
         return self.rows.removesuffix("/") + ".errors"
 
 
+def rows_of(raw: DataFrame) -> DataFrame:
+    """What ``planned`` takes from raw lines (line_number, raw): question and answer by the names that records use, and why a
+    line can't be labelled."""
+    read = raw.withColumns({"_bad": strict_json(F.col("raw")), "_m": F.from_json("raw", "map<string,string>")})
+    names = ("input", "question", "query", "context", "context_text", "output", "response", "answer", "sample_id", "id")
+    wide = read.select("line_number", "_bad", *(F.col("_m")[n].alias(n) for n in names))
+    question, answer = text.question_answer(list(names))
+    reason = F.coalesce(F.col("_bad"), F.when(text.strip(F.coalesce(question, F.lit(""))) == "", "missing question"), F.when(text.strip(F.coalesce(answer, F.lit(""))) == "", "missing answer"))
+    filled = lambda c: F.nullif(F.col(c), F.lit(""))
+    return wide.select("line_number", F.coalesce(filled("sample_id"), filled("id")).alias("record_id"), question.alias("question"), answer.alias("answer"), reason.alias("reason"))
+
+
 CACHE = "template_id string, quality string, difficulty string, reason string, member_count long, model string, prompt_version string"
 ROW = "record_id string, line_number long, input_hash string, template_id string, quality string, difficulty string, reason string, model string, prompt_version string"
 

@@ -198,6 +198,25 @@ def write_reports(rows: DataFrame, out: str) -> dict:
     return summary
 
 
+def merge_all(samples: DataFrame, taxonomy: DataFrame, quality: DataFrame, out: str, sample: list[str], inputs: Iterable[str] = (), strict: Strict = Strict(), raw: DataFrame | None = None, with_samples: bool = True) -> dict:  # noqa: B008
+    """Annotates the samples of all sources in one job, writes them and the reports, and returns the summary.
+
+    inputs: the files that this is made from. If their signatures are those of the last merge into this folder, it isn't
+    made again. Each merge is a folder of its own; the manifest, replaced at the end, names the current one.
+    """
+    spark = samples.sparkSession
+    place, inputs = f"{out}/manifest.json", list(inputs)
+    now = [files.signature(spark, p) for p in inputs]
+    have = json.loads(files.read_text(spark, place)) if files.exists(spark, place) else {}
+    if inputs and have.get("signatures") == now and files.exists(spark, have.get("folder", out)):
+        return have["summary"]
+    folder = f"{out}/merge-{1 + max((int(n.split('-')[1]) for n in files.listed(spark, out) if n.startswith('merge-')), default=0)}"
+    rows = write_annotated(annotated(samples, taxonomy, quality, strict, raw), sample, folder, with_samples)
+    summary = write_reports(rows, f"{folder}/reports")
+    files.write_text(spark, place, json.dumps({"signatures": now, "folder": folder, "summary": summary}, ensure_ascii=False, indent=2, sort_keys=True))
+    return summary
+
+
 def missing_inputs(spark: SparkSession, paths: dict[str, dict[str, str | None]]) -> list[dict]:
     """A dry run: for each source, which of its named paths exist (a path that isn't given is no lack)."""
     return [{"dataset": name, "paths": own, "exists": {k: v is None or files.exists(spark, v) for k, v in own.items()}} for name, own in paths.items()]

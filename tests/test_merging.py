@@ -7,7 +7,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
-from quarry.functions import rules, text
+from quarry.functions import records, rules, text
 from quarry.operators import calls, prompts
 from quarry.plans import labelling, merging
 
@@ -186,3 +186,44 @@ def test_translation(spark, tmp_path):
     assert again == {1: True, 2: True, 3: None, 4: None, 5: None}
     key = spark.range(1).select(prompts.translation_key("m", F.create_map(F.lit("b"), F.lit("é"), F.lit("a"), F.lit("x"))).alias("k")).first().k
     assert key == hashlib.sha256('m\n{"a":"x","b":"é"}'.encode()).hexdigest()
+
+
+def test_merge_resumes(spark, tmp_path):
+    samples, taxonomy, quality = inputs(spark)
+    (tmp_path / "in").write_text("1")
+    make = lambda: merging.merge_all(samples, taxonomy, quality, str(tmp_path / "o"), ["input", "output"], [str(tmp_path / "in")])
+    assert make() == make()
+    assert [p.name for p in (tmp_path / "o").iterdir() if p.name.startswith("merge-")] == ["merge-1"]
+    (tmp_path / "in").write_text("12")
+    assert make()["sources"][0]["total_rows"] == 5
+    assert sorted(p.name for p in (tmp_path / "o").iterdir() if p.name.startswith("merge-")) == ["merge-1", "merge-2"]
+
+
+def test_raw_rows(spark):
+    lines = [{"question": "q", "answer": "a", "context": "c"}, {"input": "i", "output": "o", "context": "c", "id": 7}, {"question": " ", "answer": "a"}, {"query": "q"}, "x"]
+    raw = spark.createDataFrame([(k, json.dumps(x)) for k, x in enumerate(lines, 1)] + [(9, "{broken")], "line_number long, raw string")
+    got = {r.line_number: (r.record_id, r.question, r.answer, r.reason) for r in labelling.rows_of(raw).collect()}
+    assert got[1] == (None, "Context:\nc\n\nQuestion:\nq", "a", None)
+    assert got[2] == ("7", "i", "o", None)
+    assert [got[k][3] for k in (3, 4, 5, 9)] == ["missing question", "missing answer", "not an object", "JSONDecodeError"]
+
+
+def test_details_of_replies(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, payload string")
+
+    def client(payloads):
+        return [{"content": p, "reasoning": "long" if p == "a" else "", "usage": {"prompt": 2, "completion": 1}} if p != "c" else p for p in payloads]
+
+    out = calls.answered(df, client, "k", "payload", concurrency=1, details=True)
+    assert sorted((r.k, r.reply, r.reasoned, r.usage is None) for r in out.collect()) == [(1, "a", True, False), (2, "b", False, False), (3, "c", False, True)]
+    assert {r.kind: r.tokens for r in calls.token_usage(out).collect()} == {"prompt": 4, "completion": 2}
+
+
+def test_records(spark):
+    raw = spark.createDataFrame([('{"b": 1.0, "a": [1e5, "é"]}',), ("{broken",), (None,), ('{"a": NaN}',)], "raw string")
+    got = raw.select(records.canonical(F.col("raw")).alias("c"), records.canonical(F.col("raw"), True).alias("f"), records.compact(F.col("raw")).alias("k"), records.record_hash(F.col("raw")).alias("h")).collect()
+    assert [r.c for r in got] == ['{"a":[100000.0,"é"],"b":1.0}', None, None, '{"a":NaN}']
+    assert [r.f for r in got][3] is None and got[0].k == '{"b":1.0,"a":[100000.0,"é"]}'
+    assert got[0].h == hashlib.sha256(got[0].k.encode()).hexdigest() and got[1].h is None
+    letters = spark.range(1).select(*(text.choice(F.lit(x)).alias(f"c{i}") for i, x in enumerate(("{'answer': \"B\"}", '{"answer": "C"}', "{'answer': 'd'}")))).first()
+    assert list(letters) == ["B", "C", "D"]
