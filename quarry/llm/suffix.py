@@ -357,6 +357,63 @@ def _sorted_tiles(texts: DataFrame, reps: DataFrame, least: int) -> DataFrame:
     return few.union(each.join(twice, ["window", "other"]).select("id", "start", F.lit(least).alias("length")))
 
 
+def groups(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
+    """Repeat groups with all their occurrences: group (long), length, key, start (bytes), one row an occurrence.
+
+    A group is a maximal repeat within the tiles of one gram (a repeat that is longer than a tile comes as the chain of its
+    tiles' groups). Equal tiles are sorted once and joined back, equal texts too, so copies cost no more than their rows.
+    Of a gram with over SORTED different tiles the groups are the repeated strings of ``least`` bytes.
+    """
+    bound_batches(df.sparkSession)
+    own, _ = identified(df, F.col(text), least)
+    docs = materialize(df.select(F.col(key).alias("key"), own.alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")))
+    rows = materialize(_tile_rows(docs.select("id", "text"), least, {}).drop("salt").distinct())
+    tiles_ = rows.groupBy("gram", "tile").agg(F.count("*").alias("c"), F.min(F.struct("id", "start", "n")).alias("r"))
+    per = tiles_.groupBy("gram").agg(F.count("*").alias("different"))
+    reps = materialize(tiles_.join(per.filter("different > 1"), "gram").select("gram", "tile", "r.*", (F.col("different") > SORTED).alias("big"), (F.col("c") > 1).alias("twice")))
+    asked = reps.groupBy("id").agg(F.collect_list(F.struct("gram", "tile", "start", "n", "big", "twice")).alias("asked"))
+    one = docs.select("id", "text").groupBy("id").agg(F.first("text").alias("text"))
+    piece = F.expr(f"substring(cast(text as binary), a.start + 1, a.n - 1 + {least})")
+    held = one.join(asked, "id").select("text", F.explode("asked").alias("a")).select("a.gram", "a.tile", "a.n", "a.big", piece.alias("bytes"), "a.twice")
+    held = held.repartition(partitions(df.sparkSession), "gram").sortWithinPartitions("gram", "tile")
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gram, mine = None, []
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("gram", "tile", "n", "big", "bytes", "twice")), strict=True):
+                if row[0] != gram:
+                    if mine:
+                        yield told(gram, mine)
+                    gram, mine = row[0], []
+                if row[3]:  # window by window; equal ones meet by their hashes
+                    yield windows(*row[:5])
+                else:
+                    mine += [row] * (2 if row[5] else 1)  # a tile with copies repeats by itself
+        if mine:
+            yield told(gram, mine)
+
+    def told(gram: int, mine: list[tuple]) -> pa.RecordBatch:
+        found = list(maximal_repeats([x[4] for x in mine], [x[2] for x in mine], least))
+        return record([(gram, k, length, tile, p) for k, (length, where) in enumerate(found) for tile, p in {(mine[i][1], p) for i, p in where}])
+
+    def windows(gram: int, tile: int, n: int, big: bool, raw: bytes) -> pa.RecordBatch:
+        hashes = window_hashes(np.frombuffer(raw, np.uint8), least, _OTHER).view(np.int64)[:n]
+        return record([(gram, int(h), least, tile, p) for p, h in enumerate(hashes)])
+
+    def record(out: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*out, strict=True)) or [[]] * 5
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()), strict=True)], names=["gram", "number", "length", "tile", "place"])
+
+    shared = held.mapInArrow(tidy(scan), "gram long, number long, length int, tile long, place int")
+    lone = tiles_.filter("c > 1").join(per.filter("different = 1"), "gram")
+    whole = lone.select("gram", F.lit(-1).cast("long").alias("number"), (F.col("r.n") - 1 + least).cast("int").alias("length"), "tile", F.lit(0).alias("place"))
+    named = shared.withColumn("group", F.xxhash64("gram", "number")).union(whole.withColumn("group", F.xxhash64("gram", "number", "tile")))
+    met = named.join(rows.select("gram", "tile", "id", "start"), ["gram", "tile"]).select("group", "length", "id", (F.col("start") + F.col("place")).alias("start"))
+    every = met.join(docs.select("key", "id"), "id").select("group", "length", F.col("key").alias(key), "start")
+    several = every.groupBy("group").agg(F.count("*").alias("_c")).filter("_c > 1").select("group")
+    return every.join(several, "group")
+
+
 def repeated(df: DataFrame, text: str = "text", least: int = LEAST) -> tuple[Column, DataFrame]:
     """The id of a text as a Column, and id and spans (array of start and length, bytes) of texts with repeated bytes."""
     bound_batches(df.sparkSession)

@@ -123,3 +123,27 @@ def test_only_whole_characters_go(spark):
     assert got == {1: "aééb", 2: "cũêd", 3: "clean"}
     kept = {r.doc_id: bytes(r.kept) for r in suffix.deduplicate(df).collect()}
     assert kept[1] == "aé".encode()[:2] + "é".encode()[1:] + b"b"
+
+
+@pytest.mark.parametrize("most", [20_000, 2])
+def test_groups_hold_all_occurrences(spark, most, monkeypatch):
+    monkeypatch.setattr(suffix, "SORTED", most)
+    rows = corpus(2)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = suffix.groups(df).collect()
+    raw = {d: (t or "").encode() for d, t in rows}
+    found = {}
+    for r in out:
+        found.setdefault((r.group, r.length), set()).add((r.doc_id, r.start))
+    masks = {d: bytearray(len(t)) for d, t in raw.items()}
+    for (_, n), where in found.items():
+        (said,) = {raw[d][p : p + n] for d, p in where}
+        assert len(said) == n >= 200 and len(where) > 1
+        every = {(d, p) for d, t in raw.items() for p in range(len(t) - n + 1) if t[p : p + n] == said}
+        assert where == every
+        for d, p in where:
+            masks[d][p : p + n] = b"\1" * n
+    want = brute(list(raw.values()), 200)
+    copied = [list(raw.values()).count(t) > 1 for t in raw.values()]
+    for d, w, c in zip(raw, want, copied, strict=True):
+        assert bytes(masks[d]) == bytes(w), (d, c)
