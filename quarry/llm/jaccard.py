@@ -108,7 +108,7 @@ def frequent(own: DataFrame) -> tuple[dict[int, int], float]:
     """Counts of the most frequent shingles, and the mean length of the list that another shingle of a prefix is in."""
     once = materialize(own.filter(F.size("prefix") > 0).groupBy("node").agg(F.any_value("prefix").alias("prefix")), release=True)
     counts = once.select(F.explode("prefix").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("c")).filter("c > 1")
-    counts = materialize(counts, release=True)
+    counts = materialize(counts, release=True, few=True)
     top = counts.filter(F.col("c") >= FREQUENT).orderBy(F.desc("c"), "shingle").limit(AT_MOST).toPandas()
     rows = once.agg(F.sum(F.size("prefix"))).first()[0] or 0
     few = F.when(F.col("c") < FREQUENT, F.col("c"))
@@ -233,9 +233,9 @@ def _links(df: DataFrame, key: str, text: str, own: DataFrame, asked: DataFrame)
     The texts of the nodes asked for, and only these, go to their leaders' tasks. Without roles 2 all members are
     compared with each other; else those of role 2 with those of role 1.
     """
-    asked = materialize(asked, release=True)
+    asked = materialize(asked, release=True, few=True)
     some = own.join(asked.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("key").isNull().alias("none"), F.col("key").alias("key"))).alias("k")).select("node", F.xxhash64("k.key").alias("h"))
-    some = materialize(some)
+    some = materialize(some, few=True)
     docs = df.select(F.xxhash64(F.col(key)).alias("h"), F.col(text).alias("text"))
     docs = docs.filter(KeyFilter(some.select("h")).may_have(F.col("h"), F.xxhash64("h", "text")))
     rows = asked.join(some, "node").join(docs, "h").select("node", "leader", "salt", "role", "text")
@@ -332,7 +332,7 @@ def join(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     often = met.filter("salt >= 0").select("bucket", "node", "n", F.floor(F.log(1.25, "n")).alias("class")).distinct()
     heads = often.groupBy("bucket", "class").agg(F.min(F.struct("n", "node")).alias("top")).select("bucket", "class", F.col("top.node").alias("leader"))
     often = often.withColumn("class", F.explode(F.array("class", F.col("class") - 1))).join(heads, ["bucket", "class"]).filter("leader <> node").select("leader", "node", "n")
-    stars = materialize(met.filter("salt < 0 AND leader <> node").select("leader", "node", "n").union(often).distinct(), release=True)
+    stars = materialize(met.filter("salt < 0 AND leader <> node").select("leader", "node", "n").union(often).distinct(), release=True, few=True)
     each = stars.groupBy("leader").agg(F.ceil(F.greatest(F.count("*") / DEALT, F.sum("n") / HELD)).cast("int").alias("salts"))
     salt = F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt")
     members = stars.join(each, "leader").select("node", "leader", salt, F.lit(1).alias("role"))

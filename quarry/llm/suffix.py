@@ -119,7 +119,7 @@ def identified(df: DataFrame, text: Column, least: int) -> tuple[Column, DataFra
     first, second = F.xxhash64(said), F.xxhash64(F.lit(1), said)
     sizes = df.select(first.alias("id"), second.alias("second"), F.octet_length(said).alias("size")).filter(F.col("size") >= least)
     told = [F.count("*").alias("c"), F.max("size").alias("length")]
-    copies = materialize(sizes.groupBy("id").agg(*told, (F.min("second") != F.max("second")).alias("clash")).filter("c > 1"))
+    copies = materialize(sizes.groupBy("id").agg(*told, (F.min("second") != F.max("second")).alias("clash")).filter("c > 1"), few=True)
     clashes = [r["id"] for r in copies.filter("clash").select("id").limit(CLASHES + 1).collect()]
     if len(clashes) > CLASHES:
         raise ValueError("too many different texts share a 64-bit hash")
@@ -425,7 +425,7 @@ def repeated(df: DataFrame, text: str = "text", least: int = LEAST) -> tuple[Col
     has_rep = KeyFilter(reps.select("id").distinct()).may_have(F.col("id"))
     more = _sorted_tiles(docs.filter(has_rep), reps, least)
     spans = copies.select("id", F.lit(0).alias("start"), "length").union(whole).union(more)
-    return own, materialize(spans.groupBy("id").agg(F.collect_list(F.struct("start", "length")).alias("spans")), release=True)
+    return own, materialize(spans.groupBy("id").agg(F.collect_list(F.struct("start", "length")).alias("spans")), release=True, few=True)
 
 
 def _united(spans: list[dict]) -> list[tuple[int, int]]:
