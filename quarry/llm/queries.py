@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontam, html, jaccard, packing, quality, sharding, suffix, wavelet
+from . import ann, chat, crosstok, decontam, harmonic, html, jaccard, packing, quality, repair, sharding, suffix, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -122,6 +122,21 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (F.size("m") > 0).alias("contaminated"), items.alias("item_ids"), F.aggregate("m", F.lit(0), lambda n, m: n + m["length"]).cast("long").alias("matched_chars"))
 
 
+def op11_crosstok(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two vocabularies' tokens lie over every document, and how common its pairs of ids are."""
+    return crosstok.align(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+def op12_harmonic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 4096 tokens, by reciprocal classes of lengths."""
+    return harmonic.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), 4096)
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged and mended by the cheapest edits."""
+    return repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 # What the rules come to on pages that mark their article with the element, free of boilerplate, with plain references.
 OP4_SQL = r"""
 SELECT page_id, url, body AS "text", length(body) AS n_chars FROM (
@@ -174,9 +189,49 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITI
 """
 
 
+def _least(*states: str) -> str:
+    return f"list_sort([{', '.join(states)}])[1]"
+
+
+def _edit(state: str, cost: str, letter: str, line: str | None = None) -> str:
+    """A state after one more edit."""
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {state}.t" + (f" || chr(10) || {line}" if line else "") + "}"
+
+
+def _op13_sql() -> str:
+    """The edits by states, row after row: of each state the least (cost, audit) with the lines so far."""
+    insert = lambda q, role: _edit(q, "2", "I", f"'{role}:'")
+    keep = lambda q, initial: f"CASE WHEN init = '{initial}' AND fault < 2 THEN {_edit(q, 'fault', 'K', 'role || chr(58) || body')} ELSE {none} END"
+    rerole = lambda q, role: f"CASE WHEN fault < 2 THEN {_edit(q, '2 + fault', 'R', f'{chr(39)}{role}:{chr(39)} || body')} ELSE {none} END"
+    drop = lambda q: _edit(q, "3", "D")
+    none = "{'c': 1000000000::BIGINT, 'a': '', 't': ''}"
+    inserted = f"SELECT * EXCLUDE (s2, s3), e2, {_least('s3', insert('e2', 'assistant'))} AS e3 FROM (SELECT *, {_least('s2', *(insert(q, 'user') for q in ('s0', 's1', 's3')))} AS e2 FROM"
+    before_user, before_assistant = ("s0", "s1", "e3"), ("e2",)
+    return f"""
+WITH RECURSIVE b AS (SELECT i, i AS c, 0 AS k FROM range(256) r(i) UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM b WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM b WHERE k = 8),
+h AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce("text", ' ') AS body, hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))) AS h FROM conversations),
+d AS (SELECT * EXCLUDE (h), xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, len(h), 2), lambda i: ('0x' || h[i:i + 1])::BIGINT)), lambda x, y: xor(x >> 8, crc.t[(xor(x, y) & 255) + 1])), 4294967295) % 20 AS fate FROM h, crc),
+e AS (SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role, CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(body, '[.!?]', '', 'g') ELSE body END AS body, unnest(CASE WHEN fate = 3 THEN [0, 1] ELSE [0] END) AS twice FROM d WHERE fate <> 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(body), twice) AS pos FROM e),
+f AS (SELECT *, left(role, 1) AS init, CASE WHEN NOT regexp_matches(body, '[^\x20\x09-\x0D]') THEN 3 WHEN row_number() OVER (PARTITION BY conv_id, role, body ORDER BY pos) > 1 THEN 2
+    WHEN NOT regexp_matches(body, '[.!?][\x20\x09-\x0D]*$') THEN 1 ELSE 0 END AS fault, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS prior FROM n),
+g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 3) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 1) AS truncated,
+    count(*) FILTER (pos > 1 AND prior || init NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM f GROUP BY conv_id),
+w AS (SELECT conv_id, 0 AS i, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS s0, {none} AS s1, {none} AS s2, {none} AS s3 FROM g
+    UNION ALL SELECT conv_id, i + 1, {drop('s0')}, {_least(drop('s1'), keep('s0', 's'))}, {_least(drop('e2'), *(x for q in before_user for x in (keep(q, 'u'), rerole(q, 'user'))))},
+        {_least(drop('e3'), *(x for q in before_assistant for x in (keep(q, 'a'), rerole(q, 'assistant'))))}
+    FROM ({inserted} (SELECT w.*, f.role, f.body, f.init, f.fault FROM w JOIN f ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND f.pos = w.i + 1)))),
+z AS (SELECT conv_id, i, {_least('s0', 'e3')} AS z FROM ({inserted} (SELECT * FROM w))))
+SELECT o.conv_id, coalesce(g.gaps, 0) AS gaps, coalesce(g.blank, 0) AS blank, coalesce(g.duplicate, 0) AS duplicate, coalesce(g.truncated, 0) AS truncated, coalesce(g.illegal, 0) AS illegal,
+    coalesce(z.z.c, 0) AS cost, coalesce(z.z.a, '') AS audit, sha256(coalesce(substr(z.z.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN g ON o.conv_id IS NOT DISTINCT FROM g.conv_id LEFT JOIN z ON o.conv_id IS NOT DISTINCT FROM z.conv_id AND z.i = g.n
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_chat": op1_chat, "op2_suffix": op2_suffix, "op3_ann": op3_ann, "op4_html": op4_html, "op5_packing": op5_packing, "op6_jaccard": op6_jaccard, "op7_sharding": op7_sharding, "op8_wavelet": op8_wavelet, "op9_quality": op9_quality, "op10_decontamination": op10_decontamination}
+    return {"op1_chat": op1_chat, "op2_suffix": op2_suffix, "op3_ann": op3_ann, "op4_html": op4_html, "op5_packing": op5_packing, "op6_jaccard": op6_jaccard, "op7_sharding": op7_sharding, "op8_wavelet": op8_wavelet, "op9_quality": op9_quality, "op10_decontamination": op10_decontamination, "op11_crosstok": op11_crosstok, "op12_harmonic": op12_harmonic, "op13_repair": op13_repair}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat": OP1_SQL, "op4_html": OP4_SQL, "op6_jaccard": OP6_SQL, "op7_sharding": OP7_SQL}
+    return {"op1_chat": OP1_SQL, "op4_html": OP4_SQL, "op6_jaccard": OP6_SQL, "op7_sharding": OP7_SQL, "op13_repair": _op13_sql()}
