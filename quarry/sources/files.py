@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -73,3 +75,34 @@ def write_text(spark: SparkSession, path: str, parts: str | Iterable[str]) -> No
         system.delete(place, False)
     if not system.rename(aside, place):
         raise OSError(f"can't write {path}")
+
+
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a new file whole, in one step that only one of several writers can win; False where it is there already.
+
+    Local and shared folders: written aside and linked. Other stores: written aside and renamed without overwriting, which
+    is one step where the store's renames are (object stores need a file system whose renames are conditional).
+    """
+    place, system = _place(spark, path)
+    jvm = spark.sparkContext._jvm
+    if system.exists(place):
+        return False
+    aside = jvm.org.apache.hadoop.fs.Path(place.getParent(), f".{place.getName()}.{uuid.uuid4().hex}")
+    stream = system.create(aside, False)
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+    try:
+        if system.getUri().getScheme() == "file":
+            at = lambda p: jvm.java.nio.file.Paths.get(system.makeQualified(p).toUri())
+            jvm.java.nio.file.Files.createLink(at(place), at(aside))
+        else:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+            options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            context.rename(aside, place, options)
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    finally:
+        system.delete(aside, False)

@@ -10,10 +10,11 @@ from __future__ import annotations
 import json
 import re
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import files
+from . import files, records
 
 TOKEN = re.compile(rb'"(?:[^"\\]|\\.)*+"|[\[\]{},]', re.S)
 BOM = b"\xef\xbb\xbf"
@@ -64,11 +65,15 @@ def array_places(data: bytes) -> list[tuple[int, int]]:
 
 
 def array_index(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """The same index of files that are one JSON array each; such a file is read whole by one task."""
-
-    @F.udf("array<struct<byte_offset:long,byte_length:long>>")
-    def places(data):
-        return array_places(bytes(data))
+    """The same index of files that are one JSON array each, split over tasks (``records``). In stores that Arrow's file
+    systems don't know, a file is read whole by one task."""
+    if all(records.reaches(p) for p in ([path] if isinstance(path, str) else path)):
+        return records.records(spark, path, "array")
+
+    @F.arrow_udf("array<struct<byte_offset:long,byte_length:long>>")
+    def places(data: pa.Array) -> pa.Array:
+        found = [[{"byte_offset": o, "byte_length": n} for o, n in array_places(x.as_py())] for x in data]
+        return pa.array(found, pa.list_(pa.struct([("byte_offset", pa.int64()), ("byte_length", pa.int64())])))
 
     found = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), F.posexplode(places("content")).alias("line_index", "p"))
     return found.select("file", F.col("line_index").cast("long").alias("line_index"), "p.byte_offset", "p.byte_length")
