@@ -17,8 +17,7 @@ def parsed_vote(reply: Column) -> Column:
     label, fit = vote["primary_label"], vote["taxonomy_fit"]
     second = F.coalesce(vote["secondary_labels"], F.array().cast("array<string>"))
     sure = F.when(vote["confidence"].isNull(), 0.0).otherwise(vote["confidence"].try_cast("double"))
-    known = F.array(*map(F.lit, rules.LABELS))
-    good = vote.isNotNull() & fit.isin(*rules.FITS) & (label.isNull() | label.isin(*rules.LABELS)) & F.forall(second, lambda x: F.array_contains(known, x)) & F.coalesce(sure.between(0, 1), F.lit(False))
+    good = vote.isNotNull() & fit.isin(*rules.FITS) & (label.isNull() | label.isin(*rules.LABELS)) & _known_labels(second) & F.coalesce(sure.between(0, 1), F.lit(False))
     return F.when(good, F.struct(label.alias("primary_label"), F.array_sort(F.array_distinct(F.filter(second, lambda x: label.isNull() | (x != label)))).alias("secondary_labels"), fit.alias("taxonomy_fit"), sure.alias("confidence"), F.substring(F.coalesce(vote["rationale"], F.lit("")), 1, 1000).alias("rationale")))
 
 
@@ -34,21 +33,40 @@ QUALITY = ("unusable", "weak", "acceptable", "good", "excellent")
 DIFFICULTY = ("very_easy", "easy", "moderate", "hard", "very_hard")
 
 
-def human_labels(sheet: DataFrame) -> DataFrame:
-    """A review sheet's rows: blank fits are left out, null words read as null, secondaries split, sorted, less the primary."""
-    clean = lambda c: F.when(F.lower(F.trim(c)).isin("", "none", "null"), None).otherwise(F.trim(c))
-    rows = sheet.withColumn("fit", F.trim(F.coalesce("human_taxonomy_fit", F.lit("")))).filter("fit <> ''")
-    label = F.when(F.col("fit") == "out_of_scope", None).otherwise(clean(F.col("human_primary_label")))
-    second = F.filter(F.split(F.coalesce("human_secondary_labels", F.lit("")), r"[\s,;|]+"), lambda x: x != "")
-    return rows.select("cluster_id", label.alias("primary_label"), F.array_sort(F.array_distinct(F.filter(second, lambda x: label.isNull() | (x != label)))).alias("secondary_labels"), F.col("fit").alias("taxonomy_fit"))
+def human_labels(sheet: DataFrame, order: Column | None = None) -> DataFrame:
+    """A review sheet's rows: blank fits are left out, null words read as null, secondaries split, sorted, less the primary.
+
+    An unknown fit, label or secondary label fails the job. Of several rows of a cluster the last one counts, by order or
+    else as the sheet was read. Without a column of rationales or reviewers these are empty.
+    """
+    told = lambda c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) if c in sheet.columns else F.lit("")
+    rows = sheet.withColumn("_at", F.monotonically_increasing_id() if order is None else order)
+    rows = rows.withColumns({"fit": told("human_taxonomy_fit"), "label": told("human_primary_label"), "second": told("human_secondary_labels"), "rationale": told("human_rationale"), "reviewer": told("reviewer")}).filter("fit <> ''")
+    rows = _refused(rows, ~F.col("fit").isin(*rules.FITS), "invalid human taxonomy_fit: ", F.col("fit"))
+    rows = rows.withColumn("label", F.when(~F.lower("label").isin("", "none", "null"), F.col("label")))
+    rows = _refused(rows, F.col("label").isNotNull() & ~F.col("label").isin(*rules.LABELS), "invalid human primary_label: ", F.col("label"))
+    rows = rows.withColumn("seconds", F.filter(F.split("second", r"[\s,;|]+"), lambda x: x != ""))
+    rows = _refused(rows, ~_known_labels(F.col("seconds")), "invalid human secondary_labels: ", F.col("second"))
+    second = F.array_sort(F.array_distinct(F.filter("seconds", lambda x: F.col("label").isNull() | (x != F.col("label")))))
+    fields = [F.col("label").alias("primary_label"), second.alias("secondary_labels"), F.col("fit").alias("taxonomy_fit"), "rationale", "reviewer"]
+    return rows.groupBy("cluster_id").agg(F.max_by(F.struct(*fields), F.col("_at")).alias("_h")).select("cluster_id", "_h.*")
+
+
+def _known_labels(labels: Column) -> Column:
+    known = F.array(*map(F.lit, rules.LABELS))
+    return F.forall(labels, lambda x: F.array_contains(known, x))
 
 
-def human_records(rows: DataFrame) -> DataFrame:
-    """Human labels that come as records (JSON lines): cluster_id, primary_label, secondary_labels, taxonomy_fit."""
+def human_records(rows: DataFrame, order: Column | None = None) -> DataFrame:
+    """Human labels that come as records (JSON lines): cluster_id, primary_label, secondary_labels, taxonomy_fit (exact, where
+    it isn't given). An unknown label fails; of several records of a cluster the last one counts, as in ``human_labels``."""
     kind = {"secondary_labels": "array<string>"}
     col = lambda c: F.col(c).cast(kind.get(c, "string")) if c in rows.columns else F.lit(None).cast(kind.get(c, "string"))
-    out = rows.select(F.col("cluster_id").cast("string").alias("cluster_id"), col("primary_label").alias("primary_label"), F.coalesce(col("secondary_labels"), F.array().cast("array<string>")).alias("secondary_labels"), col("taxonomy_fit").alias("taxonomy_fit"))
-    return _refused(out, F.col("primary_label").isNotNull() & ~F.col("primary_label").isin(*rules.LABELS), "invalid human primary_label: ", F.col("primary_label"))
+    at = F.monotonically_increasing_id() if order is None else order
+    out = rows.select(at.alias("_at"), F.col("cluster_id").cast("string").alias("cluster_id"), col("primary_label").alias("primary_label"), F.coalesce(col("secondary_labels"), F.array().cast("array<string>")).alias("secondary_labels"), F.coalesce(col("taxonomy_fit"), F.lit("exact")).alias("taxonomy_fit"))
+    out = _refused(out, F.col("primary_label").isNotNull() & ~F.col("primary_label").isin(*rules.LABELS), "invalid human primary_label: ", F.col("primary_label"))
+    names = [c for c in out.columns if c not in ("cluster_id", "_at")]
+    return out.groupBy("cluster_id").agg(F.max_by(F.struct(*names), F.col("_at")).alias("_h")).select("cluster_id", "_h.*")
 
 
 def read_votes(rows: DataFrame, vote: str = "vote", place: str = "seen") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -41,7 +42,7 @@ def rows_of(raw: DataFrame) -> DataFrame:
     return wide.select("line_number", F.coalesce(filled("sample_id"), filled("id")).alias("record_id"), question.alias("question"), answer.alias("answer"), reason.alias("reason"))
 
 
-CACHE = "template_id string, quality string, difficulty string, reason string, member_count long, model string, prompt_version string"
+CACHE = "template_id string, quality string, difficulty string, reason string, member_count long, model string, prompt_version string, written long"
 ROW = "record_id string, line_number long, input_hash string, template_id string, quality string, difficulty string, reason string, model string, prompt_version string"
 
 
@@ -90,14 +91,14 @@ def label(rows: DataFrame, client: calls.Client, to: Labels, model: str, limit:
     files.delete(spark, run)
     replies.join(asked.select("template_id", "member_count"), "template_id").withColumn("v", resolve.parsed_quality(F.col("reply"))).write.parquet(run)  # a call is made once
     said = spark.read.parquet(run)
-    tags = {"model": F.lit(model), "prompt_version": F.lit(prompts.PROMPT_VERSION)}
+    tags = {"model": F.lit(model), "prompt_version": F.lit(prompts.PROMPT_VERSION), "written": F.lit(time.time_ns())}
     good = said.filter("v IS NOT NULL").select("template_id", "v.quality", "v.difficulty", "v.reason", "member_count").withColumns(tags)
     good.write.mode("append").parquet(to.templates)
     bad = said.filter("v IS NULL").select("template_id", F.lit(None).cast("long").alias("line_number"), "member_count", F.coalesce("error", F.lit("invalid reply")).alias("error"))
     bad.write.mode("append").parquet(to.errors)
-    same = (F.col("model") == model) & (F.col("prompt_version") == prompts.PROMPT_VERSION)
     names = ["quality", "difficulty", "reason", "model", "prompt_version"]
-    known = stored(rows, to.templates, CACHE).filter(same).groupBy("template_id").agg(F.max(F.struct(*names)).alias("l")).select("template_id", "l.*")
+    cache = stored(rows, to.templates, CACHE).withColumn("written", F.coalesce("written", F.lit(0)))
+    known = cluster.latest_cached(cache, "template_id", model, prompts.PROMPT_VERSION, "written").select("template_id", *names)
     labelled = cluster.expanded(left.select("record_id", "line_number", "input_hash", "template_id"), known)
     labelled.write.mode("append").parquet(to.rows)
     made = said.agg(F.count("*").alias("a"), F.count_if(F.col("v").isNull()).alias("f")).first()

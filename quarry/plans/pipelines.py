@@ -85,7 +85,7 @@ def prepare(spark: SparkSession, sources: list[readers.Source], out: str, limit:
 def review_sheet(queue: DataFrame, path: str) -> None:
     """The queue as CSV with blank columns for a reviewer."""
     p = F.col("provisional")
-    blank = {f"human_{c}": F.lit("") for c in ("primary_label", "secondary_labels", "taxonomy_fit", "confidence", "comment")}
+    blank = {c: F.lit("") for c in ("human_primary_label", "human_secondary_labels", "human_taxonomy_fit", "human_rationale", "reviewer")}
     queue.select("cluster_id", "source", "member_count", "template", F.substring("input", 1, 12000).alias("input"), F.substring("output", 1, 3000).alias("output"), p["primary_label"].alias("rule_primary"), F.concat_ws(",", p["secondary_labels"]).alias("rule_secondary"), p["taxonomy_fit"].alias("rule_fit"), p["confidence"].alias("rule_confidence"), F.concat_ws("; ", p["evidence"]).alias("rule_evidence")).withColumns(blank).write.csv(path, header=True, quoteAll=True)
 
 

@@ -151,7 +151,7 @@ def test_votes(spark):
     assert one(spark, resolve.parsed_vote, '{"primary_label": "ZZ", "taxonomy_fit": "exact", "confidence": 0.9}') is None
     assert one(spark, resolve.parsed_quality, '{"quality":"good","difficulty":"easy","reason":" a  b "}').reason == "a b"
     sheet = spark.createDataFrame([("a", "AD", "TR; AD", "exact"), ("b", "AD", "", ""), ("c", "AD", None, "out_of_scope")], "cluster_id string, human_primary_label string, human_secondary_labels string, human_taxonomy_fit string")
-    assert sorted((r.cluster_id, r.primary_label, r.secondary_labels) for r in resolve.human_labels(sheet).collect()) == [("a", "AD", ["TR"]), ("c", None, [])]
+    assert sorted((r.cluster_id, r.primary_label, r.secondary_labels) for r in resolve.human_labels(sheet).collect()) == [("a", "AD", ["TR"]), ("c", "AD", [])]
     votes = spark.createDataFrame([("x", 1, None, [], "out_of_scope", 0.5), ("x", 2, "PR", ["AD"], "exact", 0.6), ("x", 3, None, ["TR"], "closest", 0.7), ("x", 4, "PR", ["AD"], "exact", 0.6)], "cluster_id string, seen int, primary_label string, secondary_labels array<string>, taxonomy_fit string, confidence double")
     t = resolve.tally(votes).first()
     assert (t.votes, t.winner.primary_label, t.winner.agree, t.winner.secondary_labels, t.winner.taxonomy_fit, t.winner.confidence) == (4, None, 2, ["TR"], "out_of_scope", 0.6)
