@@ -6,6 +6,7 @@ import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -59,8 +60,9 @@ def as_bytes(text: str) -> int:
 
 #: Files of a small intermediate table: so many a core, or a file for so many shuffle partitions, whichever is more.
 A_CORE, A_FILE = 3, 8
-#: Folders that this process has made for intermediate tables.
+#: Folders that this process has made for intermediate tables, and those of the run that is under way, if it is told of.
 _made: list[str] = []
+_run: ContextVar[list[str] | None] = ContextVar("run", default=None)
 
 
 def materialize(df: DataFrame, release: bool = False, few: bool = False) -> DataFrame:
@@ -73,6 +75,8 @@ def materialize(df: DataFrame, release: bool = False, few: bool = False) -> Data
     spark, schema = df.sparkSession, df.schema
     path = f"{shared_dir(spark)}/quarry-{uuid.uuid4().hex}"
     _made.append(path)
+    if (own := _run.get()) is not None:
+        own.append(path)
     if few:
         df = df.coalesce(max(A_CORE * spark.sparkContext.defaultParallelism, partitions(spark) // A_FILE))
     df.write.parquet(path)
@@ -83,16 +87,33 @@ def materialize(df: DataFrame, release: bool = False, few: bool = False) -> Data
     return spark.read.schema(schema).parquet(path)
 
 
-def clean(spark: SparkSession, but: DataFrame | None = None) -> None:
-    """Deletes the intermediate tables that this process has made, less those that ``but`` reads. What was returned
-    lazily before can't be read any more."""
+class Run:
+    """Tells the intermediate tables of one run from those of all others, within a ``with`` block of one thread."""
+
+    def __enter__(self) -> Run:
+        self.made: list[str] = []
+        self._token = _run.set(self.made)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        _run.reset(self._token)
+
+    def clean(self, spark: SparkSession, but: DataFrame | None = None) -> None:
+        """Deletes this run's tables, less those that ``but`` reads."""
+        clean(spark, but, self.made)
+
+
+def clean(spark: SparkSession, but: DataFrame | None = None, made: list[str] | None = None) -> None:
+    """Deletes intermediate tables, those of a list or all that this process has made, less those that ``but`` reads. What
+    was returned lazily from them before can't be read any more."""
     kept = {f.rsplit("/", 1)[0].split(":", 1)[-1].lstrip("/") for f in but.inputFiles()} if but is not None else set()
     jvm = spark.sparkContext._jvm
-    for path in list(_made):
+    for path in list(_made if made is None else made):
         if path.split(":", 1)[-1].lstrip("/") not in kept:
             place = jvm.org.apache.hadoop.fs.Path(path)
             place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
-            _made.remove(path)
+            for held in {id(x): x for x in (_made, made or _made)}.values():
+                held.remove(path)
 
 
 class KeyFilter:

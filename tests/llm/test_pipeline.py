@@ -8,8 +8,9 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline  # noqa: E402
+import pytest  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
-from quarry.llm import decontam, shared  # noqa: E402
+from quarry.llm import decontam, queries, shared  # noqa: E402
 
 from tests.llm import test_jaccard, test_suffix  # noqa: E402
 
@@ -59,13 +60,26 @@ def test_stages(spark, tmp_path):
 
 
 def test_run(spark):
+    waiting = queries.op3_ann(spark, SF)  # of another query, not read yet
     before = list(shared._made)
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 0
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     system = path("/").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    assert before == [] or not any(system.exists(path(x)) for x in before)  # earlier stages' tables are gone
+    assert before and all(system.exists(path(x)) for x in before)  # other queries' tables stay
     assert all(system.exists(path(x)) for x in shared._made)
+    assert waiting.count() == 5 * spark.read.parquet(f"{SF}/embeddings.parquet").filter("vec_id % 50 = 0").count()
+
+
+def test_tables_of_a_run(spark):
+    one = shared.materialize(spark.range(3))
+    with shared.Run() as run:
+        two, three = shared.materialize(spark.range(4)), shared.materialize(spark.range(5))
+        run.clean(spark, but=three)
+        assert len(run.made) == 1
+    assert (one.count(), three.count()) == (3, 5)
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        two.count()
 
 
 def test_odd_tables(spark, tmp_path):
