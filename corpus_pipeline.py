@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import decontam, jaccard, packing, quality, suffix
 from quarry.llm.queries import table, vocabulary
-from quarry.llm.shared import clean, materialize
+from quarry.llm.shared import Run, materialize
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,10 +51,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. The tables of earlier stages are deleted as soon as they aren't needed, those of this run only."""
     docs = table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = materialize(docs, release=True)
-            clean(spark, but=docs)
+    with Run() as own:
+        for k, (_, stage) in enumerate(STAGES):
+            docs = stage(spark, docs, sf_dir)
+            if k < len(STAGES) - 1:
+                docs = materialize(docs, release=True)
+                own.clean(spark, but=docs)
     return docs
