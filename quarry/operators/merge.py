@@ -20,31 +20,42 @@ def matched(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """rows (source, source_index, digest) with ``label_index`` and ``join_method``.
 
     Direct: same place and digest. The rest take labels of the same digest that no direct match used, in order of place,
-    each once: the k-th row left takes the k-th label left.
+    each once: the k-th row left takes the k-th label left. Labels are one a place. They meet rows by place, so a store that is
+    dealt by place isn't dealt anew; only digests of labels without a direct match are.
     """
     have = labels.select("source", F.col("source_index").alias("label_index"), F.col("digest").alias("label_digest"))
-    same = (rows["source"] == have["source"]) & (rows["source_index"] == have["label_index"]) & (rows["digest"] == have["label_digest"])
-    direct = rows.join(have, same).drop(have["source"]).drop("label_digest").withColumn("join_method", F.lit("taxonomy_direct_hash"))
-    left = rows.join(direct.select("source", "source_index"), ["source", "source_index"], "left_anti")
-    spare = have.join(direct.select("source", "label_index"), ["source", "label_index"], "left_anti")
-    nth = lambda *by: F.row_number().over(Window.partitionBy("source", by[0]).orderBy(by[1]))
-    left = left.withColumn("k", nth("digest", "source_index"))
-    spare = spare.withColumn("k", nth("label_digest", "label_index")).withColumnRenamed("label_digest", "digest")
+    same = (rows["source"] == have["source"]) & (rows["source_index"] == have["label_index"])
+    # Digests are compared after the join: as a third key they would have both sides dealt anew.
+    met = rows.join(have, same, "left").drop(have["source"]).withColumn("_direct", F.coalesce(F.col("label_digest") == F.col("digest"), F.lit(False)))
+    direct = met.filter("_direct").drop("label_digest", "_direct").withColumn("join_method", F.lit("taxonomy_direct_hash"))
+    left = met.filter("NOT _direct").drop("label_index", "label_digest", "_direct")
+    own = rows.select(F.col("source").alias("_s"), F.col("source_index").alias("_i"), F.col("digest").alias("_d"))
+    unused = have.join(own, (have["source"] == own["_s"]) & (have["label_index"] == own["_i"]), "left")
+    spare = unused.filter(F.coalesce(F.col("_d") != F.col("label_digest"), F.lit(True))).select("source", F.col("label_digest").alias("digest"), "label_index")
+    left = numbered(left, "k", by=["source", "digest"])
+    spare = numbered(spare, "k", by=["source", "digest"], order="label_index")
     found = left.join(spare, ["source", "digest", "k"], "left").drop("k")
     found = found.withColumn("join_method", F.when(F.col("label_index").isNotNull(), "taxonomy_digest_recovery").otherwise("missing"))
     return direct.unionByName(found.select(*direct.columns))
 
 
-def numbered(rows: DataFrame, name: str, block: int = 1 << 16) -> DataFrame:
-    """rows with the number (from 1) of each within its source, in order of source_index. Numbered within blocks of
-    indexes and shifted by the counts of the blocks before, so no source is gathered in one task."""
-    own = rows.withColumn("_block", F.floor(F.col("source_index") / block))
-    counts = own.groupBy("source", "_block").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("source").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    shift = counts.select("source", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    within = Window.partitionBy("source", "_block").orderBy("source_index")
-    out = own.withColumn("_k", F.row_number().over(within)).join(shift, ["source", "_block"])
-    return out.withColumn(name, F.col("_k") + F.col("_shift")).drop("_block", "_k", "_shift")
+def numbered(rows: DataFrame, name: str, block: int = 1 << 16, by: list[str] | None = None, order: str = "source_index") -> DataFrame:
+    """rows with the number (from 1) of each within its source (or the columns ``by``), in ascending order of a whole number.
+
+    Two levels: within blocks of that number, and over the counts of the blocks before, one row a group and block. So no
+    group, however many rows it has, is gathered in one task; a block holds as many rows as it has numbers, if these are
+    different within a group. Rows whose group has a null are numbered as well."""
+    by = by or ["source"]
+    own = rows.withColumn("_block", F.floor(F.col(order) / block))
+    counts = own.groupBy(*by, "_block").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    shift = counts.select(*(F.col(c).alias(f"_by{i}") for i, c in enumerate(by)), F.col("_block").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    within = Window.partitionBy(*by, "_block").orderBy(order)
+    same = F.col("_block").eqNullSafe(F.col("_of"))
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_by{i}"))
+    out = own.withColumn("_k", F.row_number().over(within)).join(shift, same)
+    return out.withColumn(name, F.col("_k") + F.col("_shift")).drop("_block", "_k", "_shift", "_of", *(f"_by{i}" for i in range(len(by))))
 
 
 def aligned(clean: DataFrame, raw: DataFrame) -> DataFrame:

@@ -6,16 +6,20 @@ they don't.
 
 from __future__ import annotations
 
+import hashlib
 import json
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import rules, text
 from ..operators import merge, reports, resolve
-from ..sources import files
+from ..operators.review import Conflict
+from ..sources import commits, files
 from ..sources.readers import strict_json
 from ..sources.sinks import failing
 
@@ -172,15 +176,30 @@ def write_annotated(annotated_: DataFrame, sample: list[str], out: str, with_sam
     return rows
 
 
+def report_parts(rows: DataFrame) -> dict[str, DataFrame]:
+    """What reports are made of: the cells of the cube, coverage and counts, each by source, so that the parts of different
+    sources are one another's complement."""
+    a = F.col("annotation")
+    return {
+        "cells": cube(rows),
+        "coverage": reports.coverage(rows.select("source", "annotation"), "source", a["quality"], a["ability_label"], a["ability_join_method"]),
+        "counts": rows.groupBy("source").agg(F.count("*").alias("total_rows"), F.count(a["quality"]).alias("quality_labeled_rows"), F.count(a["ability_label"]).alias("ability_15d_rows"), F.count_if(a["ability_label"].isNull()).alias("ability_unmapped_rows")),
+    }
+
+
 def write_reports(rows: DataFrame, out: str) -> dict:
     """The cubes of all sources and of each, their summaries, coverage, a summary as JSON and a report as Markdown."""
-    spark = rows.sparkSession
-    cube(rows).write.mode("errorifexists").parquet(f"{out}/cells")
-    cells = spark.read.parquet(f"{out}/cells")
+    parts = report_parts(rows)
+    parts["cells"].write.mode("errorifexists").parquet(f"{out}/cells")
+    return write_parts(parts | {"cells": rows.sparkSession.read.parquet(f"{out}/cells")}, out)
+
+
+def write_parts(parts: dict[str, DataFrame], out: str) -> dict:
+    """The reports of such parts, of however many sources."""
+    cells, coverage, counts = (parts[k] for k in ("cells", "coverage", "counts"))
+    spark = cells.sparkSession
     whole = cells.groupBy("ability_bucket", "quality", "difficulty").agg(F.sum("count").alias("count"))
     domains = {"ability_bucket": [*rules.LABELS, merge.UNMAPPED], "quality": list(resolve.QUALITY), "difficulty": list(resolve.DIFFICULTY)}
-    a = F.col("annotation")
-    coverage = reports.coverage(rows.select("source", "annotation"), "source", a["quality"], a["ability_label"], a["ability_join_method"])
     abilities = reports.ability_summary(whole, "ability_bucket", F.col("quality").isin(*resolve.QUALITY[3:]), F.col("difficulty").isin(*resolve.DIFFICULTY[3:]))
     tables = {
         "ability_quality_difficulty": reports.zero_filled(whole, domains, "ability_bucket"),
@@ -190,7 +209,6 @@ def write_reports(rows: DataFrame, out: str) -> dict:
     }
     for name, table in tables.items():
         table.coalesce(1).write.csv(f"{out}/{name}", header=True)  # at most a row a source and cell
-    counts = rows.groupBy("source").agg(F.count("*").alias("total_rows"), F.count(a["quality"]).alias("quality_labeled_rows"), F.count(a["ability_label"]).alias("ability_15d_rows"), F.count_if(a["ability_label"].isNull()).alias("ability_unmapped_rows"))
     marginals = {d: {r[d]: r["n"] for r in whole.groupBy(d).agg(F.sum("count").alias("n")).orderBy(d).collect()} for d in domains}
     summary = {"sources": [r.asDict() for r in counts.orderBy("source").collect()], "marginals": marginals, "tables": sorted(tables)}
     files.write_text(spark, f"{out}/summary.json", json.dumps(summary, ensure_ascii=False, indent=2, sort_keys=True))
@@ -217,6 +235,116 @@ def merge_all(samples: DataFrame, taxonomy: DataFrame, quality: DataFrame, out:
     return summary
 
 
+#: Part of every source's signature: what a merge writes has changed with it.
+VERSION = "1"
+
+
+def source_signature(spark: SparkSession, paths: Iterable[str], *settings: object) -> str:
+    """What a source's part of a merge is made from: its files, the settings, the version of the merge."""
+    told = [VERSION, *(files.signature(spark, p) for p in paths), *map(repr, settings)]
+    return hashlib.sha256("\n".join(told).encode()).hexdigest()[:24]
+
+
+def merge_changed(samples: DataFrame, taxonomy: DataFrame, quality: DataFrame, signatures: Mapping[str, str], out: str, sample: list[str], strict: Strict = Strict(), raw: DataFrame | None = None, with_samples: bool = True) -> dict:  # noqa: B008
+    """Merges the sources whose signature isn't that of their last merge into this folder, and reports on all.
+
+    signatures: {source: signature} of all sources there are; rows of others in the frames take no part. All changed
+    sources are one job, written by source. What is live is a log of commits: one commit takes the changed sources' parts in
+    place of their old ones, and those of sources that are gone away, so a reader sees either merge whole; of two mergers of
+    one source the later one is refused. Annotations and annotated samples (JSON) are overwritten source by source. The
+    reports are made of the parts of all sources: those that didn't change aren't read again.
+    """
+    spark, log = samples.sparkSession, commits.Log(samples.sparkSession, f"{out}/log")
+    tags = {s: f"{sig} {s}" for s, sig in signatures.items()}
+    state = log.state()
+    have = {tag.split(" ", 1)[1] for tag in state.live.values()}  # "<kind> <signature> <source>"
+    changed = sorted(s for s, tag in tags.items() if tag not in have)
+    gone = sorted({tag.split(" ", 1)[1] for tag in have} - set(signatures))
+    adds: dict[str, str] = {}
+    if changed:
+        only = lambda df: df.filter(F.col("source").isin(changed))
+        rows = annotated(only(samples), only(taxonomy), only(quality), strict, None if raw is None else only(raw))
+        if clash := set(rows.schema["annotation"].dataType.names) & set(sample):
+            raise ValueError(f"annotation field collision: {sorted(clash)}")
+        number = F.create_map(*(x for i, s in enumerate(changed) for x in (F.lit(s), F.lit(i))))
+        by_source = lambda df: df.withColumn("_part", number[F.col("source")])
+
+        def put(df: DataFrame, kind: str) -> DataFrame:
+            name = f"data/{uuid.uuid4().hex}"
+            by_source(df).write.partitionBy("_part").parquet(f"{log.folder}/{name}")
+            made = set(files.listed(spark, f"{log.folder}/{name}"))
+            adds.update({f"{name}/_part={i}": f"{kind} {tags[s]}" for i, s in enumerate(changed) if f"_part={i}" in made})
+            return spark.read.schema(df.schema).parquet(f"{log.folder}/{name}").select(*df.columns)
+
+        rows = put(rows, "rows")
+        for kind, part in report_parts(rows).items():
+            put(part, kind)
+        if lost := [s for s in changed if f"rows {tags[s]}" not in adds.values()]:
+            raise ValueError(f"no rows of {lost}")
+        told = {"annotations": rows.select("source", "annotation.*")} | ({"annotated": rows.select("source", *(c for c in sample if c != "source"), "annotation.*")} if with_samples else {})
+        for name, df in told.items():
+            df = df.withColumn("dataset", text.slug(F.col("source"))).drop(*({"source"} - set(sample)))
+            df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dataset").json(f"{out}/{name}")
+
+    def make(now: commits.State) -> dict | None:
+        of = lambda tag: tag.split(" ", 2)[2]
+        theirs = {of(t) for f, t in now.live.items() if f not in state.live}
+        if theirs & {*changed, *gone}:
+            raise Conflict(f"another merge has changed {sorted(theirs & {*changed, *gone})}")
+        removes = [f for f, t in now.live.items() if of(t) in {*changed, *gone}]
+        return {"adds": adds, "removes": removes} if adds or removes else None
+
+    now = log.commit(make, "merge")
+    place = f"{out}/reports/{now.number:06d}"
+    if not files.exists(spark, f"{place}/summary.json"):
+        files.delete(spark, place)
+        parts = {}
+        for kind in ("cells", "coverage", "counts"):
+            folders = [f"{log.folder}/{f}" for f, t in now.live.items() if t.startswith(kind + " ")]
+            parts[kind] = spark.read.parquet(*folders)
+        write_parts(parts, place)
+    summary = json.loads(files.read_text(spark, f"{place}/summary.json"))
+    return {"rewritten": changed, "removed": gone, "kept": sorted(set(signatures) - set(changed)), "commit": now.number, "reports": place, "summary": summary}
+
+
+def merged_rows(spark: SparkSession, out: str, source: str | None = None, at: int | None = None) -> DataFrame:
+    """The rows of the last merge (or of an earlier commit), of all sources or one: other sources' files aren't opened."""
+    log = commits.Log(spark, f"{out}/log")
+    live = [f for f, t in log.state(at).live.items() if t.startswith("rows ") and source in (None, t.split(" ", 2)[2])]
+    if not live:
+        raise KeyError(source or "no merge")
+    return spark.read.parquet(*(f"{log.folder}/{f}" for f in live))
+
+
+def store_labels(taxonomy: DataFrame, name: str, path: str, buckets: int) -> DataFrame:
+    """Writes labels as a table dealt into buckets by (source, source_index) and sorted by them, and returns it. What joins it
+    by place needs no exchange and no sort of the labels; ``annotated`` deals its samples to the buckets. Labels are one a place."""
+    spark = taxonomy.sparkSession
+    keys = ["source", "source_index"]
+    once = taxonomy.groupBy(*keys).agg(F.count("*").alias("_n"), F.any_value(F.struct(*(c for c in taxonomy.columns if c not in keys))).alias("_l"))
+    once = failing(once, F.col("_n") > 1, "labels have a place twice").select(*keys, "_l.*")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    once.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).mode("overwrite").saveAsTable(name)
+    told = {"buckets": buckets, "schema": once.schema.jsonValue()}
+    files.write_text(spark, f"{path}.json", json.dumps(told))
+    return spark.table(name)
+
+
+def stored_labels(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """Labels that another session has stored, under a name of this one."""
+    told = json.loads(files.read_text(spark, f"{path}.json"))
+    columns = T.StructType.fromJson(told["schema"])
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns.fields)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({shape}) USING parquet CLUSTERED BY (source, source_index) SORTED BY (source, source_index) INTO {told['buckets']} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
+def labels_of(labels: DataFrame, source: str) -> DataFrame:
+    """One source's labels in order of their places."""
+    return labels.filter(F.col("source") == source).orderBy("source_index")
+
+
 def missing_inputs(spark: SparkSession, paths: dict[str, dict[str, str | None]]) -> list[dict]:
     """A dry run: for each source, which of its named paths exist (a path that isn't given is no lack)."""
     return [{"dataset": name, "paths": own, "exists": {k: v is None or files.exists(spark, v) for k, v in own.items()}} for name, own in paths.items()]
