@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+from functools import reduce
+from re import _parser
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,9 +72,51 @@ def taxonomy(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(TAXONOMY, "label string, major string, name string, definition string")
 
 
-def has_any(text: Column, patterns: tuple[str, ...]) -> Column:
-    """Whether any pattern is found: all of them as one pattern, so a text is gone through once."""
-    return text.rlike("(?Uis)" + "|".join(f"(?:{p})" for p in patterns))
+# Letters that fold to a plain one although they aren't its other case, and what they fold to.
+FOLDED, PLAIN = "\u017f\u0131\u212a", "sik"
+
+
+def needed(pattern: str) -> frozenset[str] | None:
+    """Literals of which any text that the pattern is found in holds at least one (after folding); None if there are none."""
+    return _needed(_parser.parse(pattern, re.IGNORECASE | re.DOTALL))
+
+
+def _needed(parts: Iterable) -> frozenset[str] | None:
+    found: list[frozenset[str]] = []
+    run = ""
+    for op, value in parts:
+        if op is _parser.LITERAL:
+            run += chr(value)
+            continue
+        if run:
+            found.append(frozenset([run]))
+            run = ""
+        own = None
+        if op is _parser.SUBPATTERN:
+            own = _needed(value[3])
+        elif op is _parser.BRANCH:
+            each = [_needed(x) for x in value[1]]
+            own = frozenset().union(*each) if all(each) else None
+        elif op is _parser.MAX_REPEAT and value[0] >= 1:
+            own = _needed(value[2])
+        if own:
+            found.append(own)
+    if run:
+        found.append(frozenset([run]))
+    # The rarest choice is guessed by length; of a set the shortest literal decides.
+    return max(found, key=lambda x: (min(map(len, x)), -len(x)), default=None)
+
+
+def has_any(text: Column, patterns: tuple[str, ...], folded: Column | None = None) -> Column:
+    """Whether any pattern is found. With folded (the lower-cased text without letters that fold to others) only patterns
+    run of which the text holds a literal that they can't do without; literals are searched far faster than patterns."""
+    if folded is None:
+        return text.rlike("(?Uis)" + "|".join(f"(?:{p})" for p in patterns))
+    out = F.lit(False)
+    for p in patterns:
+        there = reduce(Column.__or__, (F.contains(folded, F.lit(x)) for x in sorted(needed(p) or ())), F.lit(False)) if needed(p) else F.lit(True)
+        out = out | (there & text.rlike(f"(?Uis){p}"))
+    return out
 
 
 def decide(source: Column, task: Column, prompt: Column) -> Column:
@@ -80,10 +127,21 @@ def decide(source: Column, task: Column, prompt: Column) -> Column:
     said = F.lower(F.trim(F.coalesce(task, F.lit(""))))
     asked = F.coalesce(prompt, F.lit(""))
     # Texts are made once, however many patterns look at them.
-    return bind(F.struct(asked.alias("asked"), F.lower(asked).alias("text"), said.alias("said")), lambda x: _decide(source, x["said"], x["asked"], x["text"]))
+    made = F.struct(asked.alias("asked"), F.lower(asked).alias("text"), F.translate(F.lower(asked), FOLDED, PLAIN).alias("folded"), said.alias("said"))
+    return bind(made, lambda x: _decide(source, x["said"], x["asked"], x["text"], x["folded"]))
+
+
+def decided(df: DataFrame, source: Column, task: Column, prompt: Column, name: str = "provisional") -> DataFrame:
+    """df with the rule decision as a column: each different (source, task, prompt) is decided once and joined back, which pays
+    where prompts are repeated often. The join is by a digest; a prompt of any number of rows is one row of its other side."""
+    key = F.sha2(F.to_json(F.struct(source.alias("s"), task.alias("t"), prompt.alias("p")), {"ignoreNullFields": "false"}), 256)
+    keyed = df.withColumn("_key", key)
+    once = keyed.select("_key", source.alias("_s"), task.alias("_t"), prompt.alias("_p")).dropDuplicates(["_key"])
+    told = once.select(F.col("_key").alias("_k"), decide(F.col("_s"), F.col("_t"), F.col("_p")).alias(name))
+    return keyed.join(told, F.col("_key") == F.col("_k")).drop("_key", "_k")
 
 
-def _decide(source: Column, said: Column, asked: Column, text: Column) -> Column:
+def _decide(source: Column, said: Column, asked: Column, text: Column, folded: Column) -> Column:
     hits: list[Column] = []
 
     def hit(when: Column, order: int, label: str, score: float, reason: str) -> None:
@@ -96,7 +154,7 @@ def _decide(source: Column, said: Column, asked: Column, text: Column) -> Column
         if fit:
             forced = F.when(here, fit).otherwise(forced)
     for i, (label, score, reason, patterns) in enumerate(KEYWORDS):
-        hit(has_any(text, patterns), len(PRIORS) + i, label, score, reason)
+        hit(has_any(text, patterns, folded), len(PRIORS) + i, label, score, reason)
     best = lambda found: F.transform(F.array_distinct(F.transform(found, lambda h: h["label"])), lambda x: F.struct((-F.array_max(F.transform(F.filter(found, lambda h: h["label"] == x), lambda h: h["score"]))).alias("minus"), x.alias("label")))
     several = question_count(asked) > 1
     return bind(F.array_compact(F.array(*hits)), lambda found: bind(F.array_sort(best(found)), lambda ranked: _decision(found, ranked, forced, several, said)))

@@ -93,7 +93,7 @@ def sql_list(values: list[str]) -> str:
 @query(f"""SELECT label, count(*) AS n FROM (SELECT {sql_list([x for _, x in PROMPTS])}[(o_orderkey % {len(PROMPTS)})::INT + 1] AS label FROM orders) GROUP BY 1""")
 def rule_labels(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select(pick([p for p, _ in PROMPTS], F.col("o_orderkey")).alias("input"))
-    decided = rows.select(rules.decide(F.lit("any"), F.lit(""), F.col("input")).alias("d"))
+    decided = rules.decided(rows, F.lit("any"), F.lit(""), F.col("input"), "d")
     return decided.groupBy(F.coalesce("d.primary_label", F.lit("NONE")).alias("label")).agg(F.count("*").alias("n"))
 
 
@@ -358,8 +358,8 @@ def scaled_series(spark, sf_dir):
 
 
 def _load() -> None:
-    """The other module of queries registers its own here."""
-    from . import more_queries  # noqa: F401
+    """The other modules of queries register their own here."""
+    from . import more_queries, text_queries  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
