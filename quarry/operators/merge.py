@@ -23,15 +23,16 @@ def matched(rows: DataFrame, labels: DataFrame) -> DataFrame:
     each once: the k-th row left takes the k-th label left. Labels are one a place. They meet rows by place, so a store that is
     dealt by place isn't dealt anew; only digests of labels without a direct match are.
     """
-    have = labels.select("source", F.col("source_index").alias("label_index"), F.col("digest").alias("label_digest"))
-    same = (rows["source"] == have["source"]) & (rows["source_index"] == have["label_index"])
+    # Names differ on both sides, as rows and labels may come of one table.
+    have = labels.select(F.col("source").alias("_source"), F.col("source_index").alias("label_index"), F.col("digest").alias("_digest"))
     # Digests are compared after the join: as a third key they would have both sides dealt anew.
-    met = rows.join(have, same, "left").drop(have["source"]).withColumn("_direct", F.coalesce(F.col("label_digest") == F.col("digest"), F.lit(False)))
-    direct = met.filter("_direct").drop("label_digest", "_direct").withColumn("join_method", F.lit("taxonomy_direct_hash"))
-    left = met.filter("NOT _direct").drop("label_index", "label_digest", "_direct")
+    met = rows.join(have, F.expr("source = _source AND source_index = label_index"), "left").drop("_source")
+    met = met.withColumn("_direct", F.coalesce(F.col("_digest") == F.col("digest"), F.lit(False))).drop("_digest")
+    direct = met.filter("_direct").drop("_direct").withColumn("join_method", F.lit("taxonomy_direct_hash"))
+    left = met.filter("NOT _direct").drop("label_index", "_direct")
     own = rows.select(F.col("source").alias("_s"), F.col("source_index").alias("_i"), F.col("digest").alias("_d"))
-    unused = have.join(own, (have["source"] == own["_s"]) & (have["label_index"] == own["_i"]), "left")
-    spare = unused.filter(F.coalesce(F.col("_d") != F.col("label_digest"), F.lit(True))).select("source", F.col("label_digest").alias("digest"), "label_index")
+    unused = have.join(own, F.expr("_source = _s AND label_index = _i"), "left")
+    spare = unused.filter(F.coalesce(F.col("_d") != F.col("_digest"), F.lit(True))).select(F.col("_source").alias("source"), F.col("_digest").alias("digest"), "label_index")
     left = numbered(left, "k", by=["source", "digest"])
     spare = numbered(spare, "k", by=["source", "digest"], order="label_index")
     found = left.join(spare, ["source", "digest", "k"], "left").drop("k")

@@ -35,8 +35,15 @@ FROM m JOIN a USING (source, doc_id) LEFT JOIN t ON t.source = m.source AND t.pl
 def merged_annotations(spark, sf_dir):
     """Documents as samples; their labels as ability (final for toxic ones, provisional for others) and quality, a third of the
     ability labels at another place, none of one crawl; an audit of the English ones."""
+    samples, taxonomy, quality = merge_inputs(spark, sf_dir)
+    return merged_counts(merging.annotated(samples, taxonomy, quality, merging.Strict(False, False)))
+
+
+def merge_inputs(spark, sf_dir):
+    """Samples, ability labels and quality labels made of documents and their labels."""
     once = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("quality").alias("quality"))
-    docs = table(spark, sf_dir, "documents").join(once, "doc_id", "left").select("doc_id", F.col("lang").alias("source"), F.col("source").alias("name"), F.sha2("text", 256).alias("digest"), F.substring("text", 1, 80).alias("input"), "toxic", "quality")
+    docs = table(spark, sf_dir, "documents").join(once, "doc_id", "left")
+    docs = docs.select("doc_id", F.col("lang").alias("source"), F.col("source").alias("name"), F.sha2("text", 256).alias("digest"), F.col("text").alias("input"), "toxic", "quality")
     audit = F.when(F.col("source") == "en", F.struct(F.lit("CA").alias("primary_label"), F.lit("checked").alias("status")))
     samples = docs.select("source", F.col("doc_id").alias("source_index"), "digest", "input", F.lit("x").alias("output"), audit.alias("audit"))
     moved = F.when(F.col("doc_id") % 3 == 0, F.col("doc_id") + 1000000).otherwise(F.col("doc_id"))
@@ -46,10 +53,16 @@ def merged_annotations(spark, sf_dir):
         say(F.when(F.col("toxic") == 0, "PR")).alias("provisional"), say(F.when(F.col("toxic") == 1, "AD")).alias("final"),
     )
     t = text.template(F.col("input"), F.lit("x"))
-    quality = docs.filter("quality IS NOT NULL").select("source", (F.col("doc_id") + 1).alias("line_number"), t["template_id"].alias("template_id"), t["input_hash"].alias("input_hash"), F.when(F.col("quality") == 1, "good").otherwise("weak").alias("quality"), F.lit("easy").alias("difficulty"), F.lit("r").alias("reason"), F.lit("m").alias("model"), F.lit("p").alias("prompt_version"))
-    out = merging.annotated(samples, taxonomy, quality, merging.Strict(False, False))
+    quality = docs.filter("quality IS NOT NULL").select(
+        "source", (F.col("doc_id") + 1).alias("line_number"), t["template_id"].alias("template_id"), t["input_hash"].alias("input_hash"), F.when(F.col("quality") == 1, "good").otherwise("weak").alias("quality"),
+        F.lit("easy").alias("difficulty"), F.lit("r").alias("reason"), F.lit("m").alias("model"), F.lit("p").alias("prompt_version"),
+    )
+    return samples, taxonomy, quality
+
+
+def merged_counts(rows):
     a = F.col("annotation")
-    return out.groupBy("source", *(a[c].alias(c) for c in ("ability_join_method", "ability_bucket", "ability_label_source", "quality"))).agg(F.count("*").alias("n"))
+    return rows.groupBy("source", *(a[c].alias(c) for c in ("ability_join_method", "ability_bucket", "ability_label_source", "quality"))).agg(F.count("*").alias("n"))
 
 
 @query("""WITH r AS (SELECT p_type AS model, p_partkey, p_size, chr((65 + p_size % 5)::INT) AS gold, CASE WHEN p_size % 7 = 0 THEN '' WHEN p_size % 7 = 1 THEN 'no idea' ELSE chr((65 + p_partkey % 5)::INT) END AS said FROM part),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.series import Options
@@ -21,31 +21,33 @@ def convert_files(spark: SparkSession, inputs: list[str], adapter: str, out: str
     names = spark.createDataFrame([(p,) for p in paths], "path string")
     wanted = names.filter(~convert.is_contaminated_file(F.col("path")) & (convert.is_training_file(F.col("path")) if train_only else F.lit(True)))
     kept = [r.path for r in wanted.orderBy("path").collect()]  # file names only
-    parts = [readers.read(spark, p).withColumns({"source_file": F.lit(p), "_file": F.lit(i), "_row": F.monotonically_increasing_id()}) for i, p in enumerate(kept)]
-    if not parts:
+    if not kept:
         raise FileNotFoundError("no input files are left")
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p, allowMissingColumns=True)
+    order = spark.createDataFrame([(p.split(":", 1)[-1].lstrip("/"), i) for i, p in enumerate(kept)], "_name string, _file int")
+    rows = readers.read_many(spark, kept).withColumn("_name", F.regexp_replace("_path", "^[a-z0-9]+:/*|^/+", ""))
+    rows = rows.join(F.broadcast(order), "_name", "left").drop("_name")  # one row a file, as the driver lists them
     dataset = convert.field(rows, ("dataset", "dataset_name", "source_dataset"))
-    clean = rows.filter(~convert.is_contaminated_row(dataset))
+    seen = Observation("rows")
+    clean = rows.observe(seen, F.count(F.lit(1)).alias("n")).filter(~convert.is_contaminated_row(dataset))
     done = convert.converted(clean, adapter, options)
     done.write.mode("errorifexists").parquet(f"{out}/converted")
     done = spark.read.parquet(f"{out}/converted")
     good = done.filter("sample.reason IS NULL").withColumn("sample_sha256", convert.sample_digest(F.col("sample")))
+    place = ["_file", "_start", "_at", "_item"]
     if dedup:
-        good = convert.first_of_each(good, F.col("sample_sha256"), [F.col("_file"), F.col("_row")])
+        good = convert.first_of_each(good, F.col("sample_sha256"), [F.col(c) for c in place])
     if limit:
-        good = good.orderBy("_file", "_row").limit(limit)
+        good = good.orderBy(*place).limit(limit)
     good.write.parquet(f"{out}/kept")
     good = spark.read.parquet(f"{out}/kept")
     good.select("sample.input", "sample.timeseries", "sample.output").write.json(f"{out}/samples")
-    good.select("sample_sha256", "source_file", F.size("sample.timeseries").alias("series_count"), F.transform("sample.timeseries", lambda s: F.size(s)).alias("series_lengths"), "sample.used_missing_mask").write.json(f"{out}/audit")
-    seen = rows.count()
-    manifest = {"files": kept, "rows_seen": seen, "rows_filtered_contamination": seen - done.count(), "rows_written": good.count(), "reasons": {str(r.reason): r["rows"] for r in convert.conversion_report(done).collect()}}
+    told = lambda name, *aliases: convert.field(good, aliases or (name,)).alias(name)
+    tags = [told("source_dataset", "dataset", "dataset_name", "source_dataset"), F.col("_path").alias("source_file"), told("task", "task", "task_type"), told("question_type"), told("dataset_name"), told("domain", "domain", "application_domain")]
+    good.select("sample_sha256", *tags, F.size("sample.timeseries").alias("series_count"), F.transform("sample.timeseries", lambda s: F.size(s)).alias("series_lengths"), "sample.used_missing_mask").write.json(f"{out}/audit")
+    manifest = {"files": kept, "rows_seen": seen.get["n"], "rows_filtered_contamination": seen.get["n"] - done.count(), "rows_written": good.count(), "reasons": {str(r.reason): r["rows"] for r in convert.conversion_report(done).collect()}}
     manifest["values"] = [r.asDict() for r in convert.value_histogram(done).limit(1000).collect()]
     if preview:
-        manifest["preview"] = [r.asDict() for r in views.preview(good.orderBy("_file", "_row").select("sample.input", "sample.timeseries", "sample.output"), preview).collect()]
+        manifest["preview"] = [r.asDict() for r in views.preview(good.orderBy(*place).select("sample.input", "sample.timeseries", "sample.output"), preview).collect()]
     write_manifest(spark, f"{out}/manifest.json", manifest)
     return manifest
 

@@ -359,7 +359,7 @@ def scaled_series(spark, sf_dir):
 
 def _load() -> None:
     """The other modules of queries register their own here."""
-    from . import more_queries, text_queries  # noqa: F401
+    from . import file_queries, more_queries, text_queries  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -35,6 +35,15 @@ def listed(spark: SparkSession, path: str) -> list[str]:
     return sorted(x.getPath().getName() for x in system.listStatus(place)) if system.exists(place) else []
 
 
+def rename(spark: SparkSession, folder: str, suffix: str, other: str) -> None:
+    """Gives files directly under a folder another suffix: Spark's writers choose their own."""
+    place, system = _place(spark, folder)
+    for x in system.listStatus(place):
+        name = x.getPath().getName()
+        if name.endswith(suffix) and not name.startswith((".", "_")):
+            system.rename(x.getPath(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place, name.removesuffix(suffix) + other))
+
+
 def signature(spark: SparkSession, path: str) -> str:
     """path:size:mtime, what a cached result was made from; of a folder, its own."""
     place, system = _place(spark, path)

@@ -79,27 +79,98 @@ def validated(spark: SparkSession, path: str, keys: tuple[str, ...] = ("input",
     return good, all_.filter("reason IS NOT NULL").select("file", "source_index", "source_sha256", "reason", F.substring("raw", 1, 200).alias("preview"))
 
 
+#: Columns that tell where a row of ``read_many`` stands: its file, the block of it, and its order there.
+PLACE = ("_path", "_start", "_at")
+LISTS = ("train", "data", "rows", "examples")
+
+
+def _placed(df: DataFrame) -> DataFrame:
+    return df.withColumns({"_path": F.col("_metadata.file_path"), "_start": F.col("_metadata.file_block_start"), "_at": F.monotonically_increasing_id()})
+
+
+def _csv(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return spark.read.csv(paths, header=True, multiLine=True, quote='"', escape='"')
+
+
+def _json(df: DataFrame) -> DataFrame:
+    """Rows of files of which some are a list or an object, and some an object with a list of rows."""
+    for name in LISTS:
+        if name in df.columns and isinstance(df.schema[name].dataType, T.ArrayType) and isinstance(df.schema[name].dataType.elementType, T.StructType):
+            own = [c for c in df.columns if c in PLACE]
+            listed = df.filter(F.col(name).isNotNull()).select(*own, F.posexplode(name).alias("_item", "r")).select(*own, "_item", "r.*")
+            rest = df.filter(F.col(name).isNull()).drop(name)
+            return listed if not [c for c in rest.columns if c not in own] else alike([listed, rest])
+    return df
+
+
+def _jsonl(spark: SparkSession, paths: list[str], placed: bool) -> DataFrame:
+    """Lines are checked as they are read; their columns are found by a pass before."""
+    shape = spark.read.json(paths).schema
+    text = spark.read.text(paths)
+    text = (_placed(text) if placed else text).filter(F.trim("value") != "")
+    reason = strict_json(F.col("value"))
+    told = text.withColumn("_why", reason)
+    told = told.filter(F.coalesce(F.when(F.col("_why").isNotNull(), F.raise_error(F.concat(F.lit("a line is no record: "), F.col("_why")))).cast("boolean"), F.lit(True)))
+    own = [c for c in told.columns if c in PLACE]
+    return told.select(*own, F.from_json(F.regexp_replace("value", "^\ufeff", ""), shape).alias("r")).select(*own, "r.*")
+
+
+def alike(parts: list[DataFrame]) -> DataFrame:
+    """The union of frames of different columns. Of a column that has several types the values become text: numbers as Spark
+    writes them, arrays and structs as JSON."""
+    kinds: dict[str, set[str]] = {}
+    for p in parts:
+        for f in p.schema.fields:
+            kinds.setdefault(f.name, set()).add(f.dataType.simpleString())
+    out: DataFrame | None = None
+    for p in parts:
+        told = {}
+        for f in p.schema.fields:
+            if len(kinds[f.name]) > 1 and f.dataType != T.StringType():
+                told[f.name] = F.to_json(f.name) if isinstance(f.dataType, T.ArrayType | T.StructType | T.MapType) else F.col(f.name).cast("string")
+        p = p.withColumns(told) if told else p
+        out = p if out is None else out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
+def read_many(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Rows of files of all formats with their places (``PLACE``): one scan a format, and for CSV one a header. Lines that are
+    no JSON object fail the job."""
+    by: dict[str, list[str]] = {}
+    for p in paths:
+        kind = p.rsplit(".", 1)[-1].lower()
+        if kind not in FORMATS:
+            raise ValueError(f"unsupported format: {p}")
+        by.setdefault(kind, []).append(p)
+    parts = []
+    headers: dict[bytes, list[str]] = {}
+    for p in by.get("csv", ()):  # a header is a file's first line
+        headers.setdefault(files.read_bytes(spark, p, 0, 1 << 16).split(b"\n")[0].strip(), []).append(p)
+    parts += [_placed(_csv(spark, own)) for own in headers.values()]
+    if "json" in by:
+        parts.append(_json(_placed(spark.read.json(by["json"], multiLine=True))))
+    if "jsonl" in by:
+        parts.append(_jsonl(spark, by["jsonl"], True))
+    if "parquet" in by:
+        parts.append(_placed(spark.read.option("mergeSchema", True).parquet(*by["parquet"])))
+    out = alike(parts)
+    return out if "_item" in out.columns else out.withColumn("_item", F.lit(0))
+
+
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """Strings only, quoted line breaks kept."""
-    return spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"')
+    return _csv(spark, [path])
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
     """A top-level list, an object with a list under train, data, rows or examples, or one object."""
-    df = spark.read.json(path, multiLine=True)
-    for name in ("train", "data", "rows", "examples"):
-        if name in df.columns and isinstance(df.schema[name].dataType, T.ArrayType):
-            return df.select(F.explode(name).alias("r")).select("r.*")
-    return df
+    out = _json(spark.read.json(path, multiLine=True))
+    return out.drop("_item")
 
 
 def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """One object a line; blank lines are skipped, a line that is no object fails the job. ``validated`` quarantines instead."""
-    whole = spark.read.json(path, mode="FAILFAST", primitivesAsString=False)
-    checked = spark.read.text(path).filter(F.trim("value") != "").select(strict_json(F.col("value")).alias("reason")).filter("reason IS NOT NULL")
-    if (wrong := checked.first()) is not None:
-        raise ValueError(f"{path}: a line is {wrong.reason}")
-    return whole
+    return _jsonl(spark, [path], False)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
