@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 import os
+import time
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,11 @@ from pyspark.sql import types as T
 from ..functions import series, text
 from ..operators import evaluate
 from ..operators.review import Conflict
-from ..sources import files
+from ..sources import commits, files
+
+
+#: Tries to have a settings file for oneself.
+TRIES = 10
 
 
 class Forbidden(PermissionError):
@@ -42,7 +47,17 @@ def load_settings(spark: SparkSession, path: str) -> dict:
 
 
 def save_setting(spark: SparkSession, path: str, name: str, value: object) -> None:
-    files.write_text(spark, path, json.dumps(load_settings(spark, path) | {name: value}, ensure_ascii=False, sort_keys=True))
+    """Saves one setting; two writers of one file take turns, so that none of their settings is lost."""
+    for k in range(TRIES):
+        lease = commits.Lease(spark, f"{path}.lease", 60)
+        if lease.take():
+            try:
+                files.write_text(spark, path, json.dumps(load_settings(spark, path) | {name: value}, ensure_ascii=False, sort_keys=True))
+            finally:
+                lease.release()
+            return
+        time.sleep(min(0.05 * 2**k, 1.0))
+    raise Conflict(f"{path} is being written")
 
 
 def with_fields(df: DataFrame, fields: list[T.StructField]) -> DataFrame:

@@ -77,7 +77,8 @@ def planned(rows: DataFrame, to: Labels, model: str, limit: int = 0) -> tuple[Da
 
 def label(rows: DataFrame, client: calls.Client, to: Labels, model: str, limit: int = 0, dry_run: bool = False, **options) -> dict:
     """Asks for each template without a label once, appends what was said to the cache and the errors, and labels all
-    members of every template that has a label. options: those of ``calls.answered``. Returns counts."""
+    members of every template that has a label. options: those of ``calls.answered``, or, with a width or a journal, those of ``calls.asked`` (the client is then one of
+    single payloads). Returns counts."""
     spark = rows.sparkSession
     left, asked, stats = planned(rows, to, model, limit)
     result = stats.first().asDict()
@@ -86,7 +87,8 @@ def label(rows: DataFrame, client: calls.Client, to: Labels, model: str, limit:
     invalid = (rows.orderBy("line_number").limit(limit) if limit else rows).filter("reason IS NOT NULL")
     invalid.select(F.lit(None).cast("string").alias("template_id"), "line_number", F.lit(None).cast("long").alias("member_count"), F.col("reason").alias("error")).write.mode("append").parquet(to.errors)
     asked = asked.withColumn("payload", prompts.quality_payload(model))
-    replies = calls.answered(asked, client, "template_id", "payload", **options)
+    ask = calls.asked if {"width", "journal"} & set(options) else calls.answered
+    replies = ask(asked, client, "template_id", "payload", **options)
     run = f"{to.templates}.replies-{len(files.listed(spark, to.templates))}-{result['input_rows']}"
     files.delete(spark, run)
     replies.join(asked.select("template_id", "member_count"), "template_id").withColumn("v", resolve.parsed_quality(F.col("reply"))).write.parquet(run)  # a call is made once

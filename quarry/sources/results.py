@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,13 +17,14 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..operators import evaluate
 from ..operators.views import ALIASES, TASKS
+from . import files, records
 
 # Names of result files, and of fields in order of precedence.
 NAMES = "generated_answer*.{json,jsonl}"
 INDEX = ("idx", "index", "sample_index", "sample_idx", "line_index")
 RESPONSE = ("response", "model_response", "completion", "output", "text")
 LISTS = ("results", "responses")
-#: Files above this size are read by lines if their name says so; others are parsed whole.
+#: Files above this size are read by lines if their name says so, or by elements if they are arrays; others are parsed whole.
 WHOLE = 64 << 20
 
 _KNOWN = {**{t: t for t in TASKS}, **ALIASES}
@@ -102,6 +104,21 @@ def result_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     return own.select("file", F.col("source_index").cast("int").alias("item"), F.when(F.col("error").isNull(), F.col("raw")).alias("raw"), "error")
 
 
+def is_array(spark: SparkSession, path: str) -> bool:
+    """Whether a file's first sign opens an array."""
+    return files.read_bytes(spark, path, 0, 1 << 12).removeprefix(b"\xef\xbb\xbf").lstrip()[:1] == b"["
+
+
+def result_elements(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The same of large files that are one JSON array each: their elements are cut in many tasks. Elements that are no
+    objects are left out, as in small files; one that is no JSON is an error of its own."""
+    from .readers import strict_json
+
+    own = records.records(spark, paths, "array", columns=("raw",)).withColumn("raw", F.col("raw").cast("string")).withColumn("error", strict_json(F.col("raw")))
+    rows = own.filter("error IS NULL OR error <> 'not an object'")
+    return rows.select("file", F.col("line_index").cast("int").alias("item"), F.when(F.col("error").isNull(), F.col("raw")).alias("raw"), "error")
+
+
 def fields(rows: DataFrame) -> DataFrame:
     """rows with the fields of an answer: idx (text), response, raw_response, answer, error, prompt_mode, counts of tokens."""
     m = F.col("m")
@@ -139,9 +156,10 @@ def import_results(spark: SparkSession, root: str, gold: DataFrame, work: str, m
     if not known:
         raise ValueError("no result folder is named after a known task")
     big = [r.file for r in known if r.size > WHOLE and r.file.endswith(".jsonl")]
-    small = [r.file for r in known if r.file not in set(big)]
-    rows = [f(spark, p) for f, p in ((result_rows, small), (result_lines, big)) if p]
-    raw = rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
+    lists = [r.file for r in known if r.size > WHOLE and r.file.endswith(".json") and records.reaches(r.file) and is_array(spark, r.file)]
+    small = [r.file for r in known if r.file not in {*big, *lists}]
+    rows = [f(spark, p) for f, p in ((result_rows, small), (result_lines, big), (result_elements, lists)) if p]
+    raw = reduce(DataFrame.unionByName, rows)
     raw = raw.withColumn("of", identity(F.col("file"), root, model))
     top = root.rstrip("/")
     run_root = F.when(F.col("of.scope") == ".", F.lit(top)).when(F.col("of.scope").startswith("/"), F.col("of.scope")).otherwise(F.concat(F.lit(top + "/"), F.col("of.scope")))
