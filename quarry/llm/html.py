@@ -2,12 +2,14 @@
 
 A page is cut into blocks at block-level tags. The first pass decides each block on its own: by the element that holds
 it (menus, forms, adverts, comments and the like are out), by the share of its characters inside links, by its length and
-by the density of stop words. Short blocks without enough signs stay ambiguous. The second pass gives these the label of
+by the density of stop words. A word that names boilerplate (related, search) decides where it is all that a class or an id
+says, beside words of layout; among other words it only raises the bar. Short blocks without enough signs stay ambiguous. The second pass gives these the label of
 the nearest decided block (of the two neighbours, the nearer one; text wins a tie). If the blocks that a page marks as
 its article hold the larger part of its text by these rules, only they count, by milder rules, and neighbours are looked
 for within them. Otherwise the rest is judged too, and marked blocks that aren't links are text besides.
 
-Each page is read once, whole, by one regular expression; nothing is shuffled.
+Each page is read once, whole, from sign to sign, in time that grows with its length whatever its tags are; nothing is
+shuffled.
 
 Defined results: null, empty and text-less pages give an empty text; very long pages are read whole; repeated rows are
 extracted each; unclosed and stray tags are tolerated (only a script or style left open after the head takes the rest of the page,
@@ -25,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"<]*\"|'[^'<]*'|[^>\"'])*+|[^>]*)>", re.S)
+TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"<]*\"|'[^'<]*'|[^<>\"'])*+|[^>]*)>", re.S)
+OPEN = re.compile(r"<!--|<!\[CDATA\[")
 WORD = re.compile(r"[^\W\d_]+")
 ANCHOR = re.compile(r"<(/?)a(?=[\s/>])", re.I)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
@@ -38,6 +41,8 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
 OUTSIDE = frozenset("nav footer aside form menu dialog fieldset".split())
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 OUTSIDE_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promotion banner nav navbar navigation menu submenu breadcrumb breadcrumbs sidebar aside footer masthead topbar cookie cookies consent gdpr notice notices notification alert newsletter subscribe subscription signup login share sharing social comment comments commentlist respond disqus reply replies related recommended popup modal overlay pagination pager widget toolbar skip copyright disclaimer form search".split())
+# Words that, beside such a word in one name, leave it what it names: cookie-notice-bar, reader-comments, but not related-work.
+PLAIN_WORDS = frozenset("site page main top bottom left right upper lower inner outer header head title body content text box block blocks container wrapper wrap section area region list lists item items row column col grid panel pane bar button buttons btn link links icon icons media network networks post posts article articles story stories news reader readers user users thread count form field input primary secondary global local mobile desktop fixed sticky inline slot unit zone space wide narrow small large first last the us on email mail box-inner js".split())
 ADVERT_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsense adsbygoogle sponsor sponsored sponsors promo promotion".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CANCEL = frozenset("no has with without hide not".split())
@@ -51,8 +56,9 @@ STOP = frozenset(
 SHORT, LONG = 70, 200
 MILD, LOW = 0.10, 0.20
 FEW_LINKS, LINKS = 0.2, 0.5
-#: A list item that is a link of fewer words is a menu's entry; a longer one is open.
+#: A list item that is a link of fewer words may be a menu's entry; a longer one is open.
 ENTRY = 4
+COPYRIGHT = re.compile(r"(?:©|\(c\)|copyright\b)", re.I)
 
 
 @dataclass
@@ -60,9 +66,11 @@ class Block:
     text: str
     links: int  # characters inside links
     outside: bool
+    doubtful: bool  # a name around it holds such a word among others
     article: int  # number of the article that holds it, or 0
     item: bool
     label: str = ""
+    heading: bool = False
 
 
 def words_of(attributes: dict[str, str]) -> list[str]:
@@ -85,20 +93,33 @@ def is_muted(raw: str) -> bool:
     return is_hidden(attributes) or (not ADVERT_WORDS.isdisjoint(words) and CANCEL.isdisjoint(words))
 
 
-def is_outside(tag: str, raw: str, in_article: bool) -> tuple[bool, bool]:
-    """Whether an element is boilerplate, and whether it marks an article."""
+def names_outside(attributes: dict[str, str]) -> tuple[bool, bool]:
+    """Whether a name in class or id says that an element is boilerplate, and whether one only holds such a word."""
+    out = doubt = False
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        words = [w for w in words_of({"class": name}) if w and not w.isdigit()]
+        if not OUTSIDE_WORDS.isdisjoint(words) and CANCEL.isdisjoint(words):
+            whole = all(w in OUTSIDE_WORDS or w in PLAIN_WORDS for w in words)
+            out, doubt = out or whole, doubt or not whole
+    return out, doubt
+
+
+def is_outside(tag: str, raw: str, in_article: bool) -> tuple[bool, bool, bool]:
+    """Whether an element is boilerplate, whether it may be one, and whether it marks an article."""
     marks = tag in ("article", "main")
     if tag in ("html", "body"):
-        return False, False
+        return False, False, False
     attributes = attributes_of(raw)
     words = words_of(attributes)
     role = attributes.get("role", "").lower()
     out = tag in OUTSIDE or (tag == "header" and not in_article) or role in OUTSIDE_ROLES
     out |= is_hidden(attributes)
-    if words and not CANCEL.intersection(words) and tag != "main":
-        out |= not OUTSIDE_WORDS.isdisjoint(words)
+    doubt = False
+    if words and tag != "main":
+        named, doubt = names_outside(attributes)
+        out |= named
     marks |= role in ("main", "article") or attributes.get("itemprop") == "articleBody" or (tag in ("div", "section") and bool(words) and not INSIDE_NAMES.isdisjoint(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split()) and not out)
-    return out, marks
+    return out, doubt, marks
 
 
 def ends_of(html: str, tag: str) -> dict[int, int]:
@@ -116,12 +137,28 @@ def ends_of(html: str, tag: str) -> dict[int, int]:
     return ends
 
 
-def end_of_code(html: str, tag: str, at: int) -> int:
-    """Where code or a title ends; without its end tag with the head, or else a title at the next tag, code with the page."""
-    stop = re.compile(rf"</{tag}[\s/>]", re.I).search(html, at) or re.compile(r"</head[\s/>]|<body[\s/>]", re.I).search(html, at)
-    if not stop and tag in ("title", "textarea"):
-        stop = re.compile(r"</?[a-zA-Z]").search(html, at)
-    return stop.start() if stop else len(html)
+class Code:
+    """Where code and titles of one page end. Of each pattern the next place is kept: it is looked for once on the way."""
+
+    def __init__(self, html: str) -> None:
+        self.html, self.next = html, {}
+
+    def _after(self, pattern: str, at: int) -> int | None:
+        """Where the pattern is next, or None."""
+        known = self.next.get(pattern, -1)
+        if known is not None and known < at:
+            found = re.compile(pattern, re.I).search(self.html, at)
+            known = self.next[pattern] = found.start() if found else None
+        return known
+
+    def end(self, tag: str, at: int) -> int:
+        """Without its end tag code ends with the head, or else a title at the next tag, code with the page."""
+        stop = self._after(rf"</{tag}[\s/>]", at)
+        if stop is None:
+            stop = self._after(r"</head[\s/>]|<body[\s/>]", at)
+        if stop is None and tag in ("title", "textarea"):
+            stop = self._after(r"</?[a-z]", at)
+        return len(self.html) if stop is None else stop
 
 
 def blocks_of(html: str) -> list[Block]:
@@ -129,11 +166,13 @@ def blocks_of(html: str) -> list[Block]:
     found: list[Block] = []
     parts: list[str] = []
     linked: list[str] = []
-    plain = ("", False, False, 0, False)
-    stack: list[tuple[str, bool, bool, int, bool]] = []  # tag, outside, muted, article, list item
-    _, outside, muted, article, item = plain
-    articles, link, at = 0, "", 0
+    plain = ("", False, False, False, 0, False)
+    stack: list[tuple[str, bool, bool, bool, int, bool]] = []  # tag, outside, doubtful, muted, article, list item
+    held: dict[str, int] = {}  # how many of each tag the stack holds
+    _, outside, doubtful, muted, article, item = plain
+    articles, link, at, heading = 0, "", 0, False
     ends: dict[str, dict[int, int]] = {}
+    code = Code(html)
 
     def close() -> None:
         nonlocal link
@@ -141,7 +180,7 @@ def blocks_of(html: str) -> list[Block]:
             raw = "".join(parts)
             text = " ".join((unescape(raw) if "&" in raw else raw).split())
             if text:
-                found.append(Block(text, len(" ".join(unescape("".join(linked)).split())), outside, article, item))
+                found.append(Block(text, len(" ".join(unescape("".join(linked)).split())), outside, doubtful, article, item, heading=heading))
             parts.clear()
             linked.clear()
         if link == "open":
@@ -153,14 +192,29 @@ def blocks_of(html: str) -> list[Block]:
             if link:
                 linked.append(text)
 
-    size = len(html)
+    def pop() -> None:
+        held[stack.pop()[0]] -= 1
+
+    def push(*state) -> None:
+        stack.append(state)
+        held[state[0]] = held.get(state[0], 0) + 1
+
+    size, last = len(html), html.rfind(">")
     while at < size:
-        m = TAG.search(html, at)
-        if not m:
-            say(html[at:])
+        # Each tag is matched where its sign stands, and none is tried behind the last sign that could end it: no part of a
+        # page is gone through again and again.
+        start = html.find("<", at)
+        if start < 0 or start > last:
+            rest = OPEN.search(html, at)  # a comment that is left open takes the rest
+            say(html[at : rest.start()] if rest else html[at:])
             break
-        if m.start() > at:
-            say(html[at : m.start()])
+        m = TAG.match(html, start)
+        if not m:
+            say(html[at : start + 1])
+            at = start + 1
+            continue
+        if start > at:
+            say(html[at:start])
         at = m.end()
         tag = m[2]
         if not tag:
@@ -169,7 +223,7 @@ def blocks_of(html: str) -> list[Block]:
         if tag in RAW:
             if not m[1] and not m[3].endswith("/"):
                 if tag in CODE:
-                    at = end_of_code(html, tag, at)
+                    at = code.end(tag, at)
                 else:
                     if tag not in ends:
                         ends[tag] = ends_of(html, tag)
@@ -187,28 +241,29 @@ def blocks_of(html: str) -> list[Block]:
             if tag in ("hr", "head"):
                 continue
             while stack and (stack[-1][0] not in BLOCKS or (stack[-1][0] == "p" and (tag != "p" or not m[1]))):
-                stack.pop()  # a block ends the inline elements and the paragraph before it
-            _, outside, muted, article, item = stack[-1] if stack else plain
+                pop()  # a block ends the inline elements and the paragraph before it
+            _, outside, doubtful, muted, article, item = stack[-1] if stack else plain
+            heading = not m[1] and tag[0] == "h" and tag[1:].isdigit()
             if m[1]:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
-                        del stack[i:]
-                        break
+                if held.get(tag):
+                    while stack[-1][0] != tag:
+                        pop()
+                    pop()
             else:
-                out, marks = is_outside(tag, m[3], article > 0)
+                out, doubt, marks = is_outside(tag, m[3], article > 0)
                 inner = article
                 if marks and not article and not out:
                     articles += 1
                     inner = articles
-                stack.append((tag, outside or out, muted, inner, item or tag == "li"))
-            _, outside, muted, article, item = stack[-1] if stack else plain
+                push(tag, outside or out, doubtful or doubt, muted, inner, item or tag == "li")
+            _, outside, doubtful, muted, article, item = stack[-1] if stack else plain
         elif m[1]:
             if muted and stack and stack[-1][0] == tag:
-                stack.pop()
-                _, outside, muted, article, item = stack[-1] if stack else plain
+                pop()
+                _, outside, doubtful, muted, article, item = stack[-1] if stack else plain
         elif muted or (tag not in VOID and m[3] and is_muted(m[3])):
             if tag not in VOID:
-                stack.append((tag, outside, True, article, item))
+                push(tag, outside, doubtful, True, article, item)
                 muted = True
     close()
     return found
@@ -230,10 +285,10 @@ def first_pass(b: Block) -> str:
         return ""
     stops = stop_words(b)
     if stops >= (MILD if len(b.text) >= LONG else LOW):
-        return "good"
+        return "good" if not b.doubtful or density < FEW_LINKS else "bad"
     if len(b.text) >= LONG and density < FEW_LINKS:
         return "good"  # another language, or a table
-    return "" if stops >= MILD or density < FEW_LINKS else "bad"
+    return "" if stops >= MILD or (density < FEW_LINKS and not b.doubtful) else "bad"
 
 
 def second_pass(blocks: list[Block]) -> None:
@@ -258,13 +313,44 @@ def marked_pass(b: Block, alone: bool, known: bool) -> str:
     density = b.links / len(b.text)
     if not alone:
         return "bad" if density > LINKS else "good"
-    if b.item and density > 0.8 and len(b.text.split()) < ENTRY:
-        return "bad"
     if len(b.text) < SHORT or density > LINKS:
         return ""
     return "good" if not known or b.label == "good" or stop_words(b) >= MILD else ""
 
 
+def is_entry(b: Block) -> bool:
+    """Whether a block looks like a menu's entry: an item of few words, all of them a link."""
+    return b.item and b.links > 0.8 * len(b.text) and len(b.text.split()) < ENTRY
+
+
+def menus(blocks: list[Block]) -> None:
+    """Items that are entries go where most of their list are: two at least, and more than half of the items in a row. One linked
+    name among sentences is a part of them."""
+    at = 0
+    while at < len(blocks):
+        end = at
+        while end < len(blocks) and blocks[end].item:
+            end += 1
+        entries = [b for b in blocks[at:end] if is_entry(b)]
+        if len(entries) >= 2 and 2 * len(entries) > end - at:
+            for b in entries:
+                b.label = "bad"
+        at = max(end, at + 1)
+
+
+def edges(blocks: list[Block]) -> None:
+    """On pages without marks: before the first and behind the last block that is good by itself, items of few words without the
+    end of a sentence are a menu's or a footer's, and so is a short line on copyright."""
+    good = [i for i, b in enumerate(blocks) if b.label == "good"]
+    if not good:
+        return
+    for i, b in enumerate(blocks):
+        if not b.label and not good[0] < i < good[-1] and not b.heading:
+            few = b.item and len(b.text.split()) < ENTRY and b.text[-1] not in ".!?:;"
+            if few or (len(b.text) < SHORT and COPYRIGHT.match(b.text)):
+                b.label = "bad"
+
+
 def larger_part(blocks: list[Block]) -> bool:
     """Whether marked blocks hold the larger part of the text that the first pass calls good; or, if it calls none good,
     of the long text that it leaves open."""
@@ -287,6 +373,9 @@ def main_text(html: str | None) -> str:
             b.label = marked_pass(b, alone, known)
         if alone:
             blocks = marked
+            menus(blocks)
+    else:
+        edges(blocks)
     second_pass(blocks)
     return " ".join(b.text for b in blocks if b.label == "good")
 

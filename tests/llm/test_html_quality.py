@@ -213,3 +213,53 @@ def test_scores_against_a_plain_version(spark):
         assert abs(out[k].score - 1 / (1 + np.exp(-np.clip(s, -30, 30)))) < 0.01
         assert out[k].held_out == (zlib.crc32(str(k).encode()) % 5 == 0)
         assert out[k].predicted == (out[k].score >= 0.3)
+
+
+PROSE = " ".join([SAID] * 3)
+
+
+@pytest.mark.parametrize("name", ["class='related-work'", "id='form-and-function'", "id='search-theory'", "class='notice-period'", "class='social-history'", "class='text wide comment-culture'"])
+def test_words_among_others_are_no_verdict(name):
+    assert html.main_text(f"<article><p>{SAID}</p><section {name}><h2>One</h2><p>{PROSE}</p></section><p>{SAID}</p></article>") == f"{SAID} One {PROSE} {SAID}"
+    assert html.main_text(f"<body><div {name}><p>{PROSE}</p></div></body>") == PROSE
+    links = "<a href=1>Some of the links that are in it</a> <a href=2>and more of them for you</a>"
+    assert html.main_text(f"<body><p>{PROSE}</p><div {name}>{links} and what is there</div></body>") == PROSE
+
+
+@pytest.mark.parametrize("name", ["class='reader-comments'", "id='comments'", "class='cookie-notice'", "class='box related-posts'", "id='comment-12'", "class='site-footer'", "class='share-buttons'", "class=sidebar"])
+def test_names_of_boilerplate_are(name):
+    assert html.main_text(f"<article><p>{SAID}</p></article><div {name}><p>{PROSE}</p></div>") == SAID
+    assert html.main_text(f"<article><p>{SAID}</p><div {name}><p>{SAID}</p></div></article>") == SAID
+
+
+@pytest.mark.parametrize("part", ["<a ", '<a href="', "<p>x<title>", "<p>x<textarea>", '<a ">" ', "<div>", "</p>", "<!x ", "<svg>", "<li><a href=1>", "<b", "<div class='", "<![CDATA[ ", "<script", "x<"])
+@pytest.mark.parametrize("tail", ["", ">", "</div>"])
+def test_pages_of_any_tags_take_linear_time(part, tail):
+    import time
+
+    page = f"<p>{SAID}</p>" + part * (1_000_000 // len(part)) + tail
+    begun = time.process_time()
+    html.main_text(page)
+    assert time.process_time() - begun < 8  # seconds, on a busy machine; it was hours
+
+
+def test_deep_pages_of_stray_end_tags():
+    import time
+
+    begun = time.process_time()
+    html.main_text("<div>" * 100_000 + "</section>" * 100_000 + f"<p>{SAID}</p>")
+    assert time.process_time() - begun < 8
+
+
+def test_linked_items_by_their_list():
+    one = "<ul><li><a href=1>Alice Bob Carol</a></li></ul>"
+    assert html.main_text(f"<article><p>{SAID}</p>{one}<p>{SAID}</p></article>") == f"{SAID} Alice Bob Carol {SAID}"
+    menu = "<ul>" + "".join(f"<li><a href={x}>{x}</a></li>" for x in ("Home", "About", "News")) + "</ul>"
+    assert html.main_text(f"<article><p>{SAID}</p>{menu}<p>{SAID}</p></article>") == f"{SAID} {SAID}"
+    mixed = "<ul><li>What it was</li><li><a href=1>Alice</a></li><li>How it is</li></ul>"
+    assert html.main_text(f"<article><p>{SAID}</p>{mixed}<p>{SAID}</p></article>") == f"{SAID} What it was Alice How it is {SAID}"
+
+
+def test_edges_of_pages_without_marks():
+    menu = "<ul><li>Home</li><li>About us</li><li>News</li></ul>"
+    assert html.main_text(f"<body>{menu}<h1>A title</h1><p>{SAID}</p><ul><li>Apples</li></ul><p>{SAID}</p><p>Copyright 2020 X</p>{menu}</body>") == f"A title {SAID} Apples {SAID}"
