@@ -91,7 +91,8 @@ def ordered(s: np.ndarray, last: np.ndarray, n: int) -> tuple[np.ndarray, int]:
 
 
 def nodes(df: DataFrame, key: str, text: str) -> DataFrame:
-    """key, node, n and the prefix in order of hashes (lower 32 bits), written to the shared folder."""
+    """key, h (a hash of key and text, by which a text is found again: of rows without a key none has another's), node, n and
+    the prefix in order of hashes (lower 32 bits), written to the shared folder."""
 
     @F.arrow_udf("struct<node:long,n:int,prefix:array<int>>")
     def described(texts: pa.Array) -> pa.Array:
@@ -101,7 +102,8 @@ def nodes(df: DataFrame, key: str, text: str) -> DataFrame:
         trim()
         return pa.StructArray.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), lists], names=["node", "n", "prefix"])
 
-    return materialize(df.select(F.col(key).alias("key"), described(text).alias("d")).select("key", "d.node", "d.n", "d.prefix"))
+    own = df.select(F.col(key).alias("key"), F.xxhash64(F.col(key), F.col(text)).alias("h"), described(text).alias("d"))
+    return materialize(own.select("key", "h", "d.node", "d.n", "d.prefix"))
 
 
 def frequent(own: DataFrame) -> tuple[dict[int, int], float]:
@@ -234,10 +236,10 @@ def _links(df: DataFrame, key: str, text: str, own: DataFrame, asked: DataFrame)
     compared with each other; else those of role 2 with those of role 1.
     """
     asked = materialize(asked, release=True, few=True)
-    some = own.join(asked.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("key").isNull().alias("none"), F.col("key").alias("key"))).alias("k")).select("node", F.xxhash64("k.key").alias("h"))
+    some = own.join(asked.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("key").isNull().alias("none"), F.col("key").alias("key"), F.col("h").alias("h"))).alias("k")).select("node", "k.h")
     some = materialize(some, few=True)
-    docs = df.select(F.xxhash64(F.col(key)).alias("h"), F.col(text).alias("text"))
-    docs = docs.filter(KeyFilter(some.select("h")).may_have(F.col("h"), F.xxhash64("h", "text")))
+    docs = df.select(F.xxhash64(F.col(key), F.col(text)).alias("h"), F.col(text).alias("text"))
+    docs = docs.filter(KeyFilter(some.select("h")).may_have(F.col("h"), F.col("h")))
     rows = asked.join(some, "node").join(docs, "h").select("node", "leader", "salt", "role", "text")
     rows = rows.repartition(partitions(df.sparkSession), "leader", "salt").sortWithinPartitions("leader", "salt", "role", "node")
 

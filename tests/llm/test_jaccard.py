@@ -135,3 +135,22 @@ def test_overlaps_in_chunks():
     want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
     for most in (1, 50, 200, 10**6):
         assert jaccard.overlaps(sets, most).tolist() == want
+
+
+def test_rows_without_a_key_take_linear_time(spark):
+    """Each text is found by its key and itself: texts without a key don't meet all others without one."""
+    import time
+
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    bases = [" ".join(rng.choice(vocabulary) for _ in range(60)) for _ in range(2000)]
+    rows = [x for b in bases for x in (b, b + " more")]
+    took = []
+    for keys in (True, False):
+        df = spark.createDataFrame([(i if keys else None, x) for i, x in enumerate(rows)], "doc_id long, text string").repartition(8)
+        begun = time.time()
+        out = jaccard.join(df).collect()
+        took.append(time.time() - begun)
+        assert len(out) == 4000 and {r.n_shingles for r in out} == {56, 57}
+        assert not keys or all(r.component_id == r.doc_id - r.doc_id % 2 for r in out)
+    assert took[1] < 1.5 * took[0] + 5
