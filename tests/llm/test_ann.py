@@ -112,3 +112,37 @@ def test_string_keys_and_dealt_buckets(spark, dealt, held, monkeypatch):
         good += len({v for _, v in like} & {r.vec_id for r in out if r.query_id == f"v{i:03}"})
     assert good >= 0.9 * 120
     assert len(out) == len({(r.query_id, r.vec_id) for r in out}) == 120
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_the_query_visits_by_perturbed_buckets(spark, sf):
+    """The registered query's own index: several projections and probes, by which the neighbours are found."""
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet").collect()]
+    x = ann.unit(np.array([v for _, v in rows], float))
+    index = ann.fit(x[: ann.SAMPLE], len(x))
+    assert index.planes.shape[2] >= 8 and len(index.order) >= 8
+    asked = np.array([i for i, (k, _) in enumerate(rows) if k % 50 == 0])
+    seen = np.zeros((len(asked), len(x)), bool)
+    first = np.zeros_like(seen)
+    for t in range(len(index.planes)):
+        own, visits = index.cells(x, t)[0], index.probes(x[asked], t)
+        for i in range(len(asked)):
+            seen[i] |= np.isin(own, visits[i])
+            first[i] |= own == visits[i, 0]
+    like = x[asked] @ x.T
+    like[np.arange(len(asked)), asked] = -2
+    true = np.argsort(-like, 1)[:, :5]
+    recall, own = np.take_along_axis(seen, true, 1).mean(), np.take_along_axis(first, true, 1).mean()
+    print(sf, "projections", index.planes.shape[2], "probes", len(index.order), "recall", recall, "visited", seen.mean(), "by own buckets alone", own)
+    assert recall >= 0.9 and seen.mean() < 0.9 and own < recall - 0.3  # it is the perturbed buckets that find them
+
+
+def test_multiples_tie(spark):
+    """Vectors that are twice or half another one have the same cosine, whatever block they are compared in."""
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(40, 16))
+    rows = [(i, (base[i % 40] * 2.0 ** (i // 40 - 2)).tolist()) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    for q, found in told(ann.nearest(df, F.col("vec_id") % 50 == 0, "vec_id", "embedding", 5)).items():
+        assert [j for j, _ in found[:4]] == [j for j in range(q % 40, 200, 40) if j != q]
+        assert len({s for _, s in found[:4]}) == 1
