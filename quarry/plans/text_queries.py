@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import rules
+from ..functions import rules, text
+from ..operators import merge
 from .queries import PROMPTS, TASKS, pick, query, sql_list, table
 
 
@@ -48,3 +49,55 @@ def document_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", tasks[0].alias("src"), tasks[1].alias("task"), F.concat(asked, F.lit("\n"), F.coalesce("text", F.lit(""))).alias("asked"))
     d = docs.select("doc_id", rules.decide(F.col("src"), F.col("task"), F.col("asked")).alias("d"))
     return d.select("doc_id", "d.primary_label", "d.closest_label", F.array_join("d.secondary_labels", ",").alias("secondary_labels"), "d.taxonomy_fit", "d.confidence", "d.status")
+
+
+@query(r"""WITH t AS (SELECT conv_id, turn, role, coalesce("text", '') || CASE turn % 4 WHEN 0 THEN chr(10) || 'You MUST' || chr(9) || 'conclude with your' || chr(10) || 'Answer :' WHEN 1 THEN ' What does the plot say?' ELSE '' END AS prompt,
+    lead(coalesce("text", '')) OVER w || CASE WHEN conv_id % 3 = 0 THEN ' As the Chart shows.' WHEN conv_id % 3 = 1 THEN ' As it is charted.' ELSE '' END AS reply FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST)),
+f AS (SELECT conv_id, turn, regexp_matches(prompt, '(?is)must\s+(?:end|conclude).*?answer\s*:') OR regexp_matches(prompt, '(?i)final sentence must conclude with|correct answer (?:is|must be)') AS leak,
+    regexp_matches(coalesce(reply, ''), '(?i)\b(?:graph|plot|chart|x-axis|y-axis|visual(?:ization)?)\b') AND NOT regexp_matches(prompt, '(?i)\b(?:graph|plot|chart|x-axis|y-axis|visual(?:ization)?)\b') AS visual FROM t)
+SELECT conv_id, turn, concat_ws(',', CASE WHEN leak THEN 'answer_leakage' END, CASE WHEN visual THEN 'visual_grounding_mismatch' END) AS flags FROM f""")
+def turn_issues(spark, sf_dir):
+    """The issues of every turn and what follows it, whole texts, some with phrases that are an issue."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("said"))
+    # Turns are numbered in blocks and joined with the number before: no conversation is gathered.
+    own = merge.numbered(rows, "k", by=["conv_id"], order="turn")
+    after = own.select("conv_id", (F.col("k") - 1).alias("k"), F.col("said").alias("next"))
+    each = own.join(after, ["conv_id", "k"], "left")
+    prompt = F.concat("said", F.when(F.col("turn") % 4 == 0, "\nYou MUST\tconclude with your\nAnswer :").when(F.col("turn") % 4 == 1, " What does the plot say?").otherwise(""))
+    reply = F.concat(F.col("next"), F.when(F.col("conv_id") % 3 == 0, " As the Chart shows.").when(F.col("conv_id") % 3 == 1, " As it is charted.").otherwise(""))
+    return each.select("conv_id", "turn", F.array_join(text.issues(prompt, F.coalesce(reply, F.lit(""))), ",").alias("flags"))
+
+
+# The forms of values made of each line's own columns, and what each is by its making.
+@query(r"""WITH l AS (SELECT l_orderkey, l_linenumber, l_returnflag AS flag, printf('%.2f', l_quantity) AS q, printf('%.2f', l_discount) AS d, printf('%.2f', l_tax) AS t, strftime(l_shipdate, '%Y-%m-%d') AS day FROM lineitem),
+s AS (SELECT CASE l_linenumber WHEN 1 THEN 'scalar' WHEN 2 THEN 'time_series' WHEN 3 THEN 'text' WHEN 4 THEN CASE WHEN flag IN ('A', 'B', 'C', 'D') THEN 'choice_label' ELSE 'tagged_answer' END
+    WHEN 5 THEN 'multiline_text' WHEN 6 THEN 'reasoning_with_answer' ELSE 'tagged_time_series' END AS form FROM l)
+SELECT form, count(*) AS n FROM s GROUP BY 1""")
+def value_forms(spark, sf_dir):
+    """The form of answers that hold the lines' own numbers, flags and days."""
+    number = lambda c: F.format_string("%.2f", c)
+    q, d, t, flag, day = number("l_quantity"), number("l_discount"), number("l_tax"), F.col("l_returnflag"), F.date_format("l_shipdate", "yyyy-MM-dd")
+    k = F.col("l_linenumber")
+    said = (
+        F.when(k == 1, q)
+        .when(k == 2, F.concat(F.lit("["), q, F.lit(", "), d, F.lit(" ,-"), t, F.lit(", 1e5]")))
+        .when(k == 3, F.concat(F.lit("shipped on "), day, F.lit(" for "), q))
+        .when(k == 4, F.concat(F.lit("<answer> ("), flag, F.lit(") </answer>")))
+        .when(k == 5, F.concat(day, F.lit("\n"), flag, F.lit(" of "), q))
+        .when(k == 6, F.concat(F.lit("<think>"), day, F.lit("</think>\n<answer>"), q, F.lit("</answer>")))
+        .otherwise(F.concat(F.lit("<answer><ts><ts/> "), q, F.lit("</answer>")))
+    )
+    return table(spark, sf_dir, "lineitem").groupBy(text.structure(said).alias("form")).agg(F.count("*").alias("n"))
+
+
+@query(r"""WITH t AS (SELECT conv_id, turn, trim(regexp_replace(coalesce("text", '') || CASE turn % 5 WHEN 0 THEN chr(10) || 'Final answer: ' || chr(65 + (conv_id % 7)::INT) || '.' WHEN 1 THEN ' <answer> ' || chr(97 + (conv_id % 7)::INT) || ' </answer>'
+    WHEN 2 THEN ' {"answer": "' || chr(65 + (conv_id % 7)::INT) || '"}' WHEN 3 THEN ' no letter' ELSE '' END, '^\s+|\s+$', '', 'g')) AS said FROM conversations)
+SELECT conv_id, turn, upper(coalesce(nullif(regexp_extract(said, '(?i)<answer>\s*([A-G])\s*</answer>', 1), ''), nullif(regexp_extract(said, '(?i)["'']?answer["'']?\s*[:=]\s*["'']?([A-G])', 1), ''),
+    nullif(regexp_extract(said, '(?i)(?:^|\n)\s*(?:final\s+answer\s*[:：]?\s*)?([A-G])[.)]', 1), ''), nullif(regexp_extract(said, '(?i)^\s*([A-G])\s*(?:\r?\n|$)', 1), ''))) AS letter FROM t""")
+def turn_letters(spark, sf_dir):
+    """The letter that every turn's whole text names, with an answer after most of them."""
+    letter = lambda first: F.char(F.lit(first) + F.col("conv_id") % 7)
+    k = F.col("turn") % 5
+    end = F.when(k == 0, F.concat(F.lit("\nFinal answer: "), letter(65), F.lit("."))).when(k == 1, F.concat(F.lit(" <answer> "), letter(97), F.lit(" </answer>"))).when(k == 2, F.concat(F.lit(' {"answer": "'), letter(65), F.lit('"}'))).when(k == 3, " no letter").otherwise("")
+    rows = table(spark, sf_dir, "conversations")
+    return rows.select("conv_id", "turn", text.choice(F.concat(F.coalesce("text", F.lit("")), end)).alias("letter"))
