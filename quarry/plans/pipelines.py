@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import json
 import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.series import Options
 from ..operators import cluster, convert, merge, reports, resolve, selection, views
-from ..sources import files, readers
+from ..operators.review import Conflict
+from ..sources import commits, files, readers
 
 
 def convert_files(spark: SparkSession, inputs: list[str], adapter: str, out: str, options: Options = Options(), train_only: bool = True, dedup: bool = True, limit: int = 0, preview: int = 0) -> dict:  # noqa: B008
@@ -177,20 +179,34 @@ def write_manifest(spark: SparkSession, path: str, content: dict) -> None:
     files.write_text(spark, path, json.dumps(content | {"written_at": int(time.time())}, ensure_ascii=False, indent=2, sort_keys=True, default=str))
 
 
-def versioned(spark: SparkSession, root: str, inputs: list[str], make) -> DataFrame:
+def versioned(spark: SparkSession, root: str, inputs: list[str], make: Callable[[], DataFrame], wait: float = 3600.0) -> DataFrame:
     """A table derived from files, made anew only if their signatures changed.
 
     make() gives the DataFrame; it is written as the next version under root, and the manifest, which names the current
     version, is replaced when that is done: a reader sees either version, whole. The version before it stays readable,
-    earlier ones go.
+    earlier ones go. One builder at a time is at work: others wait for it so long at most, and then take what it has made; a
+    builder that died holds them up for no longer than that, and its number isn't taken again.
     """
-    place = f"{root}/manifest.json"
-    if not up_to_date(spark, place, inputs):
-        have = [int(n.removeprefix("v")) for n in files.listed(spark, root) if n.startswith("v")]
-        now = max(have, default=0) + 1
-        make().write.mode("overwrite").parquet(f"{root}/v{now}")
-        write_manifest(spark, place, {"signatures": [files.signature(spark, p) for p in inputs], "outputs": [f"{root}/v{now}"]})
-        for old in have:
-            if old < now - 1:
-                files.delete(spark, f"{root}/v{old}")
+    place, begun = f"{root}/manifest.json", time.time()
+    while not up_to_date(spark, place, inputs):
+        lease = commits.Lease(spark, f"{root}.lease", wait)
+        if not lease.take():
+            if time.time() - begun > wait:
+                raise Conflict(f"{root} is being built")
+            time.sleep(0.2)
+            continue
+        try:
+            if up_to_date(spark, place, inputs):
+                break  # made while this one asked
+            have = [int(n.removeprefix("v")) for n in files.listed(spark, root) if n.startswith("v")]
+            now = max(have, default=0) + 1
+            own, seen = f"{root}/v{now}", [files.signature(spark, p) for p in inputs]  # as they are before they are read
+            make().write.parquet(own)
+            write_manifest(spark, place, {"signatures": seen, "outputs": [own]})
+            for old in have:
+                if old < now - 1:
+                    files.delete(spark, f"{root}/v{old}")
+        finally:
+            lease.release()
+        break
     return spark.read.parquet(json.loads(files.read_text(spark, place))["outputs"][0])

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..operators import evaluate
 from ..operators.views import ALIASES, TASKS
-from . import files, records
+from . import commits, files, records
 
 # Names of result files, and of fields in order of precedence.
 NAMES = "generated_answer*.{json,jsonl}"
@@ -193,6 +193,11 @@ def import_results(spark: SparkSession, root: str, gold: DataFrame, work: str, m
     return Import(runs, answers, diagnostics, ignored)
 
 
+def commit_import(log: commits.Log, found: Import) -> commits.State:
+    """Puts an import's answers into a log, each run's in place of its earlier ones, in one step."""
+    return commits.replace_each(log, found.answers, "run_id")
+
+
 def source_signature(found: DataFrame) -> str:
     """A hash of the listed files, their sizes and times: what an import was made from."""
     told = found.select(F.concat_ws(":", "file", "size", F.col("modified").cast("long")).alias("s"))
