@@ -47,7 +47,7 @@ from .shared import bound_batches, materialize, tidy
 from .tokens import ByteTokenizer, tokenizer
 
 #: Words aligned together, pairs a chunk of documents, and words of a worker's store (it may exceed it by a slice's).
-SLICE, CHUNK, REMEMBERED = 1 << 17, 1 << 20, 400_000
+SLICE, CHUNK, REMEMBERED = 1 << 16, 1 << 20, 400_000
 #: Characters of a text that are cut into words together, and words that are tokenized in one call.
 TOGETHER, TOGETHER_WORDS = 1 << 19, 512
 #: A space before which both vocabularies end a token: A ends one wherever white space begins, B before each of its own
