@@ -51,6 +51,11 @@ def signature(spark: SparkSession, path: str) -> str:
     return f"{path}:{found.getLen()}:{found.getModificationTime()}"
 
 
+def size(spark: SparkSession, path: str) -> int:
+    place, system = _place(spark, path)
+    return system.getFileStatus(place).getLen()
+
+
 def read_bytes(spark: SparkSession, path: str, offset: int = 0, length: int | None = None) -> bytes:
     """A small file, or a slice of any file."""
     place, system = _place(spark, path)

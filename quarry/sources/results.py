@@ -7,6 +7,7 @@ and the model. Everything after the listing of files is one Spark job over all f
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -24,8 +25,8 @@ NAMES = "generated_answer*.{json,jsonl}"
 INDEX = ("idx", "index", "sample_index", "sample_idx", "line_index")
 RESPONSE = ("response", "model_response", "completion", "output", "text")
 LISTS = ("results", "responses")
-#: Files above this size are read by lines if their name says so, or by elements if they are arrays; others are parsed whole.
-WHOLE = 64 << 20
+#: Files above this size are read by lines or by elements, as ``layout`` tells from their first bytes; others are parsed whole.
+WHOLE, HEAD = 64 << 20, 1 << 20
 
 _KNOWN = {**{t: t for t in TASKS}, **ALIASES}
 _FOLDER = "^(" + "|".join(sorted(_KNOWN, key=len, reverse=True)) + ")(?:_(.*))?$"
@@ -61,39 +62,71 @@ def result_files(spark: SparkSession, root: str, model: str | None = None, names
     return found.select(F.col("path").alias("file"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"), identity(F.col("path"), root, model).alias("of"))
 
 
-def _listed(content: str) -> list[tuple[int, str]]:
+def _listed(content: str) -> Iterator[tuple[int, str]]:
     """(item, JSON text) of each row of a file; raises ValueError where it has none of the three layouts."""
+    told = lambda i, x: (i, json.dumps(x, ensure_ascii=False, separators=(",", ":")))
+    if not content or content.isspace():
+        return
     try:
         value = json.loads(content)
     except ValueError:
-        rows = [(i, json.loads(x)) for i, x in enumerate(content.split("\n")) if x.strip()]
-        if not all(isinstance(x, dict) for _, x in rows):
-            raise ValueError("a line is no object") from None
-    else:
-        if isinstance(value, dict):
-            value = next((value[k] for k in LISTS if value.get(k)), [value])
-        if not isinstance(value, list):
-            raise ValueError("neither a list nor objects")
-        rows = [(i, x) for i, x in enumerate(value) if isinstance(x, dict)]
-    return [(i, json.dumps(x, ensure_ascii=False, separators=(",", ":"))) for i, x in rows]
+        at = i = 0
+        while at <= len(content):
+            stop = content.find("\n", at)
+            stop = len(content) if stop < 0 else stop
+            if (line := content[at:stop]).strip():
+                if not isinstance(x := json.loads(line), dict):
+                    raise ValueError("a line is no object") from None
+                yield told(i, x)
+            at, i = stop + 1, i + 1
+        return
+    if isinstance(value, dict):
+        value = next((value[k] for k in LISTS if value.get(k)), [value])
+    if not isinstance(value, list):
+        raise ValueError("neither a list nor objects")
+    for i, x in enumerate(value):
+        if isinstance(x, dict):
+            yield told(i, x)
+
+
+_ROWS = pa.schema([("file", pa.string()), ("item", pa.int32()), ("raw", pa.string()), ("error", pa.string())])
+
+
+def _batches(file: str, content: str) -> list[pa.RecordBatch]:
+    """The rows of a file as record batches, or its error alone: a file counts whole or not at all. Until its last row is
+    read, rows are kept in Arrow's buffers, not as Python's objects."""
+    out, held, size = [], [], 0
+
+    def put() -> None:
+        items, raws = zip(*held, strict=True)
+        out.append(pa.RecordBatch.from_arrays([pa.array([file] * len(held), pa.string()), pa.array(items, pa.int32()), pa.array(raws, pa.string()), pa.nulls(len(held), pa.string())], schema=_ROWS))
+        held.clear()
+
+    try:
+        for row in _listed(content):
+            held.append(row)
+            size += len(row[1]) + 64
+            if size >= records.BATCH:
+                put()
+                size = 0
+    except ValueError as e:
+        return [pa.RecordBatch.from_pylist([{"file": file, "error": str(e)}], _ROWS)]
+    if held:
+        put()
+    return out
 
 
 def result_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
     """file, item, raw (JSON text of a row), error (of a file that can't be read; then raw is null)."""
 
-    @F.arrow_udf("struct<rows:array<struct<item:int,raw:string>>,error:string>")
-    def listed(contents: pa.Array) -> pa.Array:
-        out = []
-        for x in contents.to_pylist():
-            try:
-                out.append({"rows": [{"item": i, "raw": r} for i, r in _listed(x)] if x.strip() else [], "error": None})
-            except ValueError as e:
-                out.append({"rows": None, "error": str(e)})
-        return pa.array(out, pa.struct([("rows", pa.list_(pa.struct([("item", pa.int32()), ("raw", pa.string())]))), ("error", pa.string())]))
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                yield from _batches(b.column(0)[i].as_py(), b.column(1)[i].as_py().decode("utf-8", "replace").removeprefix("\ufeff"))
 
-    whole = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), listed(F.regexp_replace("value", "^﻿", "")).alias("f"))
-    rows = whole.select("file", F.col("f.error").alias("error"), F.explode_outer("f.rows").alias("r"))
-    return rows.select("file", "r.item", "r.raw", "error").filter("raw IS NOT NULL OR error IS NOT NULL")
+    # Rows leave a file one by one: an array of them would be copied with each row that is made of it.
+    whole = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("content"))
+    return whole.mapInArrow(run, "file string, item int, raw string, error string")
 
 
 def result_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -104,9 +137,21 @@ def result_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     return own.select("file", F.col("source_index").cast("int").alias("item"), F.when(F.col("error").isNull(), F.col("raw")).alias("raw"), "error")
 
 
-def is_array(spark: SparkSession, path: str) -> bool:
-    """Whether a file's first sign opens an array."""
-    return files.read_bytes(spark, path, 0, 1 << 12).removeprefix(b"\xef\xbb\xbf").lstrip()[:1] == b"["
+def layout(spark: SparkSession, path: str) -> str:
+    """How a large file is read: as an array, as lines (by its name, or if its first line is an object and more follows) or
+    whole (one object, over several lines or alone in the file)."""
+    size = files.size(spark, path)
+    begin = files.read_bytes(spark, path, 0, HEAD).removeprefix(b"\xef\xbb\xbf").lstrip()
+    if begin[:1] == b"[" and path.endswith(".json"):
+        return "array" if records.reaches(path) else "whole"
+    if path.endswith(".jsonl"):
+        return "lines"
+    first, _, rest = begin.partition(b"\n")
+    try:
+        one = isinstance(json.loads(first), dict)
+    except ValueError:
+        one = False
+    return "lines" if one and (rest.strip() or size > HEAD) else "whole"
 
 
 def result_elements(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -146,7 +191,7 @@ def import_results(spark: SparkSession, root: str, gold: DataFrame, work: str, m
 
     A run is a (model, scope, prompt mode); its id is a hash of root, model and mode, so an import that is repeated
     takes the place of the earlier one (``evaluate.replaced``). The first answer to an index counts, a different second
-    one makes it an error. work: a new folder for the scored rows, which are made once.
+    one makes it an error. work: a new folder for the rows and the scored rows, which are made once.
     """
     found = result_files(spark, root, model, names).collect()  # one row a file
     if not found:
@@ -155,12 +200,16 @@ def import_results(spark: SparkSession, root: str, gold: DataFrame, work: str, m
     known = [r for r in found if r.of is not None]
     if not known:
         raise ValueError("no result folder is named after a known task")
-    big = [r.file for r in known if r.size > WHOLE and r.file.endswith(".jsonl")]
-    lists = [r.file for r in known if r.size > WHOLE and r.file.endswith(".json") and records.reaches(r.file) and is_array(spark, r.file)]
-    small = [r.file for r in known if r.file not in {*big, *lists}]
-    rows = [f(spark, p) for f, p in ((result_rows, small), (result_lines, big), (result_elements, lists)) if p]
-    raw = reduce(DataFrame.unionByName, rows)
-    raw = raw.withColumn("of", identity(F.col("file"), root, model))
+    kinds: dict[str, list[str]] = {"whole": [], "lines": [], "array": []}
+    for r in known:
+        kinds[layout(spark, r.file) if r.size > WHOLE else "whole"].append(r.file)
+    rows = [f(spark, p) for f, p in zip((result_rows, result_lines, result_elements), kinds.values(), strict=True) if p]
+    # Files are read once; what follows takes the columns that it needs.
+    reduce(DataFrame.unionByName, rows).write.mode("errorifexists").parquet(f"{work}/rows")
+    raw = spark.read.parquet(f"{work}/rows")
+    # What folders say is told once a file: written, so that no filter on it is moved to the rows.
+    raw.select("file").distinct().coalesce(1).select("file", identity(F.col("file"), root, model).alias("of")).write.parquet(f"{work}/files")
+    raw = raw.join(F.broadcast(spark.read.parquet(f"{work}/files")), "file")
     top = root.rstrip("/")
     run_root = F.when(F.col("of.scope") == ".", F.lit(top)).when(F.col("of.scope").startswith("/"), F.col("of.scope")).otherwise(F.concat(F.lit(top + "/"), F.col("of.scope")))
     tagged = {"model_name": F.col("of.model_name"), "root_path": run_root, "dataset": F.concat(F.lit(prefix), F.col("of.task"))}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from quarry.operators import evaluate
 from quarry.sources import files, offsets, results
 
@@ -68,6 +69,32 @@ def test_import(spark, tmp_path, gold):
         results.import_results(spark, str(tmp_path / "r/no/task"), gold.limit(0), str(tmp_path / "w3")) if not (tmp_path / "r/no/task/generated_answer.json").unlink() else None
 
 
+def test_many_rows_of_one_file(spark, tmp_path, monkeypatch):
+    """Rows of a file are no array that each of them is copied with: 60 000 rows took over 6 GB."""
+    text = "".join(f'{{"idx": {i}, "response": "A"}}\n' for i in range(60_000))
+    put(tmp_path / "a.json", text)
+    put(tmp_path / "b.json", text + "{broken\n")
+    out = results.result_rows(spark, [str(tmp_path)])
+    assert "Generate" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = out.groupBy(F.substring_index("file", "/", -1).alias("f"), F.col("error").isNull().alias("ok")).agg(F.count("*").alias("n"), F.min("item").alias("a"), F.max("item").alias("b")).collect()
+    assert sorted((r.f, r.ok, r.n, r.a, r.b) for r in got) == [("a.json", True, 60_000, 0, 59_999), ("b.json", False, 1, None, None)]
+    monkeypatch.setattr(results, "HEAD", 64)
+    told = {"c.json": ('{"idx": 0}\n{"idx": 1}\n', "lines"), "d.json": ('{"results": [{"idx": 0}]}\n \n', "whole"), "e.json": ('{\n"idx": 0}\n', "whole"), "f.json": (' [{"idx": 0}]', "array"), "g.jsonl": ('{broken\n', "lines"), "h.json": ('{"idx": "' + "x" * 99 + '"}', "whole")}
+    for name, (content, kind) in told.items():
+        put(tmp_path / name, content)
+        assert results.layout(spark, str(tmp_path / name)) == kind, name
+
+
+def test_large_lines_by_any_name(spark, tmp_path, gold, monkeypatch):
+    """Files above the limit give what they give below it."""
+    rows = '{"idx": 0, "response": "A"}\n{"idx": 1, "response": "C"}\n{"idx": 7, "response": "C"}\n'
+    put(tmp_path / "r/m1/perception/generated_answer.json", rows)
+    small = results.import_results(spark, str(tmp_path / "r"), gold, str(tmp_path / "w")).runs.drop("files").collect()
+    monkeypatch.setattr(results, "WHOLE", 10)
+    monkeypatch.setattr(results, "result_rows", None)
+    assert results.import_results(spark, str(tmp_path / "r"), gold, str(tmp_path / "w2")).runs.drop("files").collect() == small
+
+
 def test_line_places(spark, tmp_path):
     rows = [{"k": i, "t": "é" * (i % 7)} for i in range(300)]
     raw = b"\n".join([json.dumps(x, ensure_ascii=False).encode() + (b"\r" if x["k"] % 5 == 0 else b"") for x in rows[:150]] + [b"", b"  "] + [json.dumps(x).encode() for x in rows[150:]]) + b"\n"
