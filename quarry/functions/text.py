@@ -7,6 +7,8 @@ so that texts of any length match without recursion.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,7 +31,14 @@ NUMBERED_ITEM = r"(?U)(?:^|\n)\s*\d+[.)]\s+"
 LEAKS = (r"(?Uis)must\s+(?:end|conclude).*?answer\s*:", r"(?Ui)final sentence must conclude with", r"(?Ui)correct answer (?:is|must be)")
 VISUAL = r"(?Ui)\b(?:graph|plot|chart|x-axis|y-axis|visual(?:ization)?)\b"
 PLACEHOLDER = "<ts><ts/>"
-CHOICE_PATTERNS = (r"(?Ui)<answer>\s*([A-G])\s*</answer>", r"(?Ui)[\"']?answer[\"']?\s*[:=]\s*[\"']?([A-G])", r"(?Ui)(?:^|\n)\s*(?:final\s+answer\s*[:：]?\s*)?([A-G])[.)]", r"(?Ui)^\s*([A-G])\s*(?:\r?\n|$)")
+#: Patterns of a letter, in order, each with the signs of which a match holds one.
+CHOICE_PATTERNS = (
+    (r"(?Ui)<answer>\s*([A-G])\s*</answer>", ("<",)),
+    (r"(?Ui)[\"']?answer[\"']?\s*[:=]\s*[\"']?([A-G])", (":", "=")),
+    (r"(?Ui)(?:^|\n)\s*(?:final\s+answer\s*[:：]?\s*)?([A-G])[.)]", (".", ")")),
+    (r"(?Ui)^\s*([A-G])\s*(?:\r?\n|$)", ()),
+)
+FENCE = r"(?Ui)^```(?:json|python)?\s*|\s*```$"
 
 
 def bind(value: Column, body) -> Column:
@@ -178,11 +187,24 @@ def answer_class(output: Column) -> Column:
 
 
 def choice(text: Column) -> Column:
-    """The letter A to G that an answer names, or null: a JSON or literal dictionary's answer, else four patterns."""
-    said = F.regexp_replace(strip(text), r"(?Ui)^```(?:json|python)?\s*|\s*```$", "")
-    dictionary = F.when(said.rlike(r"(?Us)^\{.*\}$"), F.upper(F.nullif(F.regexp_extract(F.coalesce(F.nullif(F.get_json_object(said, "$.answer"), F.lit("")), F.regexp_extract(said, r"(?U)['\"]answer['\"]\s*:\s*['\"]([^'\"]*)['\"]", 1)), r"(?i)[A-G]", 0), F.lit(""))))
-    found = [F.upper(F.nullif(F.regexp_extract(said, p, 1), F.lit(""))) for p in CHOICE_PATTERNS]
-    return F.when(said != "", F.coalesce(dictionary, *found))
+    """The letter A to G that an answer names, or null: a JSON or literal dictionary's answer, else four patterns.
+
+    The answer is stripped once, each pattern runs once, and only where a sign is there that it can't do without."""
+    fenced = lambda x: F.when(F.contains(x, F.lit("```")), F.regexp_replace(x, FENCE, "")).otherwise(x)
+    return bind(strip(text), lambda x: bind(fenced(x), _choice))
+
+
+def _first(said: Column, pattern: str, group: int) -> Column:
+    """A group of a pattern's first match, or null."""
+    return F.get(F.regexp_extract_all(said, F.lit(pattern), F.lit(group)), F.lit(0))
+
+
+def _choice(said: Column) -> Column:
+    has = lambda *signs: reduce(Column.__or__, (F.contains(said, F.lit(x)) for x in signs))
+    listed = F.coalesce(bind(F.get_json_object(said, "$.answer"), lambda v: F.when(v != "", v)), _first(said, r"(?U)['\"]answer['\"]\s*:\s*['\"]([^'\"]*)['\"]", 1))
+    dictionary = F.when(F.startswith(said, F.lit("{")) & said.rlike(r"(?Us)^\{.*\}$"), _first(listed, r"(?i)[A-G]", 0))
+    found = [F.when(has(*signs), _first(said, p, 1)) if signs else _first(said, p, 1) for p, signs in CHOICE_PATTERNS]
+    return F.when(said != "", F.upper(F.coalesce(dictionary, *found)))
 
 
 def question_count(prompt: Column) -> Column:

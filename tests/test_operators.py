@@ -288,3 +288,19 @@ def test_numbering_in_blocks(spark):
     for source, _, k in got:
         seen[source] = seen.get(source, 0) + 1
         assert k == seen[source]
+
+
+def test_choice_reads_once(spark):
+    """Each pattern stands once in the plan, and letters are those of a plain reading of all patterns in order."""
+    said = ["", " ", "A", " b \nmore", "(C)", "Final answer: D.", "final answer： e)", "x\n f) y", "<ANSWER> g </answer>", "<answer>H</answer> A.", "answer=c", "'Answer' : 'd", '{"answer": "b"}', '{"answer": ""}', "{'answer': 'the e'}", "{'answer': 'x'} A.",
+            '{"answer": "zz", "more": "A."}', "```json\n{'answer': 'E'}\n```", "```\nA\n```", "```python A```", "no idea", "{", "{}\nA)", "a:b", "an\u017fwer: a", "<an\u017fwer>b</an\u017fwer>", "\u2003B\x1c", '{"answer": null}', '{"answer": ["g"]}', "1. A\n2. B\nA) x", None]
+    rows = spark.createDataFrame([(x,) for x in said], "said string")
+    x = F.regexp_replace(text.strip(F.col("said")), text.FENCE, "")
+    none = lambda c: F.nullif(c, F.lit(""))
+    inner = F.coalesce(none(F.get_json_object(x, "$.answer")), F.regexp_extract(x, r"(?U)['\"]answer['\"]\s*:\s*['\"]([^'\"]*)['\"]", 1))
+    plain = F.when(x != "", F.coalesce(F.when(x.rlike(r"(?Us)^\{.*\}$"), F.upper(none(F.regexp_extract(inner, r"(?i)[A-G]", 0)))), *(F.upper(none(F.regexp_extract(x, p, 1))) for p, _ in text.CHOICE_PATTERNS)))
+    out = rows.select("said", text.choice(F.col("said")).alias("letter"), plain.alias("plain"))
+    assert [r for r in out.collect() if r.letter != r.plain] == []
+    assert len({r.letter for r in out.collect()}) == 8
+    plan = rows.select(text.choice(F.col("said")).alias("letter"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("</answer>") == 1 and plan.count("json|python") == 1
