@@ -80,7 +80,8 @@ def record_places(spark, sf_dir):
     audit = audit.select("*", group).join(of, "g").drop("g")
     places.write(places.attached(index, {"audit": audit}), f"{home}/index", rows=1 << 14)
     held = spark.read.parquet(f"{home}/index/places").select("file", "byte_offset", "byte_length", *(F.col(f"audit.{c}").alias(f"audit_{c}") for c in ("file", "byte_offset", "byte_length")))
-    both = records.raw_at(records.raw_at(held), "audit_file", "audit_byte_offset", "audit_byte_length", "audit")
+    # Audits first: they are short, and the second read deals what the first one gave.
+    both = records.raw_at(records.raw_at(held, "audit_file", "audit_byte_offset", "audit_byte_length", "audit"))
     line = F.col("raw").cast("string")
     return both.select(F.split_part(line, F.lit("\t"), F.lit(1)).cast("long").alias("doc_id"), F.sha2("raw", 256).alias("record_sha256"), F.col("audit").cast("string").alias("audit"))
 

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-#: Bytes a chunk, of a further read to a record's end, and of a batch of records.
+#: Bytes a chunk, of a further read to a record's end, and of a batch of records, read in order or by place.
 CHUNK, MORE, BATCH = 64 << 20, 1 << 20, 8 << 20
 BOM = b"\xef\xbb\xbf"
 COLUMNS = "file string, chunk long, item long, byte_offset long, byte_length long, sha256 string, raw binary"
@@ -383,7 +383,9 @@ def records(spark: SparkSession, path: str | list[str], layout: str = "lines", c
 
 
 def raw_at(places: DataFrame, file: str = "file", offset: str = "byte_offset", length: str = "byte_length", name: str = "raw") -> DataFrame:
-    """places with the bytes at each: rows are dealt and sorted by place, so a task reads few files, and each forwards."""
+    """places with the bytes at each: rows are dealt and sorted by place, so a task reads few files, and each forwards. A task
+    holds BATCH bytes of what it reads, whatever the number of places in a batch; read short records before long ones, as
+    places are dealt with all their columns."""
     if name in places.columns:
         raise ValueError(f"a column {name} is there")
     dealt = places.repartitionByRange(file, offset).sortWithinPartitions(file, offset)
@@ -392,8 +394,12 @@ def raw_at(places: DataFrame, file: str = "file", offset: str = "byte_offset", l
     def run(batches) -> Iterator[pa.RecordBatch]:
         now: tuple[str, pa.NativeFile] | None = None
         for b in batches:
-            out = []
-            for f, o, n in zip(*(b.column(i).to_pylist() for i in at), strict=True):
+            out, begin, held = [], 0, 0
+
+            def put(end: int) -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays([*b.slice(begin, end - begin).columns, pa.array(out, pa.binary())], names=[*b.schema.names, name])  # noqa: B023
+
+            for i, (f, o, n) in enumerate(zip(*(b.column(k).to_pylist() for k in at), strict=True)):
                 if f is None or o is None or n is None:
                     out.append(None)
                     continue
@@ -404,7 +410,12 @@ def raw_at(places: DataFrame, file: str = "file", offset: str = "byte_offset", l
                     now = f, system.open_input_file(place)
                 now[1].seek(o)
                 out.append(now[1].read(n))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names=[*b.schema.names, name])
+                held += n
+                if held >= BATCH:
+                    yield put(i + 1)
+                    out, begin, held = [], i + 1, 0
+            if begin < b.num_rows:
+                yield put(b.num_rows)
         if now is not None:
             now[1].close()
 

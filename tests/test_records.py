@@ -6,6 +6,7 @@ import hashlib
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -103,3 +104,43 @@ def test_an_array_of_many_chunks(spark, tmp_path):
 def test_stores_that_arrow_does_not_know():
     assert not records.reaches("viewfs://store/x")
     assert records.reaches("/tmp/x") and records.reaches("file:///tmp/x") and records.reaches("file:/tmp/x")
+
+
+def test_read_by_place_in_bounded_batches(spark, tmp_path, monkeypatch):
+    """A batch of places doesn't become a batch of all their records."""
+    lines_ = [f"{i}:" + "x" * (i % 50) for i in range(400)]
+    (tmp_path / "a.txt").write_text("\n".join(lines_) + "\n")
+    monkeypatch.setattr(records, "BATCH", 500)
+    held = records.records(spark, str(tmp_path / "a.txt")).unionByName(spark.createDataFrame([(None, 0, 0, 1)], "file string, line_index long, byte_offset long, byte_length long"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(len(x.as_py() or b"") for x in b.column("raw"))])], names=["n"])
+
+    assert sum(r.line_index * (bytes(r.raw or b"").decode() == lines_[r.line_index]) for r in records.raw_at(held).collect()) == sum(range(400))
+    got = [r.n for r in records.raw_at(held).mapInArrow(sizes, "n long").collect()]
+    assert sum(got) == sum(map(len, lines_))
+    # What one worker hands on in bounded batches may come to the next one joined: each read is looked at by itself.
+    made = []
+    real = pa.array
+    monkeypatch.setattr(records.pa, "array", lambda x, *a, **k: made.append(len(x)) or real(x, *a, **k))
+    frame = held.select("file", "byte_offset", "byte_length")
+
+    class Seen:
+        def mapInArrow(self, run, schema):  # noqa: N802
+            rows = [r for r in frame.orderBy("byte_offset").collect()]
+            batch = pa.RecordBatch.from_pylist([r.asDict() for r in rows], frame.toArrow().schema)
+            return list(run([batch]))
+
+    class Places:
+        columns, schema = frame.columns, frame.schema
+
+        def repartitionByRange(self, *_):  # noqa: N802
+            return self
+
+        def sortWithinPartitions(self, *_):  # noqa: N802
+            return Seen()
+
+    out = records.raw_at(Places())
+    assert len(out) > 10 and sum(b.num_rows for b in out) == 401
+    assert max(sum(len(x.as_py() or b"") for x in b.column("raw")) for b in out) < 500 + 60
