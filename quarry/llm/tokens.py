@@ -2,7 +2,7 @@
 
 ``WordTokenizer`` uses the tokenizers library for vocabularies of lower-cased words that drop white space: a text's ids
 are those of its words one after another, so each different word needs the library once and a bounded cache remembers
-the recent ones. ``ByteTokenizer`` uses tiktoken with the ranks that a byte-level vocabulary file of the tokenizers
+the recent ones; new runs of plain letters are merged by tiktoken with that vocabulary's ranks. ``ByteTokenizer`` uses tiktoken with the ranks that a byte-level vocabulary file of the tokenizers
 library lists (the same merges, four times as fast), and the tokenizers library itself for texts with rare characters,
 on whose classes the two libraries' tables might differ. It cuts long texts where the vocabulary's pattern always splits,
 at a space between two lower-case letters, so that memory doesn't follow the length of a text of words. Strings of
@@ -16,6 +16,8 @@ import json
 import os
 import re
 import struct
+import sys
+from array import array
 
 import numpy as np
 
@@ -52,6 +54,37 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+def letter_merges(path: str):
+    """What gives the ids of a run of plain letters' bytes, of which the last one is as ``last`` writes it; or None for a vocabulary whose
+    merges don't rank by id or don't mark a word's end. tiktoken merges two tokens wherever the vocabulary has the whole,
+    the library only the two that made it: the same, as each token is what its own bytes come to (tests hold this)."""
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    vocab, suffix = model["vocab"], model.get("end_of_word_suffix")
+    made = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in model.get("merges", [])]
+    if not suffix or model["type"] != "BPE" or model.get("continuing_subword_prefix") or any(a >= b for a, b in zip(made, made[1:], strict=False)):
+        return None
+    letters = {c: b for b, c in byte_letters().items()}
+    plain = {*range(97, 123), *range(0x80, 0xC0), 0xC3}
+    ranks = {}
+    for token, i in vocab.items():
+        ends = token.endswith(suffix)
+        data = bytes(letters.get(c, 0) for c in token.removesuffix(suffix))
+        if data and plain.issuperset(data) and not (ends and data[-1] == 0xC3):
+            ranks[data[:-1] + last(data[-1]) if ends else data] = i
+    return tiktoken.Encoding("letters", pat_str=r"\p{L}+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+
+def last(byte: int) -> bytes:
+    """A word's last byte as one that plain letters don't have: of a-z the capital, of a letter's second byte its low bits."""
+    return bytes([byte - 32 if byte < 0x80 else byte - 0x80])
+
+
+_LAST = [last(b) if 97 <= b < 123 or 0x80 <= b < 0xC0 else b"" for b in range(256)]
+
+
 class WordTokenizer:
     """For vocabularies whose normalizer lower-cases and whose words hold no white space."""
 
@@ -60,14 +93,23 @@ class WordTokenizer:
         self.merge = self.library.model.tokenize
         self.width = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
         self.code = struct.Struct(self.width.replace("u2", "H").replace("u4", "I")).pack
+        self.kind = "H" if self.width == "<u2" else "I"
         self.letters = byte_letters()
+        self.fast = letter_merges(path)
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def pack(self, ids: list[int]) -> bytes:
+        return array(self.kind, ids).tobytes() if sys.byteorder == "little" else b"".join(map(self.code, ids))
+
     def _new(self, word: str) -> bytes:
         """A word's ids. What normalizer and splitter leave as it is, a run of plain letters, goes straight to the merges."""
         if (ids := self.older.get(word)) is None:
-            if LETTERS.fullmatch(word):
+            if (word.isascii() and word.isalpha() and word.islower()) or LETTERS.fullmatch(word):
+                if self.fast is not None:
+                    data = word.encode()
+                    ids = self.recent[word] = self.pack(self.fast(data[:-1] + _LAST[data[-1]]))
+                    return ids
                 spelt = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
                 found = [t.id for t in self.merge(spelt)]
             else:

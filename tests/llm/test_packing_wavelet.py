@@ -196,3 +196,25 @@ def test_files_alone_hold_the_keys(spark):
         assert (r.n_tokens, r.end_ids) == (len(ids), ids.count(2))
     with pytest.raises(ValueError):
         wavelet.read_shards(files, "start")
+
+
+def test_letters_merge_as_in_the_library():
+    """Every token of plain letters is what its own bytes come to, and new words have the library's ids."""
+    import random
+
+    from quarry.llm import tokens
+
+    tok = tokens.WordTokenizer(queries.vocabulary("word_bpe_49k.json"))
+    letters = {c: b for b, c in tok.letters.items()}
+    plain = "abcdefghijklmnopqrstuvwxyzßàéíñöüÿ"
+    r = random.Random(3)
+    words = ["".join(r.choices(plain, k=r.randint(1, 24))) for _ in range(3000)] + ["a", "é", "e" * 300]
+    pieces = []
+    for t in tok.library.get_vocab():
+        spelt = bytes(letters.get(c, 0) for c in t.removesuffix("</w>")).decode("utf-8", "replace")
+        if tokens.LETTERS.fullmatch(spelt):
+            pieces.append(spelt)
+    words += pieces + [a + b + c for a, b, c in zip(r.choices(pieces, k=20000), r.choices(pieces, k=20000), r.choices(pieces, k=20000), strict=True)]
+    assert tok.fast is not None
+    for w in words:
+        assert tok._new(w) == b"".join(map(tok.code, tok.library.encode(w, add_special_tokens=False).ids)), w
