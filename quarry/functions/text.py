@@ -16,9 +16,13 @@ from pyspark.sql import functions as F
 NUMBER = r"(?>[-+]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][-+]?\d+)?)"
 SERIES_TOKEN = r"(?Ui)<ts>\s*(?:<ts\s*/>)?|<ts\s*/>"
 BRACKETED = rf"(?U)\[(?:\s*+{NUMBER}\s*+,){{3,}}+\s*+{NUMBER}\s*+\]"
-UNBRACKETED = rf"(?U)(?<![\w.]){NUMBER}(?![\w.])(?:\s*+[,;|]\s*+{NUMBER}(?![\w.])){{3,}}+"
+UNBRACKETED = rf"(?U)(?=[-+.\d])(?<![\w.]){NUMBER}(?![\w.])(?:\s*+[,;|]\s*+{NUMBER}(?![\w.])){{3,}}+"
 NESTED = r"(?Ui)\[(?:\s*+<ts>\s*+,?+)++\]"
-SCALAR = rf"(?U)(?<![\w.]){NUMBER}(?![\w.])"
+SCALAR = rf"(?U)(?=[-+.\d])(?<![\w.]){NUMBER}(?![\w.])"
+#: What each match of BRACKETED, UNBRACKETED or NESTED holds.
+FOLDABLE = rf"(?U)[,;|]\s*+{NUMBER}(?:\s*+[,;|]\s*+{NUMBER}){{2}}|\[\s*+<"
+#: White space but for single spaces.
+RUN = r"(?U)[\s&&[^ ]]\s*+| \s++"
 CHOICE = r"(?Ui)^(?:<answer>\s*)?\(?[A-D]\)?(?:\s*</answer>)?$"
 TAGGED_CHOICE = r"(?Ui)<answer>\s*\(?[A-D]\)?\s*</answer>"
 URL = r"(?U)https?://\S+"
@@ -47,7 +51,8 @@ def bind(value: Column, body) -> Column:
 
 
 def _spaced(text: Column) -> Column:
-    return F.translate(text, "\x1c\x1d\x1e\x1f", "    ")
+    held = lambda x: reduce(Column.__or__, (F.contains(x, F.lit(c)) for c in "\x1c\x1d\x1e\x1f"))
+    return bind(text, lambda x: F.when(held(x), F.translate(x, "\x1c\x1d\x1e\x1f", "    ")).otherwise(x))
 
 
 def strip(text: Column) -> Column:
@@ -57,16 +62,26 @@ def strip(text: Column) -> Column:
 
 def compact(text: Column) -> Column:
     """Runs of white space as one space, ends trimmed."""
-    return F.trim(F.regexp_replace(_spaced(text), r"(?U)\s+", " "))
+    return _compact(_spaced(text))
+
+
+def _compact(spaced: Column) -> Column:
+    return F.trim(F.regexp_replace(spaced, RUN, " "))
 
 
 def fold_series(text: Column) -> Column:
-    """Series tokens and arrays of four numbers or more as ``<ts>``, nested ones too, in three passes."""
-    out = F.regexp_replace(_spaced(text), SERIES_TOKEN, "<ts>")
+    """Series tokens and arrays of four numbers or more as ``<ts>``, nested ones too, in three passes.
+
+    Passes run only on texts that hold what one of their patterns can't do without; most prose holds none."""
+    marked = bind(_spaced(text), lambda x: F.when(F.contains(x, F.lit("<")), F.regexp_replace(x, SERIES_TOKEN, "<ts>")).otherwise(x))
+    return _compact(bind(marked, lambda x: F.when(x.rlike(FOLDABLE), _folded(x)).otherwise(x)))
+
+
+def _folded(text: Column) -> Column:
     for _ in range(3):
         for pattern in (BRACKETED, UNBRACKETED, NESTED):
-            out = F.regexp_replace(out, pattern, "<ts>")
-    return compact(out)
+            text = F.regexp_replace(text, pattern, "<ts>")
+    return text
 
 
 def mask_scalars(text: Column) -> Column:

@@ -101,7 +101,10 @@ def annotated(samples: DataFrame, taxonomy: DataFrame, quality: DataFrame, stric
     found = merge.aligned(place, raw) if raw is not None else merge.matched(place, taxonomy.select(*keys, "digest"))
     found = found.select(*keys, "label_index", "join_method")
     own = taxonomy.select("source", F.col("source_index").alias("label_index"), "sample_id", "cluster_id", *(_shaped(taxonomy, c, DECISION) for c in ("provisional", "final")), F.lit(True).alias("_labelled"))
-    rows = samples.withColumn("audit", _shaped(samples, "audit", AUDIT)).join(found, keys).join(own, ["source", "label_index"], "left")
+    # Labels meet places first, and all three meet by line: so texts are dealt once.
+    line = (F.col("source_index") + 1).alias("line_number")
+    labelled = found.join(own, ["source", "label_index"], "left").withColumn("line_number", line).drop("source_index")
+    rows = samples.withColumn("audit", _shaped(samples, "audit", AUDIT)).withColumn("line_number", line).join(labelled, ["source", "line_number"])
     if raw is not None:
         rows = failing(rows, F.col("_labelled").isNull(), "a row of the labelled source has no label")
     blank = F.coalesce(F.col("audit.primary_label"), F.lit("")) == ""
@@ -112,15 +115,13 @@ def annotated(samples: DataFrame, taxonomy: DataFrame, quality: DataFrame, stric
     told = rows.withColumn("_a", merge.ability(F.col("final"), F.col("provisional"), F.when(F.col("_labelled").isNull(), F.col("audit"))))
     told = failing(told, F.col("_a.ability_label").isNotNull() & ~F.col("_a.ability_label").isin(*rules.LABELS), "unknown ability label")
     # The quality label of the same line must be of the same template and text.
-    line = F.col("source_index") + 1
-    t = text.template(F.col("input"), F.col("output"))
-    told = told.withColumns({"line_number": line, "_t": t})
     q = quality.select("source", "line_number", F.struct(*(c for c in quality.columns if c not in ("source", "line_number"))).alias("_q"))
     if strict.quality:
         told = merge.zipped(told, q, ["source", "line_number"], "quality labels")
     else:
         told = told.join(q, ["source", "line_number"], "left")
-    told = failing(told, F.col("_q").isNotNull() & ((F.col("_q.template_id") != F.col("_t.template_id")) | (F.col("_q.input_hash") != F.col("_t.input_hash"))), "a quality label is of another template or text")
+    other = text.bind(text.template(F.col("input"), F.col("output")), lambda t: (F.col("_q.template_id") != t["template_id"]) | (F.col("_q.input_hash") != t["input_hash"]))
+    told = failing(told, F.when(F.col("_q").isNotNull(), other), "a quality label is of another template or text")
     return told.withColumn("annotation", _annotation()).select(*samples.columns, "annotation")
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -107,6 +109,44 @@ def test_what_must_hold(spark):
         merging.annotated(samples, taxonomy.withColumn("final", F.col("final").withField("primary_label", F.lit("XX"))), quality).collect()
 
 
+@pytest.mark.parametrize("strict", [True, False])
+def test_texts_are_dealt_once(spark, strict):
+    """Of the merge's exchanges only one carries the samples' texts, and only labelled rows' templates are made."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.debug.maxToStringFields": "1000"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        samples, taxonomy, _ = inputs(spark)
+        quality = spark.createDataFrame([], "source string, line_number long, template_id string, input_hash string, quality string, difficulty string, reason string, model string, prompt_version string")
+        out = merging.annotated(samples, taxonomy, quality, merging.Strict(strict, strict))
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        plan = out._jdf.queryExecution().explainString(mode)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    dealt = re.findall(r"\) Exchange[^\n]*\nInput \[\d+\]: \[([^\n]*)\]", plan)
+    assert len(dealt) > 1 and len([x for x in dealt if re.search(r"\binput#", x)]) == 1
+    assert not [x for x in dealt if "_t#" in x]
+
+
+def test_guarded_patterns(spark):
+    """Patterns that run only where their signs are: as if they ran on every text."""
+    r = random.Random(5)
+    bits = ["1", "-2.5", "+.5", "3.", "1e5", "\u0663", "a", "é", " ", "  ", "\n", "\t", "\x1c", "\x1f", "\u00a0", "\u0085", "\u2003", ",", ";", "|", "[", "]", "<ts>", "<TS/>", "<t\u017f>", "<ts />", "<", "1,2,3,4", "[1, 2, 3, 4]", ", 5", "word", ".", "_", "-", "+"]
+    df = spark.createDataFrame([("".join(r.choice(bits) for _ in range(r.randint(0, 30))),) for _ in range(3000)] + [(None,), ("",)], "x string")
+    x = F.col("x")
+    spaced = F.translate(x, "\x1c\x1d\x1e\x1f", "    ")
+    single = lambda c: F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
+    plain = F.regexp_replace(spaced, text.SERIES_TOKEN, "<ts>")
+    for pattern in (text.BRACKETED, text.UNBRACKETED.replace(r"(?=[-+.\d])", ""), text.NESTED) * 3:
+        plain = F.regexp_replace(plain, pattern, "<ts>")
+    masked = F.regexp_replace(x, text.SCALAR.replace(r"(?=[-+.\d])", ""), "<num>")
+    got = df.select(text.fold_series(x).alias("f"), single(plain).alias("wf"), text.compact(x).alias("c"), single(spaced).alias("wc"), text.mask_scalars(x).alias("m"), masked.alias("wm"))
+    assert got.filter("NOT (f <=> wf AND c <=> wc AND m <=> wm)").count() == 0
+    assert got.filter("contains(f, '<ts>')").count() > 1000
+
+
 def test_clean_copies(spark):
     samples, taxonomy, quality = inputs(spark)
     samples = samples.drop("audit").withColumn("canonical", F.col("input"))
