@@ -103,7 +103,7 @@ def annotated(samples: DataFrame, taxonomy: DataFrame, quality: DataFrame, stric
     own = taxonomy.select("source", F.col("source_index").alias("label_index"), "sample_id", "cluster_id", *(_shaped(taxonomy, c, DECISION) for c in ("provisional", "final")), F.lit(True).alias("_labelled"))
     # Labels meet places first, and all three meet by line: so texts are dealt once.
     line = (F.col("source_index") + 1).alias("line_number")
-    labelled = found.join(own, ["source", "label_index"], "left").withColumn("line_number", line).drop("source_index")
+    labelled = own.join(found, ["source", "label_index"], "right").withColumn("line_number", line).drop("source_index")
     rows = samples.withColumn("audit", _shaped(samples, "audit", AUDIT)).withColumn("line_number", line).join(labelled, ["source", "line_number"])
     if raw is not None:
         rows = failing(rows, F.col("_labelled").isNull(), "a row of the labelled source has no label")
